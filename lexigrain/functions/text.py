@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType
 
 # Character classes, junk words and sound-change tables.
 SPACE_CLASS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 JUNK_WORDS = ("missing", "???")
 KANA_RANGES = ((0x3040, 0x309F), (0x30A0, 0x30FF))
 HAN_RANGES = (
@@ -52,7 +53,7 @@ def kana_fold(c) -> Column:
 
 def strip(c) -> Column:
     """Trim Unicode white space at both ends."""
-    return F.regexp_replace(as_col(c), rf"\A[{SPACE_CLASS}]+|[{SPACE_CLASS}]+\z", "")
+    return F.btrim(as_col(c), F.lit(SPACES))
 
 
 def reading_stem(c) -> Column:
@@ -99,6 +100,10 @@ def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
+# Not pushed below filters, which would run it once for the filter and once more.
+_nfkc = _nfkc.asNondeterministic()
+
+
 def nfkc(c) -> Column:
     """Compatibility normalization; only strings that can change reach Python."""
     c = as_col(c)

@@ -108,8 +108,10 @@ def surface_chars(rows: DataFrame, options: DataFrame) -> DataFrame:
     """
     chars = rows.select("surface", "reading", "rank", F.posexplode(F.split("surface", "")).alias("pos", "ch"))
     met = chars.join(options.withColumnRenamed("key", "ch"), "ch", "left")
+    # Options that do not occur in the reading can never be consumed.
+    alone, compound = (F.filter(c, lambda o: F.contains("reading", o)).alias(c) for c in ("alone", "compound"))
     one = F.struct(
-        "pos", "ch", "alone", "compound",
+        "pos", "ch", alone, compound,
         is_han("ch").alias("stop"), kana_fold(strip("ch")).alias("literal"),
     )
     return met.groupBy("surface", "reading", "rank").agg(F.sort_array(F.collect_list(one)).alias("chars"))

@@ -114,3 +114,16 @@ def cards(
         _or_null(_more_words()).alias("more_words"),
         "family", "strokes",
     )
+
+
+def manifest(*facts: DataFrame) -> DataFrame:
+    """One JSON document from one-row tables, with sorted field names."""
+    columns = sorted(c for f in facts for c in f.columns)
+    rows = None
+    for f in facts:
+        row = f.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("name"), F.col(c).cast("bigint").alias("value")) for c in f.columns
+        ])).alias("r"))
+        rows = row if rows is None else rows.unionByName(row)
+    values = [F.max(F.when(F.col("r.name") == c, F.col("r.value"))).alias(c) for c in columns]
+    return rows.agg(*values).select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("manifest"))

@@ -81,9 +81,9 @@ def greedy_groups(
     """
     seen = per_group * (max_groups - 1)
     reach = max_groups * 2**seen
-    first = words.groupBy(*key, *group, *item).agg(F.min(F.struct(rank, pos, *payload)).alias("w"))
-    short = top_n(first, [*key, *group], [F.asc("w")], seen + per_group, "_n")
-    entry = F.struct(F.col("w"), F.struct(*item).alias("item"))
+    first = words.groupBy(*key, *group, *item).agg(F.min(F.struct(rank, pos, *payload)).alias("_w"))
+    short = top_n(first, [*key, *group], [F.asc("_w")], seen + per_group, "_n")
+    entry = F.struct(F.col("_w").alias("w"), F.struct(*item).alias("item"))
     lists = (
         short.groupBy(*key, *group)
         .agg(F.sort_array(F.collect_list(entry)).alias("ws"))
@@ -123,18 +123,18 @@ def fallback_items(
     rank: str = "rank", pos: str = "pos", payload: tuple[str, ...] = (), limit: int = MAX_GROUPS,
 ) -> DataFrame:
     """Best distinct items of the keys the greedy choice left empty."""
-    first = top.groupBy(*key, *item).agg(F.min(F.struct(rank, pos, *payload)).alias("w"))
-    best = top_n(first, key, [F.asc("w")], limit, "place")
+    first = top.groupBy(*key, *item).agg(F.min(F.struct(rank, pos, *payload)).alias("_w"))
+    best = top_n(first, key, [F.asc("_w")], limit, "place")
     left = best.join(chosen.select(*key).distinct(), key, "left_anti")
-    return left.select(*key, F.col("place").cast("bigint").alias("place"), *item, "w.*")
+    return left.select(*key, F.col("place").cast("bigint").alias("place"), *item, "_w.*")
 
 
 def best_per_item(
     words: DataFrame, key: list[str], item: list[str], order: tuple[str, ...], payload: tuple[str, ...] = ()
 ) -> DataFrame:
     """One row per item: the least by ``order``."""
-    best = words.groupBy(*key, *item).agg(F.min(F.struct(*order, *payload)).alias("w"))
-    return best.select(*key, *item, "w.*")
+    best = words.groupBy(*key, *item).agg(F.min(F.struct(*order, *payload)).alias("_w"))
+    return best.select(*key, *item, "_w.*")
 
 
 def global_top(words: DataFrame, key: str = "key", limit: int = MAX_GLOBAL) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.variants import elements, int_field, string_field
@@ -22,6 +22,11 @@ def inventory(df: DataFrame, path: str = "path", content: str = "content") -> Da
     )
 
 
+def checksum_line() -> Column:
+    """An inventory row as ``sha256  path``."""
+    return F.concat(F.col("sha256"), F.lit("  "), F.col("path"))
+
+
 def summary(files: DataFrame) -> DataFrame:
     """File count, total and largest size, in one row."""
     return files.agg(

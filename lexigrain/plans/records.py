@@ -1,0 +1,344 @@
+"""Records: typed payload fields, merging, output banks, cards, manifest."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import variants as V
+from ..functions.text import kana_fold
+from ..operators import banks as B
+from ..operators import families as FM
+from ..operators import gates as G
+from ..operators import records as R
+from ..operators import snapshot as SN
+from ..operators import versions as VS
+from ..operators.ranking import competition_rank
+from ..session import staged, work_path
+from ..sources import sinks, xml_dictionary
+from .base import HIRA, KATA, LETTERS, SQL_WORDS, WORD, document_words, hira, kata, query, table, word_list
+from .examples import SQL_EXAMPLES
+from .turns import SQL_TURNS, turn_payloads
+
+_PLAIN = f"""(SELECT key, w0[1] AS character, lines,
+            list_transform(lines[1], lambda x: 'to ' || x) AS meanings,
+            list_transform(lines[1], lambda x: translate(x, '{LETTERS}', '{KATA}')) AS on_all,
+            list_transform(lines[-1], lambda x: translate(x, '{LETTERS}', '{HIRA}')) AS kun_all,
+            CASE WHEN role <> 'user' AND turn > 1 THEN turn - 1 END AS frequency_rank,
+            CAST(len(lines) AS BIGINT) AS stroke_count, CASE WHEN role <> 'assistant' THEN 3 END AS grade,
+            turn % 7 AS jlpt, role
+          FROM turns WHERE w0 IS NOT NULL AND (role <> 'system' OR length(w0) = 1))"""
+
+_FIELDS = f"{SQL_TURNS},\nplain AS {_PLAIN}"
+
+
+@query("src_payload_variant", f"""
+WITH {_FIELDS}
+SELECT key, character, len(list_distinct(meanings)) AS senses, len(list_distinct(on_all)) AS on_count,
+       len(list_distinct(kun_all)) AS kun_count, frequency_rank, stroke_count, CAST(grade AS BIGINT) AS grade, jlpt FROM plain""")
+def src_payload_variant(spark, sf):
+    rows = R.plain_fields(turn_payloads(spark, sf))
+    return rows.select(
+        "key", "character", *[F.size(c).cast("bigint").alias(n) for c, n in (("senses", "senses"), ("on", "on_count"), ("kun", "kun_count"))],
+        "frequency_rank", "stroke_count", "grade", "jlpt",
+    )
+
+
+@query("gate_admissible", f"""
+WITH {SQL_TURNS}
+SELECT role, w0 IS NOT NULL AND (role <> 'system' OR length(w0) = 1) AS admissible, count(*) AS n FROM turns GROUP BY ALL""")
+def gate_admissible(spark, sf):
+    roles = table(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("key"), "role")
+    checked = turn_payloads(spark, sf).select("key", R.admissible("v").alias("admissible"))
+    return checked.join(roles, "key").groupBy("role", "admissible").agg(F.count("*").alias("n"))
+
+
+@query("gate_identity", f"WITH {SQL_TURNS} SELECT key, CASE WHEN role = 'system' THEN w0[1:2] ELSE w0[1] END AS character FROM turns WHERE w0[1] IS DISTINCT FROM lower(CASE WHEN role = 'system' THEN w0[1:2] ELSE w0[1] END)")
+def gate_identity(spark, sf):
+    """Turns whose payload answers with another key than the turn's first letter."""
+    turns = table(spark, sf, "conversations").select(
+        F.concat_ws("-", "conv_id", "turn").alias("key"), F.left(F.get(word_list("text"), 0), F.lit(1)).alias("wanted")
+    )
+    own = turn_payloads(spark, sf).select("key", V.string_field("v", "$.character").alias("character"))
+    return G.identity(turns.join(own, "key"), "wanted").select("key", "character")
+
+
+@query("record_normalized", f"""
+WITH RECURSIVE {SQL_EXAMPLES},
+plain AS {_PLAIN},
+best AS (SELECT key, word_id, reading_index, min({{'rank': rank, 'surface': surface}}) AS m FROM clean GROUP BY ALL),
+best6 AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY m.rank, word_id, reading_index) AS p FROM best QUALIFY p <= 6),
+words6 AS (SELECT key, string_agg(m.surface, ' ' ORDER BY p) AS global_words FROM best6 GROUP BY key),
+totals AS (SELECT key, translate(ws[1], '{LETTERS}', '{HIRA}') AS stem, sum(len(ws) - 2) AS entries
+           FROM (SELECT key, unnest(lines) AS ws FROM turns WHERE role = 'assistant') WHERE len(ws) > 2 GROUP BY ALL),
+counts AS (SELECT key, string_agg(stem || ':' || entries, ' ' ORDER BY entries DESC, stem) AS counts FROM totals GROUP BY key),
+spare AS (SELECT key, word_id, reading_index, min({{'rank': rank, 'pos': pos, 'surface': surface}}) AS m FROM clean
+          WHERE grp = -1 AND key NOT IN (SELECT key FROM picked) GROUP BY key, word_id, reading_index),
+ex AS (SELECT key, string_split(pick, '|')[4] AS item, pick FROM picked
+       UNION ALL SELECT key, word_id || '/' || reading_index, '1||' || row_number() OVER (PARTITION BY key ORDER BY m) FROM spare
+       QUALIFY row_number() OVER (PARTITION BY key ORDER BY m) <= 3),
+exs AS (SELECT key, string_agg(item, ' ' ORDER BY pick) AS examples FROM ex GROUP BY key)
+SELECT p.key, p.character, p.meanings[1] AS keyword, len(list_distinct(p.meanings)) AS senses, p.frequency_rank, p.stroke_count,
+       CAST(p.grade AS BIGINT) AS grade, p.jlpt, coalesce(global_words, '') AS global_words, coalesce(counts, '') AS counts,
+       coalesce(examples, '') AS examples
+FROM plain p LEFT JOIN words6 USING (key) LEFT JOIN counts USING (key) LEFT JOIN exs USING (key)""")
+def record_normalized(spark, sf):
+    rows = R.normalized(turn_payloads(spark, sf))
+    item = lambda w: F.concat_ws("/", w["word_id"].cast("string"), w["reading_index"].cast("string"))
+    items = F.flatten(F.transform("examples", lambda g: F.transform(g["words"], item)))
+    counts = F.transform("reading_entry_counts", lambda c: F.concat_ws(":", c["reading"], c["count"].cast("string")))
+    return rows.select(
+        "key", "character", "keyword", F.size("senses").cast("bigint").alias("senses"),
+        "frequency_rank", "stroke_count", "grade", "jlpt",
+        F.array_join(F.transform("global_words", lambda w: w["surface"]), " ").alias("global_words"),
+        F.array_join(counts, " ").alias("counts"), F.array_join(items, " ").alias("examples"),
+    )
+
+
+@query("gate_top_rank_quality", f"""
+WITH {_FIELDS}
+SELECT key FROM plain p WHERE frequency_rank <= 1000 AND (len(meanings) = 0
+  OR NOT EXISTS (SELECT 1 FROM (SELECT unnest(flatten(p.lines)) AS w) WHERE length(w) > 3 AND w[-1] <> 'n' AND w[1] <> 'q'))""")
+def gate_top_rank_quality(spark, sf):
+    return G.top_rank_quality(R.normalized(turn_payloads(spark, sf))).select("key")
+
+
+# Documents as records: key, senses from the first line, rank from the length.
+SQL_DOC_RECORDS = f"""
+recs AS (SELECT doc_id, lang, source, n_chars, regexp_extract_all(lower(string_split(text, chr(10))[1]), '{WORD}') AS ws,
+           CASE WHEN lang <> 'es' THEN n_chars END AS rank, n_chars % 9 AS grade, n_chars % 6 AS level FROM documents)"""
+
+
+def document_records(spark, sf) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    words = word_list(F.get(F.split("text", "\n"), 0))
+    n = F.col("n_chars")
+    # Keys are the documents' names; records have the full record shape.
+    index = docs.select(
+        F.concat(F.lit("d"), F.col("doc_id")).alias("key"), words.alias("meanings"),
+        F.transform(words, kata).alias("on"), F.transform(words, hira).alias("kun"),
+        n.alias("stroke_count"), (n % 9).alias("grade"), (n % 6).alias("jlpt"), "lang",
+    )
+    records = R.fallback_records(index.drop("lang"))
+    ranks = index.select("key", F.when(F.col("lang") != "es", F.col("stroke_count")).alias("frequency_rank"))
+    return records.drop("frequency_rank").join(ranks, "key")
+
+
+@query("merge_priority", """
+SELECT d.doc_id AS key, CASE WHEN l.doc_id IS NULL THEN 'fallback' ELSE 'primary' END AS origin, d.lang,
+       CAST(l.quality AS BIGINT) AS quality
+FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def merge_priority(spark, sf):
+    return _merged(spark, sf).select("key", "origin", "lang", F.col("quality").cast("bigint").alias("quality"))
+
+
+def _merged(spark, sf) -> DataFrame:
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("key"), "lang")
+    labelled = table(spark, sf, "labels").select(F.col("doc_id").alias("key"), "quality")
+    return R.merge_priority(docs.join(labelled, "key"), docs)
+
+
+@query("source_counts", """
+SELECT count(*) AS total, count(l.doc_id) AS "primary", count(*) - count(l.doc_id) AS fallback
+FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def source_counts(spark, sf):
+    return R.source_counts(_merged(spark, sf))
+
+
+@query("src_xml_dictionary", f"""
+WITH w AS (SELECT lang, w[1] AS key, w, count(*) AS n FROM (SELECT lang, unnest(regexp_extract_all(lower(text), '{WORD}')) AS w FROM documents) GROUP BY ALL),
+f AS (SELECT lang || ' ' || key AS entry, min(w) AS first, max(w) AS last, max(length(w)) AS longest FROM w GROUP BY lang, key)
+SELECT entry, first AS meaning, translate(last, '{LETTERS}', '{KATA}') AS on_reading, longest AS stroke_count FROM f""")
+def src_xml_dictionary(spark, sf):
+    """Initials of each language as XML entries, written and read back."""
+    words = document_words(spark, sf, "lang").groupBy("lang", "w").count()
+    first = words.groupBy("lang", F.substring("w", 1, 1).alias("c")).agg(
+        F.min("w").alias("a"), F.max("w").alias("z"), F.max(F.length("w")).alias("n")
+    )
+
+    def text(value, **attributes):
+        return F.struct(value.alias("_VALUE"), *[F.lit(v).alias(k) for k, v in attributes.items()])
+
+    entries = first.select(
+        "lang", F.concat(F.lit(" "), F.col("c"), F.lit(" ")).alias("literal"),
+        F.struct(F.lit("x").alias("grade"), F.col("n").cast("string").alias("stroke_count")).alias("misc"),
+        F.struct(
+            F.array(F.struct(
+                F.array(text(kata("z"), _r_type="ja_on"), text(hira("a"), _r_type="other")).alias("reading"),
+                F.array(text(F.col("a"), _m_lang=None), text(F.col("z"), _m_lang="fr")).alias("meaning"),
+            )).alias("rmgroup"),
+        ).alias("reading_meaning"),
+    )
+    path = work_path(spark, "dictionary")
+    entries.write.partitionBy("lang").format("xml").option("rowTag", xml_dictionary.ROW_TAG).option("rootTag", "dictionary").save(path)
+    out = None
+    # One dictionary per language: keys are unique in each of them.
+    for lang in ("de", "en", "es", "fr"):
+        rows = xml_dictionary.read(spark, f"{path}/lang={lang}").select(
+            F.concat_ws(" ", F.lit(lang), "key").alias("entry"), F.array_join("meanings", " ").alias("meaning"),
+            F.array_join("on", " ").alias("on_reading"), "stroke_count",
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# Pages as family members: the host is the component, English pages are ranked by length.
+SQL_MEMBERS = """
+p AS (SELECT url AS key, split_part(url, '/', 3) AS component, contains(html, '<html lang="en">') AS en, length(html) AS n FROM pages),
+rk AS (SELECT key, rank() OVER (ORDER BY n DESC) AS rank FROM p WHERE en),
+m AS (SELECT component, key AS member, rank, count(*) OVER (PARTITION BY component) AS size,
+        row_number() OVER (PARTITION BY component ORDER BY rank NULLS LAST, key) AS ord FROM p LEFT JOIN rk USING (key)),
+members AS (SELECT * FROM m WHERE size >= 2)"""
+
+
+def members(spark, sf) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    pairs = pages.select(F.col("url").alias("key"), F.element_at(F.split("url", "/"), 3).alias("component"))
+    english = pages.where(F.contains("html", F.lit('<html lang="en">'))).select(
+        F.col("url").alias("key"), F.length("html").alias("n"), F.lit(1).alias("one")
+    )
+    return FM.family_members(pairs, competition_rank(english, ["one"], "n"))
+
+
+@query("families", f"WITH {SQL_MEMBERS} SELECT component, ord, member, rank, size FROM members")
+def families(spark, sf):
+    return members(spark, sf)
+
+
+@query("family_siblings", f"""
+WITH {SQL_MEMBERS}
+SELECT member, component, ord, size, CASE WHEN size <= {FM.INLINE_LIMIT} THEN
+  (SELECT string_agg(o.member, '、' ORDER BY o.ord) FROM members o WHERE o.component = m.component AND o.member <> m.member) END AS siblings
+FROM members m""")
+def family_siblings(spark, sf):
+    return FM.siblings(members(spark, sf))
+
+
+@query("enrich_left", f"""
+WITH {SQL_MEMBERS}
+SELECT p.key, p.n AS length, len(regexp_extract_all(html, '<p\\b')) AS stroke_count, m.component, m.size AS family_size, m.ord AS family_ord
+FROM p JOIN pages ON url = p.key LEFT JOIN members m ON m.member = p.key""")
+def enrich_left(spark, sf):
+    pages = table(spark, sf, "pages")
+    records = pages.select(F.col("url").alias("key"), F.length("html").cast("bigint").alias("length"))
+    strokes = pages.select(F.col("url").alias("key"), F.regexp_count("html", F.lit(r"<p\b")).cast("bigint").alias("stroke_count"))
+    return FM.enrich(records, strokes, members(spark, sf))
+
+
+SQL_TERMS = """
+terms AS (SELECT c_name AS expression, 'customer of ' || c_mktsegment AS glossary, unicode(c_name) AS sequence FROM customer
+          UNION ALL SELECT s_name, 'variant of NATION_' || s_nationkey, unicode(s_name) FROM supplier)"""
+
+
+def terms(spark, sf) -> DataFrame:
+    """Customers as term rows, suppliers as aliases of their nation."""
+    customers = table(spark, sf, "customer").select(F.col("c_name").alias("key"), "c_mktsegment")
+    suppliers = table(spark, sf, "supplier").select(
+        F.col("s_name").alias("alias"), F.concat(F.lit("NATION_"), F.col("s_nationkey")).alias("canonical")
+    )
+    rows = B.term_rows(customers, F.concat(F.lit("customer of "), F.col("c_mktsegment")))
+    return rows.unionByName(B.alias_rows(suppliers))
+
+
+@query("alias_union", f"WITH {SQL_TERMS} SELECT expression, glossary, CAST(sequence AS BIGINT) AS sequence FROM terms")
+def alias_union(spark, sf):
+    return terms(spark, sf).select("expression", "glossary", "sequence")
+
+
+@query("gate_bank_shape", f"WITH {SQL_TERMS} SELECT 'key is not one character' AS fault, count(*) AS n FROM terms WHERE length(expression) <> 1 HAVING count(*) > 0 UNION ALL SELECT 'unknown type', count(*) FROM events WHERE event_type <> 'view' UNION ALL SELECT 'value is not positive', count(*) FROM events WHERE event_type = 'view' AND CAST(regexp_extract(props, '[0-9]+') AS INT) = 0 HAVING count(*) > 0")
+def gate_bank_shape(spark, sf):
+    """Faults of customer names as terms, and of events as frequency rows."""
+    kind = F.when(F.col("event_type") == "view", "freq").otherwise(F.col("event_type"))
+    meta = table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("term"), kind.alias("type"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("value"),
+    )
+    faults = G.term_shape(terms(spark, sf)).select("fault").unionByName(G.meta_shape(meta).select("fault"))
+    return faults.groupBy("fault").agg(F.count("*").alias("n"))
+
+
+@query("bank_term", f"""
+WITH {SQL_DOC_RECORDS}
+SELECT 'd' || doc_id AS expression, '' AS reading, '' AS definition_tags, '' AS rules, CAST(0 AS BIGINT) AS score,
+       list_aggregate(list_distinct(ws), 'count') || ' senses' AS glossary, CAST(100 AS BIGINT) AS sequence, '' AS term_tags FROM recs""")
+def bank_term(spark, sf):
+    text = F.concat(F.size("senses").cast("string"), F.lit(" senses"))
+    return B.term_rows(document_records(spark, sf), text)
+
+
+@query("bank_kanji", f"""
+WITH {SQL_DOC_RECORDS},
+o AS (SELECT *, list_filter(ws, lambda x, i: NOT list_contains(ws[1:i - 1], x)) AS ds FROM recs)
+SELECT 'd' || doc_id AS character, array_to_string(list_transform(ds, lambda x: translate(x, '{LETTERS}', '{KATA}')), ' ') AS "on",
+       array_to_string(list_transform(ds, lambda x: translate(x, '{LETTERS}', '{HIRA}')), ' ') AS kun, '' AS tags,
+       array_to_string(ds, ' ') AS meanings,
+       concat_ws(',', CASE WHEN rank IS NOT NULL THEN 'Frequency rank=' || rank END, 'Grade=' || grade,
+                 CASE WHEN level BETWEEN 1 AND 5 THEN 'JLPT=N' || level END, 'Strokes=' || n_chars) AS stats FROM o""")
+def bank_kanji(spark, sf):
+    rows = B.key_rows(document_records(spark, sf))
+    stats = F.transform(F.map_entries("stats"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return rows.withColumn("stats", F.array_join(stats, ",")).withColumn("meanings", F.array_join("meanings", " "))
+
+
+@query("bank_meta", f"WITH {SQL_DOC_RECORDS} SELECT 'd' || doc_id AS term, 'freq' AS type, rank AS value FROM recs WHERE rank IS NOT NULL")
+def bank_meta(spark, sf):
+    return B.meta_rows(document_records(spark, sf))
+
+
+@query("card_assembled", f"""
+WITH {SQL_DOC_RECORDS},
+o AS (SELECT *, list_filter(ws, lambda x, i: NOT list_contains(ws[1:i - 1], x)) AS ds FROM recs)
+SELECT 'd' || doc_id AS key, coalesce(ds[1], 'd' || doc_id) AS keyword, CASE WHEN len(ds) > 0 THEN array_to_string(ds, '; ') END AS meaning,
+       concat_ws(' · ', CASE WHEN rank IS NOT NULL THEN 'Rank ' || rank END, 'Grade ' || grade,
+                 CASE WHEN level BETWEEN 1 AND 5 THEN 'JLPT N' || level END, n_chars || ' strokes') AS details,
+       lang || ': ' || lower(source) AS distribution FROM o""")
+def card_assembled(spark, sf):
+    docs = table(spark, sf, "documents")
+    facts = docs.select(
+        F.concat(F.lit("d"), F.col("doc_id")).alias("key"), F.col("lang").alias("alt_text"), F.lower("source").alias("legend")
+    )
+    rows = B.cards(document_records(spark, sf), distribution=facts)
+    return rows.select(
+        "key", "hero.keyword", "meaning", F.array_join("details", " · ").alias("details"),
+        F.concat_ws(": ", "distribution.alt_text", "distribution.legend").alias("distribution"),
+    )
+
+
+@query("sink_canonical_json", """
+SELECT doc_id AS key, to_json({'key': doc_id, 'lang': lang, 'missing': CAST(NULL AS VARCHAR), 'text': text}) AS json FROM documents""")
+def sink_canonical_json(spark, sf):
+    """Documents as canonical JSON lines, written in key order and read back."""
+    docs = table(spark, sf, "documents").select(
+        "text", F.col("doc_id").alias("key"), F.lit(None).cast("string").alias("missing"), "lang"
+    )
+    path = work_path(spark, "canonical")
+    sinks.write_canonical_json(docs, path)
+    lines = spark.read.text(path)
+    return lines.select(F.get_json_object("value", "$.key").cast("bigint").alias("key"), F.col("value").alias("json"))
+
+
+@query("manifest_provenance", f"""
+WITH {SQL_DOC_RECORDS}
+SELECT to_json({{'fallback': (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)),
+                'file_bytes': (SELECT CAST(sum(octet_length(encode(text))) AS BIGINT) FROM documents),
+                'files': (SELECT count(*) FROM documents),
+                'meta_rows': (SELECT count(*) FROM recs WHERE rank IS NOT NULL),
+                'primary': (SELECT count(*) FROM labels), 'total': (SELECT count(*) FROM documents)}}) AS manifest""")
+def manifest_provenance(spark, sf):
+    counts = R.source_counts(_merged(spark, sf)).select("fallback", "primary", "total")
+    files = SN.summary(SN.inventory(table(spark, sf, "documents"), "doc_id", "text")).select(
+        F.col("file_count").alias("files"), F.col("byte_count").alias("file_bytes")
+    )
+    meta = B.meta_rows(document_records(spark, sf)).agg(F.count("*").alias("meta_rows"))
+    return B.manifest(counts, files, meta)
+
+
+_REQUIRED = ["k", "revision"]
+
+
+@query("gate_manifest_fields", """
+SELECT 'revision' AS missing, count(*) AS n FROM events WHERE props NOT LIKE '%"revision"%'
+UNION ALL SELECT 'k', count(*) FROM events WHERE props NOT LIKE '%"k"%' HAVING count(*) > 0""")
+def gate_manifest_fields(spark, sf):
+    docs = table(spark, sf, "events").select("event_id", F.try_parse_json("props").alias("doc"))
+    return G.missing_fields(docs, "doc", _REQUIRED).groupBy("missing").agg(F.count("*").alias("n"))

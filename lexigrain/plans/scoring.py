@@ -148,14 +148,15 @@ _SOUND = """CASE WHEN contains('{0}', x[1]) THEN translate(x[1], '{0}', '{1}') |
 
 @query("reading_options", f"""
 WITH {SQL_LEX},
-stem AS (SELECT key, o AS x FROM opt),
+own AS (SELECT key, o AS x FROM opt),
+stem AS (SELECT DISTINCT key, regexp_replace(x, '[^ぁ-ヿ]', '', 'g') AS x FROM own),
 variant AS (
   SELECT key, {_SOUND.format('かきくけこさしすせそたちつてとはひふへほ', 'がぎぐげござじずぜぞだぢづでどばびぶべぼ')} AS x FROM stem
   UNION ALL SELECT key, {_SOUND.format('はひふへほ', 'ぱぴぷぺぽ')} FROM stem
   UNION ALL SELECT key, CASE WHEN length(x) >= 2 AND contains('くきちつ', x[-1]) THEN x[:-2] || 'っ' END FROM stem),
 allowed AS (SELECT key, o AS x FROM opt
-            UNION SELECT key, {_SOUND.format('かきくけこさしすせそたちつてとはひふへほ', 'がぎぐげござじずぜぞだぢづでどばびぶべぼ')} FROM stem
-            UNION SELECT key, x[:-2] || 'っ' FROM stem WHERE length(x) = 3),
+            UNION SELECT key, {_SOUND.format('かきくけこさしすせそたちつてとはひふへほ', 'がぎぐげござじずぜぞだぢづでどばびぶべぼ')} FROM own
+            UNION SELECT key, x[:-2] || 'っ' FROM own WHERE length(x) = 3),
 found AS (SELECT * FROM (SELECT * FROM stem UNION SELECT * FROM variant WHERE x IS NOT NULL)
          WHERE (key, x) IN (SELECT (key, x) FROM allowed WHERE x IS NOT NULL)
          AND (key, x) NOT IN (SELECT (key, o) FROM opt WHERE c < {COMPOUND} AND length(o) = 1))
@@ -178,7 +179,7 @@ def reading_options(spark, sf):
     return rows.withColumn("ord", F.col("ord").cast("bigint"))
 
 
-@query("align_unique", f"WITH RECURSIVE {SQL_ALIGN} SELECT surface, r AS reading, rank, array_to_string(picks, ',') AS picks FROM rows")
+@query("align_unique", f"WITH RECURSIVE {SQL_ALIGN} SELECT surface, r AS reading, rank, CASE WHEN relevant THEN array_to_string(picks, ',') END AS picks FROM rows")
 def align_unique(spark, sf):
     rows, _ = aligned(spark, sf)
     picks = F.array_join(F.transform("alignment", lambda a: F.concat(a["key"], a["reading"])), ",")

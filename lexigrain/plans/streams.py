@@ -1,0 +1,73 @@
+"""Structured Streaming over the events table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..session import work_path
+from ..streaming import landing as L
+from .base import query, table
+
+
+def _arrivals(spark, sf) -> str:
+    """The events as files that arrive, by day."""
+    path = work_path(spark, "arrivals")
+    events = table(spark, sf, "events").withColumn("dt", F.date_format("ts", "yyyy-MM-dd"))
+    events.write.partitionBy("event_type").parquet(path)
+    return path
+
+
+def _stream(spark, path):
+    return L.file_stream(spark, spark.read.parquet(path).schema, path)
+
+
+@query("stream_landing", """
+SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d') AS dt FROM events""")
+def stream_landing(spark, sf):
+    """Two runs over the same arrivals; the second has nothing to do."""
+    arrivals, target, checkpoint = _arrivals(spark, sf), work_path(spark, "landed"), work_path(spark, "landing")
+    L.land(_stream(spark, arrivals), target, checkpoint)
+    if L.land(_stream(spark, arrivals), target, checkpoint) != 0:
+        raise RuntimeError("the second run found new input")
+    landed = spark.read.parquet(target)
+    return landed.select("event_id", "user_id", "event_type", "value", F.date_format(F.col("dt").cast("date"), "yyyy-MM-dd").alias("dt"))
+
+
+@query("stream_rank_dedupe", """
+SELECT DISTINCT event_type AS surface, props AS reading, user_id AS rank FROM events""")
+def stream_rank_dedupe(spark, sf):
+    arrivals, target = _arrivals(spark, sf), work_path(spark, "distinct")
+    rows = _stream(spark, arrivals).select(
+        F.col("event_type").alias("surface"), F.col("props").alias("reading"), F.col("user_id").alias("rank")
+    )
+    query_ = (
+        L.distinct_stream(rows, ["surface", "reading", "rank"]).writeStream.format("parquet")
+        .option("checkpointLocation", work_path(spark, "distinct-state")).trigger(availableNow=True).start(target)
+    )
+    query_.awaitTermination()
+    return spark.read.parquet(target)
+
+
+@query("stream_conflict_free", """
+SELECT CAST(user_id AS VARCHAR) AS surface, props AS reading, min(CAST(floor(value) AS BIGINT)) AS rank FROM events
+GROUP BY ALL HAVING min(CAST(floor(value) AS BIGINT)) = max(CAST(floor(value) AS BIGINT))""")
+def stream_conflict_free(spark, sf):
+    arrivals, target = _arrivals(spark, sf), work_path(spark, "pairs")
+    rows = _stream(spark, arrivals).select(
+        F.col("user_id").cast("string").alias("surface"), F.col("props").alias("reading"), F.floor("value").alias("rank")
+    )
+    L.append_batches(rows, target, work_path(spark, "pairs-state"), L.pair_ranges)
+    return L.conflict_free_pairs(spark.read.parquet(target))
+
+
+@query("stream_negative_ledger", """
+WITH m AS (SELECT user_id AS key, strftime(ts, '%Y-%m-%d') AS dt,
+             max({'ts': ts, 's': CASE WHEN event_type = 'error' THEN 'absent' ELSE 'present' END}) AS m FROM events GROUP BY 1, 2)
+SELECT key, dt FROM m WHERE m.s = 'absent'""")
+def stream_negative_ledger(spark, sf):
+    """Errors mark a user absent for the day; anything later voids the mark."""
+    arrivals, target = _arrivals(spark, sf), work_path(spark, "marks")
+    status = F.when(F.col("event_type") == "error", "absent").otherwise("present")
+    marks = _stream(spark, arrivals).select(F.col("user_id").alias("key"), "dt", "ts", status.alias("status"))
+    L.append_batches(marks, target, work_path(spark, "marks-state"), L.latest_marks)
+    return L.suppressed(spark.read.parquet(target))
