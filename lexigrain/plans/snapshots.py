@@ -177,7 +177,9 @@ SELECT day, replace(day, '-', '.') < (SELECT max(base) FROM m) AS late,
 FROM days LEFT JOIN m ON m.base = replace(day, '-', '.')""")
 def next_version(spark, sf):
     d = F.to_date("ts")
-    days = table(spark, sf, "events").select(F.explode(F.array(d, F.date_add(d, 1))).cast("string").alias("day")).distinct()
+    days = table(spark, sf, "events").select(
+        F.explode(F.array(d.cast("string"), F.date_add(d, 1).cast("string"))).alias("day")
+    ).distinct()
     return VS.next_version(_ledger(spark, sf), days)
 
 
