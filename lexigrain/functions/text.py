@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -27,14 +28,16 @@ H_FIRST = "はひふへほ"
 P_FIRST = "ぱぴぷぺぽ"
 GEMINATING_LAST = "くきちつ"
 GEMINATE = "っ"
-RUBY_SEGMENT = r"([^\[\]]+)(?:\[([^\[\]]*)\])?"
+RUBY_SEGMENT = r"[^\[\]]+(?:\[[^\[\]]*\])?"
 
 # U+30A1..U+30F6 have hiragana counterparts 0x60 below.
 KATAKANA = "".join(map(chr, range(0x30A1, 0x30F7)))
 HIRAGANA = "".join(map(chr, range(0x3041, 0x3097)))
 
+_JUNK = r"(?is)\A(?:" + "|".join(map(re.escape, JUNK_WORDS)) + r"|.*[<>].*)\z"
+
 # Possessive quantifiers: a malformed string fails in linear time.
-_RUBY_VALID = r"\A(?:[^\[\]]++(?:\[[^\[\]]*+\])?+)++\z"
+_RUBY_VALID = rf"(?s)\A(?=.*[^{SPACE_CLASS}])" + r"(?:[^\[\]]++(?:\[[^\[\]]*+\])?+)++\z"
 # Characters NFKC leaves alone, none of them combining.
 _NFKC_STABLE = (
     r"\A[\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
@@ -75,8 +78,7 @@ def reading_class(reading, on, kun) -> Column:
 def clean_text(c) -> Column:
     """Collapsed display text, or NULL for blanks, junk words and leaked markup."""
     text = F.trim(F.regexp_replace(as_col(c), f"[{SPACE_CLASS}]+", " "))
-    keep = (text != "") & ~F.lower(text).isin(*JUNK_WORDS) & ~text.rlike("[<>]")
-    return F.when(keep, text)
+    return F.nullif(F.regexp_replace(text, _JUNK, ""), F.lit(""))
 
 
 def clean_array(xs) -> Column:
@@ -89,10 +91,15 @@ def clean_array(xs) -> Column:
 def ruby_segments(c) -> Column:
     """``base[reading]base`` as an array of (base, reading); NULL when malformed."""
     c = as_col(c)
-    bases = F.regexp_extract_all(c, F.lit(RUBY_SEGMENT), F.lit(1))
-    readings = F.regexp_extract_all(c, F.lit(RUBY_SEGMENT), F.lit(2))
-    pairs = F.zip_with(bases, readings, lambda b, r: F.struct(b.alias("base"), r.alias("reading")))
-    return F.when((strip(c) != "") & c.rlike(_RUBY_VALID), pairs)
+
+
+    def pair(segment):
+        bracket = F.substring_index(segment, "[", -1)
+        reading = F.when(F.endswith(segment, F.lit("]")), F.rtrim(bracket, F.lit("]"))).otherwise("")
+        return F.struct(F.substring_index(segment, "[", 1).alias("base"), reading.alias("reading"))
+
+    segments = F.regexp_extract_all(c, F.lit(RUBY_SEGMENT), F.lit(0))
+    return F.when(c.rlike(_RUBY_VALID), F.transform(segments, pair))
 
 
 @F.pandas_udf(StringType())
@@ -144,6 +151,21 @@ def is_han(c) -> Column:
     return _in_ranges(c, HAN_RANGES)
 
 
+def _count_in(c, ranges) -> Column:
+    chars = "".join(rf"\x{{{low:x}}}-\x{{{high:x}}}" for low, high in ranges)
+    return F.regexp_count(as_col(c), F.lit(f"[{chars}]"))
+
+
+def kana_count(c) -> Column:
+    """Number of kana in a text."""
+    return _count_in(c, KANA_RANGES)
+
+
+def han_count(c) -> Column:
+    """Number of Han characters in a text."""
+    return _count_in(c, HAN_RANGES)
+
+
 def level_label(c) -> Column:
     c = as_col(c)
     return F.when(c.between(1, 5), F.concat(F.lit("N"), c.cast("int").cast("string")))

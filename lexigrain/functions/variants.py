@@ -12,6 +12,15 @@ def field(v, path: str) -> Column:
     return F.try_variant_get(as_col(v), path, "variant")
 
 
+def members(v, *names: str) -> Column:
+    """The named members of an object as a struct of VARIANTs, read in one go.
+
+    NULL when the value is no object; an absent member is NULL.
+    """
+    kind = ", ".join(f"{n}: variant" for n in names)
+    return F.try_variant_get(as_col(v), "$", f"struct<{kind}>")
+
+
 def type_of(v) -> Column:
     return F.schema_of_variant(as_col(v))
 

@@ -15,27 +15,37 @@ MAX_GROUPS = 3
 MAX_PER_GROUP = 2
 MAX_GLOBAL = 6
 
+WORD_MEMBERS = ("reading", "readingFurigana", "mainDefinition", "frequencyRank", "wordId", "readingIndex")
 WORD_COLUMNS = ("surface", "gloss", "rank", "ruby", "word_id", "reading_index")
 ITEM = ["word_id", "reading_index"]
 
 
-def clean_example(w: Column) -> Column:
-    """The word as a struct, NULL when any required part is unusable."""
-    surface = clean_text(V.string_field(w, "$.reading"))
-    gloss = clean_text(V.string_field(w, "$.mainDefinition"))
-    rank = V.int_field(w, "$.frequencyRank")
-    ruby = ruby_segments(V.string_field(w, "$.readingFurigana"))
-    word_id = V.int_field(w, "$.wordId")
-    index = F.coalesce(V.int_field(w, "$.readingIndex"), F.lit(0).cast("bigint"))
-    word = F.struct(
-        surface.alias("surface"), gloss.alias("gloss"), rank.alias("rank"), ruby.alias("ruby"),
-        word_id.alias("word_id"), index.alias("reading_index"),
+def clean_examples(words: DataFrame, *keep: str) -> DataFrame:
+    """Typed columns of the usable words in ``w`` (VARIANT), next to the columns to keep.
+
+    A word needs a surface, a gloss, a rank within the cutoff, well-formed ruby and an
+    id. Types and the rank are tested before any text is cleaned. Each step builds its
+    row once and generates it only when usable; a plain filter would be pushed down and
+    compute the columns it tests a second time.
+    """
+    raw = words.select(*keep, V.members("w", *WORD_MEMBERS).alias("m"))
+    typed = F.struct(
+        V.only_string("m.reading").alias("surface"),
+        V.only_string("m.mainDefinition").alias("gloss"),
+        V.only_int("m.frequencyRank").alias("rank"),
+        V.only_string("m.readingFurigana").alias("ruby"),
+        V.only_int("m.wordId").alias("word_id"),
+        F.coalesce(V.only_int("m.readingIndex"), F.lit(0).cast("bigint")).alias("reading_index"),
+    )
+    ranked = F.filter(F.array(typed), lambda r: r["rank"].between(1, RANK_CUTOFF) & r["word_id"].isNotNull())
+    clean = F.struct(
+        clean_text("surface").alias("surface"), clean_text("gloss").alias("gloss"), "rank",
+        ruby_segments("ruby").alias("ruby"), "word_id", "reading_index",
     )
-    usable = (
-        surface.isNotNull() & gloss.isNotNull() & rank.between(1, RANK_CUTOFF)
-        & ruby.isNotNull() & word_id.isNotNull()
+    whole = F.filter(
+        F.array(clean), lambda r: r["surface"].isNotNull() & r["gloss"].isNotNull() & r["ruby"].isNotNull()
     )
-    return F.when(usable, word)
+    return raw.select(*keep, F.inline(ranked)).select(*keep, F.inline(whole))
 
 
 def payload_words(payloads: DataFrame, key: str = "key") -> DataFrame:
@@ -48,12 +58,12 @@ def payload_words(payloads: DataFrame, key: str = "key") -> DataFrame:
         key, F.lit(-1).alias("grp"), F.lit(None).cast("string").alias("label"),
         F.posexplode(V.elements("v", "$.topWords")).alias("pos", "w"),
     )
-    groups = payloads.select(key, F.posexplode(V.elements("v", "$.wordsByReading")).alias("grp", "g")).select(
-        key, "grp", clean_text(V.string_field("g", "$.reading")).alias("label"),
-        F.posexplode(V.elements("g", "$.words")).alias("pos", "w"),
+    groups = payloads.select(key, F.posexplode(V.elements("v", "$.wordsByReading")).alias("grp", "g"))
+    groups = groups.select(key, "grp", V.members("g", "reading", "words").alias("m")).select(
+        key, "grp", clean_text(V.only_string("m.reading")).alias("label"),
+        F.posexplode(V.elements("m.words", "$")).alias("pos", "w"),
     )
-    words = top.unionByName(groups).withColumn("word", clean_example(F.col("w")))
-    return words.where(F.col("word").isNotNull()).select(key, "grp", "label", "pos", "word.*")
+    return clean_examples(top.unionByName(groups), key, "grp", "label", "pos")
 
 
 def greedy_groups(
@@ -149,8 +159,8 @@ def minus_shown(words: DataFrame, shown: DataFrame, key: list[str], item: list[s
     return words.join(shown.select(*key, *item), [*key, *item], "left_anti")
 
 
-def select_examples(payloads: DataFrame, words: DataFrame, key: str = "key") -> DataFrame:
-    """Example groups of payload rows: greedy over reading groups, else top words.
+def select_examples(words: DataFrame, key: str = "key") -> DataFrame:
+    """Example groups of payload words: greedy over reading groups, else top words.
 
     Columns: key, ``ord, label, place`` and the word; the fallback has label ''.
     """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import nfkc, nfkc_fold, strip
 from ..functions.weights import MAX_RANK
+from ..session import staged
 
 # Accepted lengths of a surface and of a reading.
 MAX_SURFACE_LENGTH = 128
@@ -51,13 +52,20 @@ def valid_rows(checked: DataFrame) -> DataFrame:
 
 
 def require_valid(checked: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Fail on the first malformed row or past the row limit; else the valid rows."""
-    first = checked.where(F.col("reason").isNotNull()).select("reason", "Word").limit(1).collect()
-    if first:
-        raise ValueError(f"ranked list rejected: {first[0].reason}: {first[0].Word!r}")
-    if max_rows is not None and checked.count() > max_rows:
+    """Fail on a malformed row, past the row limit or without an unambiguous row.
+
+    Checked rows are written once; the verdict and the caller read that copy.
+    """
+    kept = staged(checked.select("Word", "Rank", "surface", "reading", "reason"), "checked")
+    found = kept.agg(
+        F.count("*").alias("rows"),
+        F.min(F.when(F.col("reason").isNotNull(), F.struct("reason", "Word"))).alias("bad"),
+    ).first()
+    if found["bad"] is not None:
+        raise ValueError(f"ranked list rejected: {found['bad']['reason']}: {found['bad']['Word']!r}")
+    if max_rows is not None and found["rows"] > max_rows:
         raise ValueError("ranked list exceeds the row limit")
-    rows = valid_rows(checked)
+    rows = valid_rows(kept)
     if conflict_free(rows).isEmpty():
         raise ValueError("ranked list has no unambiguous rows")
     return rows

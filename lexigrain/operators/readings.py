@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import variants as V
@@ -13,14 +13,24 @@ from .ranking import full_rank, top_n
 MAX_SHOWN = 3
 
 
+def reading_list(v="v") -> Column:
+    """The reading groups of a payload as an array of (stem, total), typed."""
+    return F.transform(
+        V.elements(v, "$.wordsByReading"),
+        lambda g: F.struct(
+            reading_stem(V.string_field(g, "$.reading")).alias("stem"), V.int_field(g, "$.totalWords").alias("total")
+        ),
+    )
+
+
+def exploded_readings(lists: DataFrame, key: str = "key", readings: str = "readings") -> DataFrame:
+    """Rows key, ``pos, stem, total`` of a table with reading lists."""
+    return lists.select(key, F.posexplode(readings).alias("pos", "g")).select(key, "pos", "g.*")
+
+
 def payload_readings(payloads: DataFrame, key: str = "key") -> DataFrame:
     """Reading groups of payload rows: key, ``pos``, ``stem`` and the typed total."""
-    groups = payloads.select(key, F.posexplode(V.elements("v", "$.wordsByReading")).alias("pos", "g"))
-    return groups.select(
-        key, "pos",
-        reading_stem(V.string_field("g", "$.reading")).alias("stem"),
-        V.int_field("g", "$.totalWords").alias("total"),
-    )
+    return exploded_readings(payloads.select(key, reading_list().alias("readings")), key)
 
 
 def entry_counts(groups: DataFrame, key: list[str], stem: str = "stem", total: str = "total") -> DataFrame:
@@ -48,8 +58,8 @@ def group_order(groups: DataFrame, key: list[str], stem: str = "stem", pos: str
     return full_rank(first_appearance(groups, key, stem, pos), key, [F.asc("first_pos"), F.asc(stem)])
 
 
-def payload_group_order(payloads: DataFrame, key: str = "key") -> DataFrame:
-    """As ``group_order``, for payload rows, whose group lists are one row's worth."""
-    first = first_appearance(payload_readings(payloads, key), [key])
+def payload_group_order(lists: DataFrame, key: str = "key") -> DataFrame:
+    """As ``group_order``, for a table with reading lists: a key's groups are one row's worth."""
+    first = first_appearance(exploded_readings(lists, key), [key])
     w = Window.partitionBy(key).orderBy("first_pos")
     return first.select(key, "stem", F.row_number().over(w).cast("bigint").alias("ord"))

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import variants as V
 from ..functions.text import clean_array, reading_class
+from ..session import staged
 from .examples import global_top, payload_words, select_examples
-from .readings import entry_counts, payload_group_order, payload_readings
+from .readings import entry_counts, exploded_readings, payload_group_order, reading_list
 
+NUMBERS = ("frequencyRank", "strokeCount", "grade", "jlptLevel")
 WORD = (
     "struct<surface:string,gloss:string,rank:bigint,ruby:array<struct<base:string,reading:string>>,"
     "word_id:bigint,reading_index:bigint>"
@@ -30,17 +32,19 @@ def admissible(v) -> Column:
 
 def plain_fields(payloads: DataFrame) -> DataFrame:
     """Typed fields of admissible payload rows ``(key, v)``; no shuffle."""
-    rank = V.int_field("v", "$.frequencyRank")
-    rows = payloads.where(admissible("v")).select(
+    rows = payloads.where(admissible("v")).select("key", "v", V.members("v", *NUMBERS, "character").alias("m"))
+    rank = V.only_int("m.frequencyRank")
+    rows = rows.select(
         "key",
-        V.string_field("v", "$.character").alias("character"),
+        V.only_string("m.character").alias("character"),
         clean_array(V.string_elements("v", "$.meanings")).alias("senses"),
         clean_array(V.string_elements("v", "$.onReadings")).alias("on"),
         clean_array(V.string_elements("v", "$.kunReadings")).alias("kun"),
         F.when(rank > 0, rank).alias("frequency_rank"),
-        V.int_field("v", "$.strokeCount").alias("stroke_count"),
-        V.int_field("v", "$.grade").alias("grade"),
-        V.int_field("v", "$.jlptLevel").alias("jlpt"),
+        V.only_int("m.strokeCount").alias("stroke_count"),
+        V.only_int("m.grade").alias("grade"),
+        V.only_int("m.jlptLevel").alias("jlpt"),
+        reading_list().alias("readings"),
     )
     return rows.withColumn("keyword", F.get("senses", 0))
 
@@ -60,10 +64,10 @@ def example_groups(examples: DataFrame) -> DataFrame:
 
 def normalized(payloads: DataFrame) -> DataFrame:
     """The full record of every admissible payload. Keys must be unique."""
-    usable = payloads.where(admissible("v"))
-    plain = plain_fields(payloads)
-    words = payload_words(usable)
-    picked = example_groups(select_examples(usable, words))
+    # Payload text is parsed for two typed tables, which all branches then read.
+    plain = staged(plain_fields(payloads), "fields")
+    words = staged(payload_words(payloads.where(admissible("v"))), "words")
+    picked = example_groups(select_examples(words))
     best = (
         global_top(words)
         .groupBy("key")
@@ -71,7 +75,7 @@ def normalized(payloads: DataFrame) -> DataFrame:
         .select("key", F.transform("ws", lambda x: x["w"]).alias("global_words"))
     )
     counted = (
-        entry_counts(payload_readings(usable), ["key"])
+        entry_counts(exploded_readings(plain), ["key"])
         .groupBy("key")
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("entries")).alias("neg"), F.col("stem").alias("reading")))).alias("counts"))
     )
@@ -102,8 +106,8 @@ def normalized(payloads: DataFrame) -> DataFrame:
 
 def reading_inventory(payloads: DataFrame) -> DataFrame:
     """Reading groups per key in their own order, with class: input of the scores."""
-    plain = plain_fields(payloads).select("key", "on", "kun")
-    order = payload_group_order(payloads)
+    plain = staged(plain_fields(payloads).select("key", "on", "kun", "readings"), "fields")
+    order = payload_group_order(plain)
     return order.join(plain, "key").select(
         "key", F.col("stem").alias("reading"), "ord", reading_class("stem", "on", "kun").alias("reading_class")
     )

@@ -45,12 +45,14 @@ def alignment_stats(aligned: DataFrame, scores: DataFrame) -> DataFrame:
         weight(weighted).alias("relevant_weight"),
         weight(hit).alias("aligned_weight"),
     )
-    # One row on each side.
-    per_key = scores.groupBy("key").agg(F.count("*").alias("n"))
-    keyed = per_key.agg(
-        F.count("*").alias("keys_with_scores"), F.coalesce(F.sum("n"), zero).alias("groups_with_scores")
+    keys = scores.groupBy("key").agg(F.count("*").alias("n")).agg(
+        F.struct(F.count("*").alias("keys"), F.coalesce(F.sum("n"), zero).alias("groups"))
     )
     coverage = F.when(F.col("relevant_weight") > 0, F.col("aligned_weight") / F.col("relevant_weight")).otherwise(0.0)
-    return rows.withColumn("_one", F.lit(1)).join(keyed.withColumn("_one", F.lit(1)), "_one").drop("_one").withColumn(
-        "weight_coverage", coverage
+    return (
+        rows.withColumn("_k", keys.scalar())
+        .withColumn("keys_with_scores", F.col("_k.keys"))
+        .withColumn("groups_with_scores", F.col("_k.groups"))
+        .withColumn("weight_coverage", coverage)
+        .drop("_k")
     )

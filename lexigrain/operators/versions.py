@@ -79,10 +79,9 @@ def next_version(ledger: DataFrame, days: DataFrame) -> DataFrame:
     keys = ledger.select(revision_key("revision").alias("k")).where("k is not null")
     per_day = keys.groupBy("k.y", "k.m", "k.d").agg(F.max("k.n").alias("last"))
     named = per_day.select(F.format_string("%04d.%02d.%02d", "y", "m", "d").alias("base"), "last")
-    latest = named.agg(F.max("base").alias("latest")).withColumn("_one", F.lit(1))
-    wanted = days.select("day", date_to_revision("day").alias("base")).join(named, "base", "left")
-    both = wanted.withColumn("_one", F.lit(1)).join(latest, "_one")
-    late = F.coalesce(F.col("latest") > F.col("base"), F.lit(False))
+    latest = named.agg(F.max("base")).scalar()
+    both = days.select("day", date_to_revision("day").alias("base")).join(named, "base", "left")
+    late = F.coalesce(latest > F.col("base"), F.lit(False))
     nxt = F.when(F.col("last").isNull(), F.col("base")).otherwise(
         F.concat(F.col("base"), F.lit("."), (F.col("last") + 1).cast("string"))
     )
@@ -91,8 +90,8 @@ def next_version(ledger: DataFrame, days: DataFrame) -> DataFrame:
 
 def monotonic(candidates: DataFrame, ledger: DataFrame) -> DataFrame:
     """For each candidate ``revision``: is it above, or below, all exposed ones."""
-    top = ledger.select(revision_key("revision").alias("k")).agg(F.max("k").alias("top")).withColumn("_one", F.lit(1))
-    both = candidates.withColumn("_one", F.lit(1)).join(top, "_one").withColumn("k", revision_key("revision"))
+    top = ledger.select(revision_key("revision").alias("k")).agg(F.max("k")).scalar()
+    both = candidates.withColumn("top", top).withColumn("k", revision_key("revision"))
     return both.select(
         "revision",
         F.coalesce(F.col("k") > F.col("top"), F.col("top").isNull() & F.col("k").isNotNull()).alias("fresh"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import competition_rank
+from ..session import spread, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,7 +52,7 @@ def word_list(c) -> Column:
 
 def document_words(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     """Every word of every document, with the wanted document columns."""
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents").select(*columns, "text"))
     return docs.select(*columns, F.explode(word_list("text")).alias("w"))
 
 
@@ -62,9 +63,15 @@ def word_ranks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def source_words(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct words of each (source, language) with their rank in the language."""
-    used = document_words(spark, sf, "source", "lang").distinct()
-    return used.join(word_ranks(spark, sf).drop("n"), ["lang", "w"])
+    """Distinct words of each (source, language) with their rank in the language.
+
+    The text is cut into words once; the counts per language add up those per source.
+    """
+    used = document_words(spark, sf, "source", "lang").groupBy("source", "lang", "w").agg(F.count("*").alias("c"))
+    used = staged(used, "counts")
+    counts = used.groupBy("lang", "w").agg(F.sum("c").alias("n"))
+    ranks = competition_rank(counts, ["lang"], "n").drop("n")
+    return used.drop("c").join(ranks, ["lang", "w"])
 
 
 def raw_list(spark: SparkSession, sf: str) -> DataFrame:

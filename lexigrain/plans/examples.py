@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import examples as E
+from ..session import staged
 from .base import SQL_WORDS, query, source_words, table
 from .turns import SQL_PAYLOAD_WORDS, turn_payloads
 
@@ -73,8 +74,7 @@ SELECT key, '1||' || row_number() OVER (PARTITION BY key ORDER BY m) || '|' || w
 QUALIFY row_number() OVER (PARTITION BY key ORDER BY m) <= 3""")
 def examples_selected(spark, sf):
     """Greedy choice of each turn, or its top words where no group has a usable word."""
-    payloads = turn_payloads(spark, sf)
-    chosen = E.select_examples(payloads, E.payload_words(payloads))
+    chosen = E.select_examples(staged(E.payload_words(turn_payloads(spark, sf)), "words"))
     item = F.concat_ws("/", F.col("word_id").cast("string"), F.col("reading_index").cast("string"))
     return _picks(chosen, "key", "label", item)
 

@@ -254,8 +254,8 @@ def gate_coverage(spark, sf):
     rows, inv = aligned(spark, sf)
     stats = S.alignment_stats(rows, S.reading_scores(rows, groups(inv)))
     parsed = R.parse_stats(R.valid_rows(R.row_reasons(raw_list(spark, sf)))).drop("rows")
-    one = F.lit(1)
-    both = stats.withColumn("_one", one).join(parsed.withColumn("_one", one), "_one")
+    facts = parsed.select(F.struct(*parsed.columns)).scalar()
+    both = stats.withColumn("_p", facts).select(*stats.columns, "_p.*")
     return G.coverage_checks(both, LOW_FLOORS)
 
 

@@ -128,11 +128,9 @@ SELECT doc_id, length(regexp_replace(lower(text), '[^a-m]', '', 'g')) AS kana,
        length(regexp_replace(lower(text), '[^n-z]', '', 'g')) AS han FROM documents""")
 def char_class(spark, sf):
     docs = table(spark, sf, "documents")
-    mixed = F.split(F.translate(F.lower("text"), _AM + _NZ, KATA[:13] + _NZ_HAN), "")
+    mixed = F.translate(F.lower("text"), _AM + _NZ, KATA[:13] + _NZ_HAN)
     return docs.select(
-        "doc_id",
-        F.size(F.filter(mixed, T.is_kana)).cast("bigint").alias("kana"),
-        F.size(F.filter(mixed, T.is_han)).cast("bigint").alias("han"),
+        "doc_id", T.kana_count(mixed).cast("bigint").alias("kana"), T.han_count(mixed).cast("bigint").alias("han")
     )
 
 

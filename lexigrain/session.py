@@ -32,6 +32,16 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/lexigrain/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give heavy row-wise work enough partitions.
+
+    A table in fewer splits than there are cores, such as a file with one row group,
+    is redistributed before its rows are worked on. Larger tables stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -35,8 +35,8 @@ def sizes(spark: SparkSession, path: str) -> DataFrame:
 def key_list(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """``pos, key`` of JSON arrays of strings, one array per line.
 
-    Items that are no strings or empty drop out; ``strict`` fails on them, and on a
-    document that is no array.
+    A document that is no array fails. Items that are no strings or empty drop out;
+    ``strict`` fails on them.
     """
     docs = spark.read.text(path).where("value <> ''").select(F.try_parse_json("value").alias("v"))
     return key_items(docs, strict)
@@ -44,14 +44,13 @@ def key_list(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
 
 def key_items(docs: DataFrame, strict: bool = False) -> DataFrame:
     """As ``key_list``, for documents that are already VARIANTs in ``v``."""
-    items = docs.select(
-        F.posexplode_outer(F.try_variant_get("v", "$", "array<variant>")).alias("pos", "item")
-    ).withColumn("key", V.only_string("item")).drop("item")
+    parsed = F.try_variant_get("v", "$", "array<variant>")
+    lists = docs.select(F.coalesce(parsed, F.raise_error(F.lit("key list is not an array"))).alias("items"))
+    items = lists.select(F.posexplode("items").alias("pos", "item")).select("pos", V.only_string("item").alias("key"))
     good = F.coalesce(F.col("key") != "", F.lit(False))
     if strict:
-        empty_list = F.col("pos").isNull()
-        items = items.withColumn("key", F.when(good, F.col("key")).otherwise(F.raise_error(F.lit("bad key list"))))
-        return items.where(~empty_list)
+        refused = F.raise_error(F.lit("key list holds an item that is no key"))
+        return items.select("pos", F.when(good, F.col("key")).otherwise(refused).alias("key"))
     return items.where(good)
 
 
