@@ -100,16 +100,28 @@ filter(
 """
 
 
+# Every part of the reading that is no longer than the longest option.
+_PIECES = """
+if(length(reading) = 0, array(), array_distinct(flatten(transform(
+  sequence(1, least(longest, length(reading))),
+  l -> transform(sequence(1, length(reading) - l + 1), i -> substr(reading, i, l))))))
+"""
+
+
 def surface_chars(rows: DataFrame, options: DataFrame) -> DataFrame:
     """Rows with ``chars``: each surface character with the options of its key, if any.
 
     ``options`` holds ``key, alone, compound``. Rows must be unique by
     (surface, reading, rank); regrouping gathers one surface, at most its length.
     """
-    chars = rows.select("surface", "reading", "rank", F.posexplode(F.split("surface", "")).alias("pos", "ch"))
+    lengths = F.transform(F.concat("alone", F.coalesce("compound", F.array().cast("array<string>"))), F.length)
+    longest = options.agg(F.coalesce(F.max(F.array_max(lengths)), F.lit(1))).scalar()
+    cut = rows.select("surface", "reading", "rank", longest.alias("longest"))
+    cut = cut.withColumn("pieces", F.expr(_PIECES)).drop("longest")
+    chars = cut.select("surface", "reading", "rank", "pieces", F.posexplode(F.split("surface", "")).alias("pos", "ch"))
     met = chars.join(options.withColumnRenamed("key", "ch"), "ch", "left")
     # Options that do not occur in the reading can never be consumed.
-    alone, compound = (F.filter(c, lambda o: F.contains("reading", o)).alias(c) for c in ("alone", "compound"))
+    alone, compound = (F.array_intersect(c, "pieces").alias(c) for c in ("alone", "compound"))
     one = F.struct(
         "pos", "ch", alone, compound,
         is_han("ch").alias("stop"), kana_fold(strip("ch")).alias("literal"),
