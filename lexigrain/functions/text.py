@@ -61,7 +61,7 @@ def strip(c) -> Column:
 
 def reading_stem(c) -> Column:
     """Bare reading: stripped, no affix marks, cut at the inflection dot, folded."""
-    bare = F.regexp_replace(strip(F.coalesce(as_col(c), F.lit(""))), "-", "")
+    bare = F.replace(strip(F.coalesce(as_col(c), F.lit(""))), F.lit("-"), F.lit(""))
     return kana_fold(F.substring_index(bare, ".", 1))
 
 

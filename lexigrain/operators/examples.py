@@ -48,22 +48,30 @@ def clean_examples(words: DataFrame, *keep: str) -> DataFrame:
     return raw.select(*keep, F.inline(ranked)).select(*keep, F.inline(whole))
 
 
-def payload_words(payloads: DataFrame, key: str = "key") -> DataFrame:
-    """Every clean word of payload rows ``(key, v)``.
+def payload_words(payloads: DataFrame, key: str = "key", usable: Column | None = None) -> DataFrame:
+    """Every clean word of payload rows ``(key, v)``, of those that are ``usable``.
 
     ``grp`` is the position of the reading group, -1 for the key's top words;
-    ``label`` is the group's clean reading (NULL when unusable).
+    ``label`` is the group's clean reading (NULL when unusable). Top words travel as
+    one more group, so that a payload is read once.
     """
-    top = payloads.select(
-        key, F.lit(-1).alias("grp"), F.lit(None).cast("string").alias("label"),
-        F.posexplode(V.elements("v", "$.topWords")).alias("pos", "w"),
+    top = F.struct(
+        F.lit(-1).alias("grp"), F.lit(None).cast("variant").alias("reading"), V.field("v", "$.topWords").alias("words")
     )
-    groups = payloads.select(key, F.posexplode(V.elements("v", "$.wordsByReading")).alias("grp", "g"))
-    groups = groups.select(key, "grp", V.members("g", "reading", "words").alias("m")).select(
-        key, "grp", clean_text(V.only_string("m.reading")).alias("label"),
-        F.posexplode(V.elements("m.words", "$")).alias("pos", "w"),
+
+    def group(g, i):
+        return F.struct(
+            i.alias("grp"), V.field(g, "$.reading").alias("reading"), V.field(g, "$.words").alias("words")
+        )
+
+    groups = F.concat(F.array(top), F.transform(V.elements("v", "$.wordsByReading"), group))
+    if usable is not None:
+        groups = F.when(usable, groups)
+    words = payloads.select(key, F.inline(groups)).select(
+        key, "grp", clean_text(V.only_string("reading")).alias("label"),
+        F.posexplode(V.elements("words", "$")).alias("pos", "w"),
     )
-    return clean_examples(top.unionByName(groups), key, "grp", "label", "pos")
+    return clean_examples(words, key, "grp", "label", "pos")
 
 
 def greedy_groups(

@@ -31,11 +31,14 @@ def admissible(v) -> Column:
 
 
 def plain_fields(payloads: DataFrame) -> DataFrame:
-    """Typed fields of admissible payload rows ``(key, v)``; no shuffle."""
-    rows = payloads.where(admissible("v")).select("key", "v", V.members("v", *NUMBERS, "character").alias("m"))
+    """Typed fields of admissible payload rows ``(key, v)``; no shuffle.
+
+    The row is built once and generated when its character is usable; a filter on
+    ``v`` would be pushed down and parse the payload a second time.
+    """
+    read = payloads.select("key", "v", V.members("v", *NUMBERS, "character").alias("m"))
     rank = V.only_int("m.frequencyRank")
-    rows = rows.select(
-        "key",
+    typed = F.struct(
         V.only_string("m.character").alias("character"),
         clean_array(V.string_elements("v", "$.meanings")).alias("senses"),
         clean_array(V.string_elements("v", "$.onReadings")).alias("on"),
@@ -46,7 +49,8 @@ def plain_fields(payloads: DataFrame) -> DataFrame:
         V.only_int("m.jlptLevel").alias("jlpt"),
         reading_list().alias("readings"),
     )
-    return rows.withColumn("keyword", F.get("senses", 0))
+    usable = F.filter(F.array(typed), lambda r: F.length(r["character"]) == 1)
+    return read.select("key", F.inline(usable)).withColumn("keyword", F.get("senses", 0))
 
 
 def _word_struct() -> Column:
@@ -66,7 +70,7 @@ def normalized(payloads: DataFrame) -> DataFrame:
     """The full record of every admissible payload. Keys must be unique."""
     # Payload text is parsed for two typed tables, which all branches then read.
     plain = staged(plain_fields(payloads), "fields")
-    words = staged(payload_words(payloads.where(admissible("v"))), "words")
+    words = staged(payload_words(payloads, usable=admissible("v")), "words")
     picked = example_groups(select_examples(words))
     best = (
         global_top(words)

@@ -330,11 +330,10 @@ entries AS (SELECT key, stem, CAST(sum(total) AS BIGINT) AS entries FROM g WHERE
 
 
 def word_groups(spark, sf) -> DataFrame:
-    words = document_words(spark, sf, "lang")
-    return words.select(
-        F.col("lang").alias("key"), RD.reading_stem(kata(F.substring("w", 1, 2))).alias("stem"),
-        (F.length("w") - 3).alias("total"),
-    )
+    words = document_words(spark, sf, "lang").select("lang", F.substring("w", 1, 2).alias("p"), (F.length("w") - 3).alias("total"))
+    # Equal beginnings add up before their text is worked on.
+    summed = words.groupBy("lang", "p").agg(F.sum(F.when(F.col("total") > 0, F.col("total"))).alias("total"))
+    return summed.select(F.col("lang").alias("key"), RD.reading_stem(kata("p")).alias("stem"), "total")
 
 
 @query("reading_entry_counts", f"""
