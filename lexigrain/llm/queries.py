@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neighbours, packing, topk
+from . import language, neighbours, packing, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,22 @@ def op5_topk(spark, sf):
     )
     found = topk.top_scores(rows, rows.where("key % 100 = 0"), k=10)
     return found.select(F.col("query").alias("query_id"), "rank", F.col("key").alias("vec_id"), "score")
+
+
+def held_out(key: str) -> Column:
+    """Whether a document is kept from training."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def language_model(spark: SparkSession, sf: str) -> language.LanguageModel:
+    """Piece probabilities of the given documents' languages, without those held out."""
+    known = glosses(table(spark, sf, "documents")).where(~held_out("key"))
+    return language.train(known, public_tokenizers.path("piece_bpe_32k.model"), language="lang")
+
+
+@query("op9_language")
+def op9_language(spark, sf):
+    found = language.identify(glosses(table(spark, sf, "documents")), language_model(spark, sf))
+    return found.select(
+        F.col("key").alias("doc_id"), held_out("key").alias("held_out"), F.col("language").alias("lang_pred"), "score",
+    )
