@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, neighbours, packing, topk
+from . import language, neighbours, packing, page_text, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,9 @@ def op9_language(spark, sf):
     return found.select(
         F.col("key").alias("doc_id"), held_out("key").alias("held_out"), F.col("language").alias("lang_pred"), "score",
     )
+
+
+@query("op10_page_text")
+def op10_page_text(spark, sf):
+    pages = table(spark, sf, "pages").select(F.struct("page_id", "url").alias("key"), F.col("html").alias("markup"))
+    return page_text.main_text(pages).select("key.page_id", "key.url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
