@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, neighbours, packing, page_text, topk
+from . import language, near_copies, neighbours, packing, page_text, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +95,25 @@ def op9_language(spark, sf):
 def op10_page_text(spark, sf):
     pages = table(spark, sf, "pages").select(F.struct("page_id", "url").alias("key"), F.col("html").alias("markup"))
     return page_text.main_text(pages).select("key.page_id", "key.url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@query("op6_near_copies", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+             ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) END AS s FROM w),
+d AS MATERIALIZED (SELECT dense_rank() OVER (ORDER BY list_sort(s)) AS u, * FROM s),
+units AS MATERIALIZED (SELECT u, min(doc_id) AS rep, len(any_value(s)) AS n, any_value(s) AS s FROM d WHERE len(s) > 0 GROUP BY u),
+t AS MATERIALIZED (SELECT rep, n, unnest(list_transform(s, lambda x: hash(x))) AS h FROM units),
+links AS MATERIALIZED (
+  SELECT a.rep AS a, b.rep AS b FROM t a JOIN t b ON a.h = b.h AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT rep, rep FROM units UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+c AS (SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM d LEFT JOIN units USING (u) LEFT JOIN c USING (rep)""")
+def op6_near_copies(spark, sf):
+    found = near_copies.near_copies(glosses(table(spark, sf, "documents")), words=3, percent=90)
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
