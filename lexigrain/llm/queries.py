@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, near_copies, neighbours, packing, page_text, topk
+from . import language, line_dedup, near_copies, neighbours, packing, page_text, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +117,9 @@ FROM d LEFT JOIN units USING (u) LEFT JOIN c USING (rep)""")
 def op6_near_copies(spark, sf):
     found = near_copies.near_copies(glosses(table(spark, sf, "documents")), words=3, percent=90)
     return found.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+@query("op8_line_dedup")
+def op8_line_dedup(spark, sf):
+    found = line_dedup.remove_repeated_lines(glosses(table(spark, sf, "documents")))
+    return found.select(F.col("key").alias("doc_id"), F.col("gloss").alias("text"), "removed")
