@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, line_dedup, near_copies, neighbours, packing, page_text, topk
+from . import language, line_dedup, near_copies, neighbours, packing, page_text, quotes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +123,8 @@ def op6_near_copies(spark, sf):
 def op8_line_dedup(spark, sf):
     found = line_dedup.remove_repeated_lines(glosses(table(spark, sf, "documents")))
     return found.select(F.col("key").alias("doc_id"), F.col("gloss").alias("text"), "removed")
+
+
+@query("op2_quotes")
+def op2_quotes(spark, sf):
+    return quotes.conversations(table(spark, sf, "conversations"), thread="conv_id", position="turn")
