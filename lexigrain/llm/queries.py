@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, line_dedup, near_copies, neighbours, packing, page_text, quotes, topk
+from . import language, line_dedup, mixing, near_copies, neighbours, packing, page_text, quotes, secret_scan, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,33 @@ def op8_line_dedup(spark, sf):
 @query("op2_quotes")
 def op2_quotes(spark, sf):
     return quotes.conversations(table(spark, sf, "conversations"), thread="conv_id", position="turn")
+
+
+def domains(spark: SparkSession, sf: str) -> DataFrame:
+    """The labelled documents: toxic, or of high or low quality."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low")
+    return table(spark, sf, "labels").select(F.col("doc_id").alias("key"), domain.alias("domain"))
+
+
+@query("op1_mixing")
+def op1_mixing(spark, sf):
+    mixed = mixing.mix(
+        glosses(table(spark, sf, "documents")), domains(spark, sf), {"high": 1.2, "low": 0.5, "toxic": 0.0}, relative=True,
+    )
+    return mixed.select(
+        F.col("key").alias("doc_id"), "n_tokens", *[F.col("posterior")[d].alias(f"p_{d}") for d in ("high", "low", "toxic")],
+        "rate", "copies",
+    )
+
+
+@query("op3_secret_scan")
+def op3_secret_scan(spark, sf):
+    docs = table(spark, sf, "documents")
+    files = docs.select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), F.col("text").alias("content"))
+    words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    # Findings of the labelled documents, told by the exact form in which a secret is assigned there.
+    reviewed = docs.join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi").select(
+        F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), F.posexplode(F.split("text", r"\s+")).alias("at", "word"),
+    ).where(F.length("word") >= 16).withColumn("secret", F.col("word").rlike('^"[0-9a-f]{40}"'))
+    found = secret_scan.scan(files, words.where("n >= 5 AND word <> ''"), reviewed)
+    return found.select(F.element_at(F.split("path", "/"), -1).cast("bigint").alias("doc_id"), "at", "candidate", "score")
