@@ -32,16 +32,74 @@ LONGEST_PIECE = 16
 #: Every letter's probability is multiplied by this in the sums, so that long words stay in the range of doubles.
 LIFT = np.exp(8.0)
 #: Words whose scores a worker keeps; a fuller table only costs time.
-WORD_TABLE = 800_000
-BATCH_CHARS = 8_000_000
+WORD_TABLE = 300_000
+BATCH_CHARS = 4_000_000
+
+
+class Pieces:
+    """The vocabulary's pieces by number, found for many substrings at once by 64-bit hashes.
+
+    Hashes are kept in tables of one entry a slot; pieces whose slot is taken go to the next table.
+    """
+
+    SLOTS = (19, 15, 13, 13)
+
+    def __init__(self, path: str):
+        p = sentencepiece.SentencePieceProcessor(model_file=path)
+        held = [i for i in range(p.get_piece_size()) if not (p.is_control(i) or p.is_unknown(i) or p.is_byte(i))]
+        self.names = [x for x in map(p.id_to_piece, held) if len(x) <= LONGEST_PIECE]
+        self.tables = []
+        hashes = np.zeros(len(self.names), np.uint64)
+        for n in {len(x) for x in self.names}:
+            rows = [i for i, x in enumerate(self.names) if len(x) == n]
+            code = codes([self.names[i] for i in rows], n)
+            h = np.full(len(rows), HASH_START, np.uint64)
+            for j in range(n):
+                h = step(h, code[:, j])
+            hashes[rows] = h
+        left = np.arange(len(self.names))
+        for level, bits in enumerate(self.SLOTS):
+            slot = self.slot(hashes[left], level)
+            _, first = np.unique(slot, return_index=True)
+            keys, numbers = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+            keys[slot[first]], numbers[slot[first]] = hashes[left[first]], left[first]
+            self.tables.append((keys, numbers))
+            left = np.delete(left, first)
+        if len(left):
+            raise ValueError("pieces left without a slot")
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def slot(self, h: np.ndarray, level: int) -> np.ndarray:
+        return (h >> np.uint64(64 - self.SLOTS[level] - 8 * level)).astype(np.int64) & ((1 << self.SLOTS[level]) - 1)
+
+    def find(self, h: np.ndarray, none: int) -> np.ndarray:
+        out = np.full(h.shape, none, np.int32)
+        for level, (keys, numbers) in enumerate(self.tables):
+            slot = self.slot(h, level)
+            hit = (keys[slot] == h) & (numbers[slot] >= 0)
+            out[hit] = numbers[slot[hit]]
+        return out
+
+
+HASH_START = np.uint64(0xCBF29CE484222325)
+
+
+def step(h: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """A substring's hash with one more character."""
+    h = (h ^ code) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
+
+
+def codes(words: list[str], n: int) -> np.ndarray:
+    """``[word, place]`` code points of words of one length."""
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), n).astype(np.uint64)
 
 
 @functools.lru_cache(maxsize=1)
-def pieces(path: str) -> dict[str, int]:
-    """The vocabulary's pieces by number, without control and byte pieces."""
-    p = sentencepiece.SentencePieceProcessor(model_file=path)
-    held = (i for i in range(p.get_piece_size()) if not (p.is_control(i) or p.is_unknown(i) or p.is_byte(i)))
-    return {p.id_to_piece(i): n for n, i in enumerate(held)}
+def pieces(path: str) -> Pieces:
+    return Pieces(path)
 
 
 def words_of(texts: list[str | None]) -> pa.LargeListArray:
@@ -55,39 +113,41 @@ def runs_of(word: str) -> list[str]:
     return [word[i:i + WORD_LETTERS] for i in range(0, len(word), WORD_LETTERS)]
 
 
-def _lattices(words: list[str], known: dict[str, int]) -> Iterator[tuple[np.ndarray, int, list, np.ndarray]]:
-    """Words of one length together: their places, length, spans, and the piece of each span.
+def _lattices(words: list[str], known: Pieces) -> Iterator[tuple[np.ndarray, int, list, np.ndarray]]:
+    """Words of one length together: their places, length, spans, and ``[span, word]`` the piece of each span.
 
     A span that is no piece gets the last number, a single unknown character the one before.
     """
     none, unknown = len(known) + 1, len(known)
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    for n in np.unique(lengths):
+    for n in map(int, np.unique(lengths)):
         spans = [(i, j) for i in range(n) for j in range(i + 1, min(n, i + LONGEST_PIECE) + 1)]
         places = np.flatnonzero(lengths == n)
-        for part in np.array_split(places, -(-len(places) * len(spans) // 400_000)):
-            get = known.get
-            ids = [[get(s[i:j], none) for i, j in spans] for s in (START + words[p] for p in part)]
-            ids = np.array(ids, np.int32).reshape(len(part), len(spans))
+        for part in np.array_split(places, -(-len(places) * len(spans) // 200_000)):
+            code = codes([START + words[p] for p in part], n)
+            hashes = np.empty((len(spans), len(part)), np.uint64)
+            for s, (i, j) in enumerate(spans):
+                hashes[s] = step(hashes[s - 1] if j > i + 1 else HASH_START, code[:, j - 1])
+            ids = known.find(hashes, none)
             single = np.array([j - i == 1 for i, j in spans])
-            ids[:, single] = np.where(ids[:, single] == none, unknown, ids[:, single])
-            yield part, int(n), spans, ids
+            ids[single] = np.where(ids[single] == none, unknown, ids[single])
+            yield part, n, spans, ids
 
 
-def _lifted(spans: list, ids: np.ndarray, chances: np.ndarray) -> list[np.ndarray]:
-    """``[word, language]`` chance of each span, times ``LIFT`` per letter."""
-    powers = LIFT ** np.arange(LONGEST_PIECE + 1)
-    return [chances[ids[:, s]] * powers[j - i] for s, (i, j) in enumerate(spans)]
+def _lifted(spans: list, ids: np.ndarray, chances: np.ndarray) -> np.ndarray:
+    """``[span, word, language]`` chance of each span, times ``LIFT`` per letter."""
+    powers = LIFT ** np.array([j - i for i, j in spans])
+    return chances[ids] * powers[:, None, None]
 
 
-def _forward(n: int, spans: list, parts: list[np.ndarray]) -> list[np.ndarray]:
+def _forward(n: int, spans: list, parts: np.ndarray) -> list[np.ndarray]:
     alpha = [np.ones_like(parts[0])] + [np.zeros_like(parts[0]) for _ in range(n)]
     for s, (i, j) in enumerate(spans):  # in order of i, and alpha[i] is complete before its spans
         alpha[j] += alpha[i] * parts[s]
     return alpha
 
 
-def word_scores(words: list[str], known: dict[str, int], chances: np.ndarray) -> np.ndarray:
+def word_scores(words: list[str], known: Pieces, chances: np.ndarray) -> np.ndarray:
     """``[word, language]`` logarithm of each word's probability over all its segmentations."""
     out = np.zeros((len(words), chances.shape[1]))
     for part, n, spans, ids in _lattices(words, known):
@@ -95,7 +155,7 @@ def word_scores(words: list[str], known: dict[str, int], chances: np.ndarray) ->
     return out
 
 
-def expected_pieces(words: list[str], counts: np.ndarray, known: dict[str, int], chances: np.ndarray) -> np.ndarray:
+def expected_pieces(words: list[str], counts: np.ndarray, known: Pieces, chances: np.ndarray) -> np.ndarray:
     """``[piece, language]`` how often each piece is used, over all segmentations of counted words."""
     used = np.zeros_like(chances)
     for part, n, spans, ids in _lattices(words, known):
@@ -107,9 +167,10 @@ def expected_pieces(words: list[str], counts: np.ndarray, known: dict[str, int],
             beta[i] += parts[s] * beta[j]
         weight = counts[part] / alpha[n]
         for s, (i, j) in enumerate(spans):
-            share = alpha[i] * parts[s] * beta[j] * weight
-            for k in range(chances.shape[1]):
-                used[:, k] += np.bincount(ids[:, s], share[:, k], len(used))
+            parts[s] *= alpha[i] * beta[j] * weight
+        real = ids < len(chances) - 1
+        for k in range(chances.shape[1]):
+            used[:, k] += np.bincount(ids[real], parts[:, :, k][real], len(used))
     return used
 
 
