@@ -1,15 +1,83 @@
-"""The corpus pipeline: stages that each call one of the operators."""
+"""From raw documents to packed training sequences, in five stages of the library's operators.
+
+Each stage takes the documents that the one before it kept, as a written table, and returns
+documents; the last returns the pieces of the packed sequences. Rows may repeat, any column may
+be NULL and further columns pass through all stages but the last; an empty table gives an empty
+result.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexigrain.llm import language, line_dedup, mixing, near_copies, packing
+from lexigrain.llm.queries import domains
+from lexigrain.session import staged
+
+#: Posterior of the predicted language from which a document stays.
+LEAST_SCORE = 0.5
+#: Wanted expected tokens of each labelled domain, as multiples of what the documents hold.
+WEIGHTS = {"high": 1.3, "low": 0.5, "toxic": 0.0}
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labelled ones teach; without any label, those with letters are not told apart and stay."""
+    model = language.train(docs, public_tokenizers.path("piece_bpe_32k.model"), gloss="text", language="lang")
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    found = language.identify(rows, model, key="row", gloss="text")
+    return found.where((F.col("language") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select("key.*")
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of earlier ones; those that have nothing else go."""
+    named = docs.withColumnRenamed("removed", "__removed")
+    shorter = line_dedup.remove_repeated_lines(named, key="doc_id", gloss="text")
+    kept = shorter.where((F.col("removed") == 0) | (F.col("text") != "")).drop("removed").withColumnRenamed("__removed", "removed")
+    return kept.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that of the smallest id, once; documents without an id stay."""
+    found = near_copies.near_copies(docs, key="doc_id", gloss="text")
+    first = found.where("key = component").select(F.col("key").alias("doc_id")).distinct()
+    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+
+
+def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the rates fitted to the target weights say: none, once or more."""
+    labelled = domains(spark, sf_dir).join(docs.select(F.col("doc_id").alias("key")).distinct(), "key", "left_semi")
+    if labelled.where("domain IS NOT NULL").isEmpty():
+        return docs
+    mixed = mixing.mix(docs.select(F.col("doc_id").alias("key"), F.col("text").alias("gloss")), labelled, WEIGHTS, relative=True)
+    copies = mixed.select(F.col("key").alias("__key"), "copies").distinct()
+    joined = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__key"))).where("copies > 0")
+    repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return repeated.select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of power-of-two length of every document, each a sequence of its own."""
+    pieces = packing.pack_glosses(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, key="doc_id", gloss="text")
+    return pieces.select(
+        F.col("key").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), F.col("n_tokens").alias("doc_tokens"),
+        F.col("sequence").alias("sequence_id"), "offset", "bucket",
+    )
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", language_id), ("line_dedup", repeated_lines), ("near_duplicates", near_duplicates),
+    ("mixing_weights", mixing_weights), ("packing", packed),
+]
+#: Learned and iterative stages have no SQL form; the stages are tested against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), name)
     return docs

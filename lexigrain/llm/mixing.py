@@ -22,9 +22,12 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 
-FEATURES = 1 << 14
+FEATURES = 1 << 16
+MARKS = ".,;:!?#%&*$|()[]{}<>\"'"
 #: Labelled glosses used to fit the classifier, at most, for each domain; chosen by a hash of the key.
 LABELLED = 4000
+#: Weight of the absolute size of the classifier's coefficients: only words that tell domains apart get one.
+PENALTY = 2e-3
 STEPS = 60
 #: Steps whose arithmetic is kept as one expression before the rates are written down.
 HELD_STEPS = 6
@@ -38,6 +41,16 @@ def words(gloss: str) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(gloss, F.lit(""))), r"\s+"), lambda w: w != "")
 
 
+def traits(gloss: str, tokens: str) -> Column:
+    """What the classifier sees: words without the marks around them, and how much of the text is marks, capitals and digits."""
+    size = F.greatest(F.length(gloss), F.lit(1))
+    level = lambda name, pattern: F.concat(
+        F.lit(f"#{name}"), F.floor(F.lit(10) * F.regexp_count(gloss, F.lit(pattern)) / size).cast("string"),
+    )
+    extra = F.array(level("marks", r"[^\p{L}\p{N}\s]"), level("capitals", r"\p{Lu}"), level("digits", r"\p{N}"))
+    return F.concat(F.transform(tokens, lambda w: F.btrim(w, F.lit(MARKS))), F.coalesce(F.filter(extra, lambda x: x.isNotNull()), F.array()))
+
+
 def posteriors(
     glosses: DataFrame, labelled: DataFrame, key: str = "key", gloss: str = "gloss", domain: str = "domain", labels: int = LABELLED,
 ) -> tuple[DataFrame, list[str]]:
@@ -56,14 +69,15 @@ def posteriors(
     number = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")) - 1
     share = F.element_at(F.create_map(*[x for d in domains for x in (F.lit(d), F.lit(min(1.0, labels / counts[d])))]), F.col("domain"))
     chosen = known.where(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(1 << 20)) < share * (1 << 20))
-    hashed = HashingTF(numFeatures=FEATURES, binary=True, inputCol="words", outputCol="features")
-    tokens = glosses.select(F.col(key).alias("key"), words(gloss).alias("words"))
+    hashed = HashingTF(numFeatures=FEATURES, binary=True, inputCol="traits", outputCol="features")
+    tokens = glosses.select(F.col(key).alias("key"), F.col(gloss).alias("gloss"), words(gloss).alias("words"))
+    tokens = tokens.select("key", F.size("words").cast("bigint").alias("n_tokens"), traits("gloss", "words").alias("traits"))
     if len(domains) == 1:
-        return tokens.select("key", F.size("words").cast("bigint").alias("n_tokens"), F.array(F.lit(1.0)).alias("posterior")), domains
-    sample = staged(tokens.join(chosen, "key").select("words", number.cast("double").alias("label")), "labelled")
-    model = LogisticRegression(maxIter=40, regParam=1e-3).fit(hashed.transform(sample))
+        return tokens.select("key", "n_tokens", F.array(F.lit(1.0)).alias("posterior")), domains
+    sample = staged(tokens.join(chosen, "key").select("traits", number.cast("double").alias("label")), "labelled")
+    model = LogisticRegression(maxIter=60, regParam=PENALTY, elasticNetParam=1.0, standardization=False).fit(hashed.transform(sample))
     scored = model.transform(hashed.transform(tokens))
-    return scored.select("key", F.size("words").cast("bigint").alias("n_tokens"), vector_to_array("probability").alias("posterior")), domains
+    return scored.select("key", "n_tokens", vector_to_array("probability").alias("posterior")), domains
 
 
 def mix(
