@@ -23,6 +23,8 @@ LONG = 200
 STOP_LOW = 0.20
 STOP_HIGH = 0.30
 MOST_LINKS = 0.33
+#: Share of links from which a block of a marked article is none of its text, such as a list of tags.
+ONLY_LINKS = 0.9
 
 #: The commonest function words of the languages read here; a parameter of ``main_text``.
 STOP_WORDS = {
@@ -188,7 +190,9 @@ def classify(found: list[Block], stop_words: frozenset[str] = ALL_STOP_WORDS) ->
     known = any(d > 0 for d, b in zip(density, found, strict=True) if not b.beside)
     for b, d in zip(found, density, strict=True):
         size = len(b.text)
-        if b.beside or b.linked > MOST_LINKS * size and not (b.heading and b.article):
+        if b.article and b.linked > ONLY_LINKS * size and not b.heading:
+            b.beside = True
+        if b.beside or b.linked > MOST_LINKS * size and not b.article:
             b.label = BAD
         elif b.article:
             b.label = GOOD if size >= SHORT else SHORT_BLOCK
