@@ -126,8 +126,8 @@ def near_copies(
 
     Words are what white space of ASCII separates, with A-Z in lower case. A gloss of fewer words
     is one shingle, the whole of it; a NULL or blank gloss has none and links with nothing. Texts
-    with equal sets are linked. Keys are bigint; rows of one key are one record, so what any of
-    its texts links with is linked. A row with a NULL key links with nothing and its component is
+    with equal sets are linked. Keys are bigint; rows of one key are one record, whose texts are
+    linked. A row with a NULL key links with nothing and its component is
     NULL. Every row of the table comes back, an empty table gives none, further columns are
     ignored. Sets are kept as 64-bit hashes of their shingles.
     """
@@ -219,13 +219,12 @@ def near_copies(
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = staged(pairs.join(stars, ["a", "b"], "left_anti"), "further-pairs")
     more = _linked(pairs, units, texts, words, percent)
-    found = components(links.unionByName(more))
-
-    by_unit = same.join(found.withColumnRenamed("node", "unit"), "unit", "left").select(
-        "digest", F.coalesce("component", "unit").alias("component"),
-    )
-    return sets.select("key", "n", "digest").join(by_unit, "digest", "left").select(
-        "key", F.col("n").alias("n_shingles"), F.when(F.col("key").isNotNull(), F.coalesce("component", "key")).alias("component"),
+    by_row = staged(sets.select("key", "n", "digest").join(same, "digest", "left").select("key", "n", "unit"), "rows-with-units")
+    several = by_row.groupBy("key").agg(F.min("unit").alias("a"), F.max("unit").alias("b")).where("a < b").select("key", "a")
+    records = by_row.where("unit IS NOT NULL").join(several, "key").select("a", F.col("unit").alias("b"))
+    found = components(links.unionByName(more).unionByName(records)).withColumnRenamed("node", "unit")
+    return by_row.join(found, "unit", "left").select(
+        "key", F.col("n").alias("n_shingles"), F.when(F.col("key").isNotNull(), F.coalesce("component", "unit", "key")).alias("component"),
     )
 
 
