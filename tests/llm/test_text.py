@@ -1,0 +1,179 @@
+"""Language, page text, line dedup and near copies."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from lexigrain.llm import components, language, line_dedup, near_copies, page_text
+
+VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def _segmentations(word):
+    if not word:
+        yield []
+    for i in range(1, len(word) + 1):
+        for rest in _segmentations(word[i:]):
+            yield [word[:i], *rest]
+
+
+def test_word_scores_sum_all_segmentations():
+    known = language.pieces(VOCABULARY)
+    number = {x: i for i, x in enumerate(known.names)}
+    rng = np.random.default_rng(1)
+    chances = rng.random((len(known) + 2, 2))
+    chances[-1] = 0
+    chances /= chances.sum(axis=0)
+    words = ["the", "über", "q", "日語", "\U0001f600x"]
+    for word, score in zip(words, language.word_scores(words, known, chances), strict=True):
+        total = np.zeros(2)
+        for cut in _segmentations("▁" + word):
+            ids = [number.get(p, len(known) if len(p) == 1 else len(known) + 1) for p in cut]
+            total += np.prod([chances[i] for i in ids], axis=0)
+        assert np.exp(score) == pytest.approx(total, rel=1e-9)
+    used = language.expected_pieces(["the"], np.ones((1, 2)), known, chances)
+    by_hand, whole = np.zeros_like(used), np.zeros(2)
+    for cut in _segmentations("▁the"):
+        ids = [number.get(p, len(known) if len(p) == 1 else len(known) + 1) for p in cut]
+        p = np.prod([chances[i] for i in ids], axis=0)
+        whole += p
+        for i in ids:
+            by_hand[i] += p
+    assert used == pytest.approx(by_hand / whole)
+
+
+def test_language_is_learned_and_told(spark):
+    rng = random.Random(5)
+    stock = {"en": "the of and to house water small great".split(), "de": "der die und zu haus wasser klein groß".split(),
+             "fr": "le la et du maison eau petit grande".split()}
+    rows = [(i, " ".join(rng.choices(stock[x], k=30)), x, "z") for i, x in enumerate(list(stock) * 20)]
+    df = spark.createDataFrame(rows, "key long, gloss string, language string, score string")
+    model = language.train(df.where("key % 4 <> 2"), VOCABULARY)
+    assert model.languages == ["de", "en", "fr"]
+    odd = [(100, None, None, ""), (101, "", None, ""), (102, "12 -- ½", "en", ""), (None, "THE HOUSE and the water", None, ""), (103, "haus" * 60, None, "")]
+    out = {r["key"]: (r["language"], r["score"]) for r in language.identify(df.unionByName(spark.createDataFrame(odd, df.schema)), model).collect()}
+    assert all(out[k][0] == x for k, _, x, _ in rows)
+    assert [out[k] for k in (100, 101, 102)] == [("und", 0.0)] * 3
+    assert out[None][0] == "en" and out[103][0] == "de" and all(0 <= s <= 1 for _, s in out.values())
+    none = language.train(df.where("false"), VOCABULARY)
+    assert {r["language"] for r in language.identify(df, none).collect()} == {"und"}
+    assert language.identify(df.where("false"), model).collect() == []
+
+
+LONG = "This is a paragraph of the article, and it is long enough to be the main text of the page; " * 3
+
+
+@pytest.mark.parametrize(("markup", "text"), [
+    (None, ""), ("", ""), ("<html><body></body></html>", ""), ("plain &amp; simple", "plain & simple"),
+    (f"<nav><a href=x>Menu</a></nav><div class='ad'>Buy it and be happy with it.</div><article><h1>Title</h1><p>{LONG}<p>Short &lt;b&gt;\n x.</article><footer>&copy; me</footer>",
+     "Title\n" + LONG.strip() + "\nShort <b> x."),
+    (f"<body><header>The site</header><div id=main-text><h2>Head</h2><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div><form><p>{LONG}</p></form>"
+     f"<div class='user-comments'><p>{LONG}</p></div><aside>{LONG}</aside></body>", "Head\n" + LONG.strip() + "\nShort.\n" + LONG.strip()),
+    ("<article><p>One</p><script>var t='</p>';</script><p>Two <a href=x>link</a></p><p>x | y | z</p><article class=comment><p>Hm</p></article></article>",
+     "One\nTwo link\nx | y | z"),
+    ("<article><header><h1>T</h1><p>by me</p></header><p>unclosed <b>bold<br>text<p>next &am", "T\nunclosed bold text\nnext &am"),
+    (f"<div><ul><li><a href=a>One link to it</a><li><a href=b>And one more</a></ul><p>{LONG}</p></div>", LONG.strip()),
+])
+def test_page_text(markup, text):
+    assert page_text.page_text(markup) == text
+
+
+def test_page_text_of_a_table(spark):
+    df = spark.createDataFrame([(1, "<p>a b</p>", "t"), (1, "<p>a b</p>", "t"), (None, None, "t")], "key long, markup string, text string")
+    assert sorted(map(str, (tuple(r) for r in page_text.main_text(df).collect()))) == ["(1, 'a b')", "(1, 'a b')", "(None, '')"]
+    assert page_text.main_text(df.where("false")).collect() == []
+
+
+@pytest.mark.parametrize(("a", "b"), [
+    ([1, 2, 3, 4], [1, 9, 3, 4]), ([1, 1, 2, 1], [1, 2, 1, 1]), ([1, 2], [3, 4]), ([], [1]), ([5, 6, 7, 1, 2], [1, 2, 5, 6, 7]), ([3, 3, 3], [3, 3]),
+])
+def test_patience_aligns_in_order(a, b):
+    pairs = line_dedup.patience(a, b)
+    assert all(a[i] == b[j] for i, j in pairs)
+    assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+    assert bool(pairs) == bool(set(a) & set(b))
+
+
+def test_repeated_passages_go_from_later_glosses(spark, prose):
+    x, y, z = (prose(i) for i in (1, 2, 3))
+    first = x.split("\n")
+    rows = [(5, x, "a"), (7, y + "\n" + first[1].upper() + "\nshort line", "b"), (8, z + "\n\nshort line", "c"), (9, x, "d"),
+            (10, "\n".join([first[3], "new words of this text only are here today", first[0]]), "e"), (11, None, "f"), (12, "", "g"), (None, x, "h"), (13, x, "i"), (13, x, "i")]
+    df = spark.createDataFrame(rows, "key long, gloss string, removed string").repartition(3)
+    out = {(r["key"]): (r["gloss"], r["removed"]) for r in line_dedup.remove_repeated_lines(df).collect()}
+    assert out[5] == (x, 0) and out[7] == (y + "\nshort line", 1) and out[8] == (z + "\n\nshort line", 0)
+    assert out[9] == ("", 4) and out[10] == ("new words of this text only are here today", 2)
+    assert out[11] == (None, 0) and out[12] == ("", 0) and out[None] == (x, 0) and out[13] == ("", 4)
+    assert line_dedup.remove_repeated_lines(df).count() == 10
+    assert line_dedup.remove_repeated_lines(df.where("false")).collect() == []
+
+
+def test_every_passage_of_an_earlier_gloss_goes(spark):
+    rng = random.Random(3)
+    lines = [" ".join(rng.choices("abcdefgh", k=rng.randint(1, 12))) for _ in range(25)]
+    texts = ["\n".join(rng.choices(lines, k=rng.randint(1, 9))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "key long, gloss string")
+    gone = {r["key"]: set(r["lines"]) for r in line_dedup.repeated_lines(df).collect()}
+    seen = set()
+    for key, text in enumerate(texts):
+        split = text.split("\n")
+        runs = line_dedup.passages([line_dedup.line_hash(x) for x in split], [len(x.split()) for x in split], 8)
+        must = {i for h, start, end in runs if h in seen for i in range(start, end)}
+        assert must <= gone.get(key, set()) and bool(must) == (key in gone)
+        seen |= {h for h, _, _ in runs}
+
+
+def _component_by_hand(sets, least):
+    up = list(range(len(sets)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= least * len(a | b):
+                x, y = sorted((top(i), top(j)))
+                up[y] = x
+    return [top(i) for i in range(len(sets))]
+
+
+@pytest.mark.parametrize(("words", "least"), [(3, 90), (5, 80)])
+def test_near_copies_equal_brute_force(spark, words, least):
+    rng = random.Random(words)
+    base = [[rng.choice("abcdefghijklmnopqrst") + str(rng.randint(0, 30)) for _ in range(rng.choice([1, 2, 4, 30, 60, 120]))] for _ in range(25)]
+    shared = [f"s{i}" for i in range(40)]
+    texts = []
+    for _ in range(160):
+        t = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 2, 5])):
+            t[rng.randrange(len(t))] = rng.choice("xyz")
+        texts.append(" ".join(shared + t if rng.random() < 0.3 else t))
+    texts += [texts[0].upper(), "", " \n\t ", "a", "A", "é É", "É é"]
+
+    def shingles(t):
+        w = t.encode().lower().split()
+        return {tuple(w[i:i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+
+    sets = [shingles(t) for t in texts]
+    df = spark.createDataFrame([(i, t, i, "x") for i, t in enumerate(texts)], "key long, gloss string, component int, n string").repartition(3)
+    out = {r["key"]: (r["n_shingles"], r["component"]) for r in near_copies.near_copies(df, words=words, percent=least).collect()}
+    assert out == {i: (len(s), c) for i, (s, c) in enumerate(zip(sets, _component_by_hand(sets, least), strict=True))}
+
+
+def test_near_copies_of_odd_rows(spark, prose):
+    x, y = prose(1), prose(2)
+    rows = [(3, x), (3, x), (4, None), (None, x), (6, x), (6, y), (9, y), (10, "")]
+    out = near_copies.near_copies(spark.createDataFrame(rows, "key long, gloss string")).collect()
+    assert sorted((str(r["key"]), str(r["component"])) for r in out) == sorted(
+        [("3", "3"), ("3", "3"), ("4", "4"), ("None", "None"), ("6", "3"), ("6", "3"), ("9", "3"), ("10", "10")])
+    assert near_copies.near_copies(spark.createDataFrame([], "key long, gloss string")).collect() == []
+
+
+def test_components_of_long_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, 1000 + i) for i in range(50)] + [(5, 5), (1, 2), (2, 1)]
+    out = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert out == {i: 100 for i in range(100, 161)} | {7: 7} | {1000 + i: 7 for i in range(50)} | {1: 1, 2: 1}
