@@ -116,6 +116,13 @@ def _similar(percent: int) -> Column:
     return sizes & room
 
 
+def _may_hold(low: str, high: str, at: str, low2: str, high2: str, at2: str, percent: int) -> Column:
+    """Whether two lots of members, known by their sizes and first places, can hold a pair that passes ``_similar``."""
+    sizes = (F.col(high) * 100 >= F.col(low2) * percent) & (F.col(high2) * 100 >= F.col(low) * percent)
+    room = 1 + F.least(F.col(high) - 1 - F.col(at), F.col(high2) - 1 - F.col(at2))
+    return sizes & (room * (100 + percent) >= (F.col(low) + F.col(low2)) * percent)
+
+
 def near_copies(
     glosses: DataFrame, key: str = "key", gloss: str = "gloss", words: int = WORDS, percent: int = PERCENT,
 ) -> DataFrame:
@@ -208,13 +215,21 @@ def near_copies(
     held = in_lists.unionByName(in_groups).drop("group")
     mixed = held.groupBy("token", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     held = staged(held.join(mixed.select("token", "bucket"), ["token", "bucket"], "left_semi"), "mixed-lists")
-    kinds = held.select("token", "bucket", "component").distinct()
-    apart = kinds.withColumnRenamed("component", "x").join(kinds.withColumnRenamed("component", "y"), ["token", "bucket"]).where("x < y")
+    # What a component has at most in a list: a first test of components, then of a member with a component.
+    kinds = held.groupBy("token", "bucket", "component").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.min("i").alias("at"),
+    )
+    x_kinds = kinds.toDF("token", "bucket", "x", "x_low", "x_high", "x_at")
+    y_kinds = kinds.toDF("token", "bucket", "y", "y_low", "y_high", "y_at")
+    apart = x_kinds.join(y_kinds, ["token", "bucket"]).where(
+        (F.col("x") < F.col("y")) & _may_hold("x_low", "x_high", "x_at", "y_low", "y_high", "y_at", percent)
+    )
     left = held.select("token", "bucket", F.col("component").alias("x"), F.col("key").alias("a"), "n", "i", F.col("guest").alias("g"))
     right = held.select(
         "token", "bucket", F.col("component").alias("y"), F.col("key").alias("b"), F.col("n").alias("m"), F.col("i").alias("j"), "guest",
     )
-    pairs = apart.join(left, ["token", "bucket", "x"]).join(right, ["token", "bucket", "y"]).where(
+    near = apart.join(left, ["token", "bucket", "x"]).where(_may_hold("n", "n", "i", "y_low", "y_high", "y_at", percent))
+    pairs = near.select("token", "bucket", "y", "a", "n", "i", "g").join(right, ["token", "bucket", "y"]).where(
         _similar(percent) & ~(F.col("g") & F.col("guest"))
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = staged(pairs.join(stars, ["a", "b"], "left_anti"), "further-pairs")
