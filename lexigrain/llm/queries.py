@@ -153,8 +153,9 @@ def op3_secret_scan(spark, sf):
     files = docs.select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), F.col("text").alias("content"))
     words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     # Findings of the labelled documents, told by the exact form in which a secret is assigned there.
-    reviewed = docs.join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi").select(
-        F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), F.posexplode(F.split("text", r"\s+")).alias("at", "word"),
-    ).where(F.length("word") >= 16).withColumn("secret", F.col("word").rlike('^"[0-9a-f]{40}"'))
+    path = F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path")
+    found = docs.select("doc_id", path, F.posexplode(F.split("text", r"\s+")).alias("at", "word")).where(F.length("word") >= 16)
+    found = found.select("doc_id", "path", "at", F.col("word").rlike('^"[0-9a-f]{40}"').alias("secret"))
+    reviewed = found.join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
     found = secret_scan.scan(files, words.where("n >= 5 AND word <> ''"), reviewed)
     return found.select(F.element_at(F.split("path", "/"), -1).cast("bigint").alias("doc_id"), "at", "candidate", "score")

@@ -109,7 +109,7 @@ def scan(
     marks = labelled.select(
         F.col(path).cast("string").alias("path"), F.col("at").cast("int").alias("at"), F.col(secret).cast("boolean").cast("double").alias("label"),
     ).where("label IS NOT NULL").distinct()
-    known = found.join(marks, ["path", "at"])
+    known = staged(found.join(marks, ["path", "at"]), "known-findings")
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return found.select("path", "at", "candidate", F.lit(None).cast("double").alias("score"))
