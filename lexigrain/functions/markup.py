@@ -35,11 +35,15 @@ def stroke_count(svg, path: str = PATH) -> Column:
     return F.when(n > 0, n)
 
 
-def components(svg, key, element: str = ELEMENT) -> Column:
-    """Distinct element names in order; the key comes first when it is not among them."""
+def components(svg, key, element: str = ELEMENT, path: str = PATH) -> Column:
+    """Distinct element names in order; the key comes first when it is not among them.
+
+    NULL without a stroke path: such a markup has no features at all.
+    """
     names = F.array_distinct(_all(svg, element, 1))
     key = as_col(key)
-    return F.when(F.array_contains(names, key), names).otherwise(F.concat(F.array(key), names))
+    named = F.when(F.array_contains(names, key), names).otherwise(F.concat(F.array(key), names))
+    return F.when(stroke_count(svg, path).isNotNull(), named)
 
 
 def first_marker(svg, key, marker: str = MARKER) -> Column:

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from .text import as_col
 
-# Largest accepted rank, and the rank where the tail damping starts.
-MAX_RANK = 10_000_000
+# Fixed value: the rank where the tail damping starts.
 TAIL_START = 100_000
 
 WEIGHT_TYPE = "decimal(28,18)"
@@ -17,12 +16,12 @@ WEIGHT_TYPE = "decimal(28,18)"
 def rank_weight(rank) -> Column:
     """Inverse square root of the rank, damped quadratically past the tail start.
 
-    0 outside 1..MAX_RANK and for NULL.
+    0 below 1 and for NULL.
     """
     r = as_col(rank).cast("double")
     ratio = F.lit(float(TAIL_START)) / r
     damping = F.when(r > TAIL_START, ratio * ratio).otherwise(1.0)
-    return F.when(r.between(1, MAX_RANK), F.lit(1.0) / F.sqrt(r) * damping).otherwise(0.0)
+    return F.when(r >= 1, F.lit(1.0) / F.sqrt(r) * damping).otherwise(0.0)
 
 
 def exact_weight(rank) -> Column:

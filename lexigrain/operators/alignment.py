@@ -11,10 +11,6 @@ from ..functions.text import (
 )
 from ..functions.weights import rank_weight
 
-# Fixed value: partial segmentations a row may have after any step.
-MAX_STATES = 64
-
-
 def longest_first(xs) -> Column:
     """Distinct options, longest first, then by value."""
     keyed = F.transform(F.array_distinct(as_col(xs)), lambda x: F.struct((-F.length(x)).alias("l"), x.alias("v")))
@@ -82,29 +78,31 @@ transform(tokens, (t, i) -> named_struct(
     coalesce(t.compound, array()), t.alone)))
 """
 
+# Partial segmentations that have consumed the same part of the reading are one state:
+# one way to get there, and whether there is another. So a row has at most one state
+# per character of its reading, and uniqueness is exact.
+_STATES = "array<struct<used:int, ways:int, picks:array<struct<idx:int, key:string, reading:string>>>>"
 _ALIGN = f"""
 filter(
   aggregate(
     steps,
-    array(named_struct('used', 0, 'picks', cast(array() as array<struct<idx:int, key:string, reading:string>>))),
+    array(named_struct('used', 0, 'ways', 1, 'picks', cast(array() as array<struct<idx:int, key:string, reading:string>>))),
     (states, t) -> aggregate(
       array(flatten(transform(states, s -> transform(
         filter(t.options, o -> startswith(substr(reading, s.used + 1), o)),
         o -> named_struct(
           'used', s.used + length(o),
+          'ways', s.ways,
           'picks', if(t.key is null, s.picks,
                       s.picks || array(named_struct('idx', t.idx, 'key', t.key, 'reading', o)))))))),
-      cast(array() as array<struct<used:int, picks:array<struct<idx:int, key:string, reading:string>>>>),
-      (none, next) -> if(size(next) > {MAX_STATES}, none, next))),
-  s -> s.used = length(reading))
-"""
-
-
-# Every part of the reading that is no longer than the longest option.
-_PIECES = """
-if(length(reading) = 0, array(), array_distinct(flatten(transform(
-  sequence(1, least(longest, length(reading))),
-  l -> transform(sequence(1, length(reading) - l + 1), i -> substr(reading, i, l))))))
+      cast(array() as {_STATES}),
+      (none, next) -> if(size(next) < 2, next, transform(
+        array_distinct(transform(next, s -> s.used)),
+        u -> aggregate(
+          filter(next, s -> s.used = u),
+          named_struct('used', u, 'ways', 0, 'picks', cast(null as array<struct<idx:int, key:string, reading:string>>)),
+          (m, s) -> named_struct('used', u, 'ways', least(2, m.ways + s.ways), 'picks', coalesce(m.picks, s.picks))))))),
+  s -> s.used = length(reading) and s.ways = 1)
 """
 
 
@@ -114,14 +112,10 @@ def surface_chars(rows: DataFrame, options: DataFrame) -> DataFrame:
     ``options`` holds ``key, alone, compound``. Rows must be unique by
     (surface, reading, rank); regrouping gathers one surface, at most its length.
     """
-    lengths = F.transform(F.concat("alone", F.coalesce("compound", F.array().cast("array<string>"))), F.length)
-    longest = options.agg(F.coalesce(F.max(F.array_max(lengths)), F.lit(1))).scalar()
-    cut = rows.select("surface", "reading", "rank", longest.alias("longest"))
-    cut = cut.withColumn("pieces", F.expr(_PIECES)).drop("longest")
-    chars = cut.select("surface", "reading", "rank", "pieces", F.posexplode(F.split("surface", "")).alias("pos", "ch"))
+    chars = rows.select("surface", "reading", "rank", F.posexplode(F.split("surface", "")).alias("pos", "ch"))
     met = chars.join(options.withColumnRenamed("key", "ch"), "ch", "left")
-    # Options that do not occur in the reading can never be consumed.
-    alone, compound = (F.array_intersect(c, "pieces").alias(c) for c in ("alone", "compound"))
+    # Options that do not occur in the reading can never be consumed and need not travel.
+    alone, compound = (F.filter(c, lambda o: F.contains("reading", o)).alias(c) for c in ("alone", "compound"))
     one = F.struct(
         "pos", "ch", alone, compound,
         is_han("ch").alias("stop"), kana_fold(strip("ch")).alias("literal"),

@@ -117,13 +117,13 @@ def cards(
 
 
 def manifest(*facts: DataFrame) -> DataFrame:
-    """One JSON document from one-row tables, with sorted field names."""
-    columns = sorted(c for f in facts for c in f.columns)
-    rows = None
-    for f in facts:
-        row = f.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("name"), F.col(c).cast("bigint").alias("value")) for c in f.columns
-        ])).alias("r"))
-        rows = row if rows is None else rows.unionByName(row)
-    values = [F.max(F.when(F.col("r.name") == c, F.col("r.value"))).alias(c) for c in columns]
-    return rows.agg(*values).select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("manifest"))
+    """One JSON document from one-row tables of any types, with sorted field names.
+
+    A fact that is a struct is a nested object; a NULL fact is written out.
+    """
+    row = facts[0].sparkSession.range(1).drop("id")
+    for i, f in enumerate(facts):
+        row = row.withColumn(f"_{i}", f.select(F.struct(*f.columns)).scalar())
+    owners = sorted((c, f"_{i}") for i, f in enumerate(facts) for c in f.columns)
+    fields = F.struct(*[F.col(f"{o}.{c}").alias(c) for c, o in owners])
+    return row.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("manifest"))

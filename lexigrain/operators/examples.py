@@ -10,7 +10,6 @@ from ..functions.text import clean_text, ruby_segments
 from .ranking import top_n
 
 # Selection limits.
-RANK_CUTOFF = 25_000
 MAX_GROUPS = 3
 MAX_PER_GROUP = 2
 MAX_GLOBAL = 6
@@ -20,10 +19,10 @@ WORD_COLUMNS = ("surface", "gloss", "rank", "ruby", "word_id", "reading_index")
 ITEM = ["word_id", "reading_index"]
 
 
-def clean_examples(words: DataFrame, *keep: str) -> DataFrame:
+def clean_examples(words: DataFrame, *keep: str, rank_cutoff: int | None = None) -> DataFrame:
     """Typed columns of the usable words in ``w`` (VARIANT), next to the columns to keep.
 
-    A word needs a surface, a gloss, a rank within the cutoff, well-formed ruby and an
+    A word needs a surface, a gloss, a rank (within the cutoff, if there is one), well-formed ruby and an
     id. Types and the rank are tested before any text is cleaned. Each step builds its
     row once and generates it only when usable; a plain filter would be pushed down and
     compute the columns it tests a second time.
@@ -37,7 +36,10 @@ def clean_examples(words: DataFrame, *keep: str) -> DataFrame:
         V.only_int("m.wordId").alias("word_id"),
         F.coalesce(V.only_int("m.readingIndex"), F.lit(0).cast("bigint")).alias("reading_index"),
     )
-    ranked = F.filter(F.array(typed), lambda r: r["rank"].between(1, RANK_CUTOFF) & r["word_id"].isNotNull())
+    def ranks(r):
+        return (r["rank"] >= 1) & (F.lit(True) if rank_cutoff is None else r["rank"] <= rank_cutoff)
+
+    ranked = F.filter(F.array(typed), lambda r: ranks(r) & r["word_id"].isNotNull())
     clean = F.struct(
         clean_text("surface").alias("surface"), clean_text("gloss").alias("gloss"), "rank",
         ruby_segments("ruby").alias("ruby"), "word_id", "reading_index",
@@ -48,7 +50,9 @@ def clean_examples(words: DataFrame, *keep: str) -> DataFrame:
     return raw.select(*keep, F.inline(ranked)).select(*keep, F.inline(whole))
 
 
-def payload_words(payloads: DataFrame, key: str = "key", usable: Column | None = None) -> DataFrame:
+def payload_words(
+    payloads: DataFrame, key: str = "key", usable: Column | None = None, rank_cutoff: int | None = None,
+) -> DataFrame:
     """Every clean word of payload rows ``(key, v)``, of those that are ``usable``.
 
     ``grp`` is the position of the reading group, -1 for the key's top words;
@@ -71,7 +75,7 @@ def payload_words(payloads: DataFrame, key: str = "key", usable: Column | None =
         key, "grp", clean_text(V.only_string("reading")).alias("label"),
         F.posexplode(V.elements("words", "$")).alias("pos", "w"),
     )
-    return clean_examples(words, key, "grp", "label", "pos")
+    return clean_examples(words, key, "grp", "label", "pos", rank_cutoff=rank_cutoff)
 
 
 def greedy_groups(

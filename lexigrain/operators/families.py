@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from .ranking import full_rank
 
-# Families up to this size spell out their siblings; larger ones are read from the member table.
-INLINE_LIMIT = 100
-
 
 def family_members(pairs: DataFrame, ranks: DataFrame | None = None) -> DataFrame:
     """Members of each family of two or more: ``component, ord, member, rank, size``.
@@ -31,30 +28,26 @@ def family_members(pairs: DataFrame, ranks: DataFrame | None = None) -> DataFram
     return ranked.select("component", "ord", F.col("key").alias("member"), "rank", "size")
 
 
-def families(members: DataFrame, limit: int = INLINE_LIMIT) -> DataFrame:
-    """``component, size, members`` with the ordered array for families within the limit."""
-    listed = (
-        members.where(F.col("size") <= limit)
-        .groupBy("component", "size")
-        .agg(F.sort_array(F.collect_list(F.struct("ord", "member"))).alias("m"))
-        .select("component", "size", F.transform("m", lambda x: x["member"]).alias("members"))
-    )
-    large = members.where((F.col("size") > limit) & (F.col("ord") == 1)).select(
-        "component", "size", F.lit(None).cast("array<string>").alias("members")
-    )
-    return listed.unionByName(large)
-
-
-def siblings(members: DataFrame, separator: str = "、", limit: int = INLINE_LIMIT) -> DataFrame:
-    """For every member its family, place and siblings.
+def siblings(members: DataFrame) -> DataFrame:
+    """For every member its family, place, number of siblings and the members before and after it.
 
-    Spelling out siblings is quadratic in the family size, so only families within
-    the limit get the text; for the others the member table by component is it.
+    One form for every size: the places are shifted and met by equality, so the result
+    is as long as the member table. ``siblings_of`` names all siblings of some members.
     """
-    lists = families(members, limit)
-    joined = members.join(lists.select("component", "members"), "component")
-    others = F.array_join(F.array_except("members", F.array("member")), separator)
-    return joined.select("member", "component", "ord", "size", others.alias("siblings"))
+    near = members.select("component", "ord", "member")
+    before = near.select("component", (F.col("ord") + 1).alias("ord"), F.col("member").alias("previous"))
+    after = near.select("component", (F.col("ord") - 1).alias("ord"), F.col("member").alias("next"))
+    joined = members.join(before, ["component", "ord"], "left").join(after, ["component", "ord"], "left")
+    return joined.select("member", "component", "ord", "size", (F.col("size") - 1).alias("siblings"), "previous", "next")
+
+
+def siblings_of(members: DataFrame, keys: DataFrame) -> DataFrame:
+    """``key, component, ord, sibling`` for the requested keys, a row for each sibling."""
+    asked = members.join(keys.select(F.col("key").alias("member")).distinct(), "member", "left_semi")
+    asked = asked.select("component", F.col("member").alias("key"))
+    return members.select("component", "ord", F.col("member").alias("sibling")).join(asked, "component").where(
+        "sibling <> key"
+    ).select("key", "component", "ord", "sibling")
 
 
 def enrich(records: DataFrame, strokes: DataFrame, members: DataFrame) -> DataFrame:

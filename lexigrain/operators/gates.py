@@ -13,9 +13,6 @@ FLOORS = {
     "rows": 400_000, "relevant_rows": 250_000, "aligned_rows": 180_000, "keys_with_scores": 3_500,
     "weight_coverage": 0.85,
 }
-MAX_ROWS = 600_000
-MAX_SURFACE_LENGTH = 128
-MIN_STROKE_SETS = 6_000
 TOP_RANK = 1_000
 META_TYPES = ("freq", "pitch", "ipa")
 COVERAGE_TOLERANCE = 1e-12
@@ -47,11 +44,14 @@ def top_rank_quality(records: DataFrame, limit: int = TOP_RANK) -> DataFrame:
     return records.where((F.col("frequency_rank") <= limit) & ~whole)
 
 
-def coverage_checks(stats: DataFrame, floors: dict = FLOORS, max_rows: int = MAX_ROWS) -> DataFrame:
+def coverage_checks(
+    stats: DataFrame, floors: dict = FLOORS, max_rows: int | None = None, max_keys_per_row: int | None = None,
+) -> DataFrame:
     """Every check on a one-row statistics table, as rows ``check_name, ok``.
 
     Columns are those of the parse statistics and of the alignment statistics. A
-    missing value or one that is not finite fails its check.
+    missing value or one that is not finite fails its check. Limits on the rows of the
+    list and on the keys of a row are checked only when they are given.
     """
     c = F.col
 
@@ -66,28 +66,30 @@ def coverage_checks(stats: DataFrame, floors: dict = FLOORS, max_rows: int = MAX
     ratio = F.when(large != 0, small / large)
     checks |= {
         "counts are not negative": F.least(*counts) >= 0,
-        "source rows within limit": c("source_rows") <= max_rows,
         "source rows add up": c("source_rows") == c("rows") + c("exact_duplicate_rows") + excluded,
         "conflicts have two rows or more": excluded >= 2 * pairs,
         "conflicts and exclusions agree": (pairs == 0) == (excluded == 0),
         "rows are nested": (aligned >= 0) & (aligned <= c("relevant_rows"))
-        & (c("relevant_rows") <= c("rows")) & (c("rows") <= max_rows),
+        & (c("relevant_rows") <= c("rows")),
         "ambiguous rows add up": c("ambiguous_rows") == c("relevant_rows") - aligned,
         "assignments cover rows": found >= aligned,
         "keys, groups, assignments nested": (c("keys_with_scores") > 0)
-        & (c("keys_with_scores") <= c("groups_with_scores")) & (c("groups_with_scores") <= found)
-        & (found <= aligned * MAX_SURFACE_LENGTH),
+        & (c("keys_with_scores") <= c("groups_with_scores")) & (c("groups_with_scores") <= found),
         "coverage at most one": finite(c("weight_coverage")) & (c("weight_coverage") <= 1.0),
         "weights are nested": finite(small) & finite(large) & (small > 0) & (small <= large)
         & (large <= c("relevant_rows")) & (small <= aligned),
         "coverage is the weight ratio": F.abs(c("weight_coverage") - ratio)
         <= F.greatest(F.lit(COVERAGE_TOLERANCE), F.abs(ratio) * COVERAGE_TOLERANCE),
     }
+    if max_rows is not None:
+        checks["source rows within limit"] = c("source_rows") <= max_rows
+    if max_keys_per_row is not None:
+        checks["assignments within limit"] = found <= aligned * max_keys_per_row
     rows = [F.struct(F.lit(n).alias("check_name"), F.coalesce(ok, F.lit(False)).alias("ok")) for n, ok in checks.items()]
     return stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def minimum_count(df: DataFrame, minimum: int = MIN_STROKE_SETS) -> DataFrame:
+def minimum_count(df: DataFrame, minimum: int) -> DataFrame:
     """One row when the table has fewer rows than it must; empty otherwise."""
     return df.agg(F.count("*").alias("found")).withColumn("minimum", F.lit(minimum)).where("found < minimum")
 
@@ -105,7 +107,7 @@ def term_shape(terms: DataFrame) -> DataFrame:
         "expression",
         F.when(F.coalesce("expression", F.lit("")) == "", "empty key")
         .when(F.length("expression") != 1, "key is not one character")
-        .when(F.col("sequence") != F.ascii("expression"), "sequence is not the code point")
+        .when(~F.col("sequence").eqNullSafe(F.ascii("expression").cast("bigint")), "sequence is not the code point")
         .when(F.col("score").isNull() | F.col("glossary").isNull(), "missing column")
         .alias("fault"),
     ).where("fault is not null")

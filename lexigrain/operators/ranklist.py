@@ -6,12 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import nfkc, nfkc_fold, strip
-from ..functions.weights import MAX_RANK
 from ..session import staged
 
-# Accepted lengths of a surface and of a reading.
-MAX_SURFACE_LENGTH = 128
-MAX_READING_LENGTH = 256
+# The limits of the strict list, on the lengths of a surface and a reading and on the
+# rank. A caller that wants them passes them; nothing is limited otherwise.
+STRICT_LIMITS = {"surface": 128, "reading": 256, "rank": 10_000_000}
 
 MALFORMED = "malformed row"
 
@@ -21,28 +20,34 @@ def normalized(raw: DataFrame) -> DataFrame:
     return raw.withColumn("surface", nfkc(strip("Word"))).withColumn("reading", nfkc_fold("Form"))
 
 
-def _reason(bad: Column) -> Column:
+def _reason(bad: Column, limits: dict[str, int]) -> Column:
     blank_word = F.coalesce(strip("Word"), F.lit("")) == ""
     blank_form = F.coalesce(strip("Form"), F.lit("")) == ""
-    # Eight digits reach past the largest rank; more are out of range in any case.
-    number = F.when(F.length("Rank") <= 8, F.col("Rank").try_cast("bigint"))
+    number = F.col("Rank").try_cast("bigint")
+
+    def above(value: Column, name: str) -> Column:
+        return value > limits[name] if name in limits else F.lit(False)
+
     return (
         F.when(bad, MALFORMED)
         .when(F.col("Word").isNull() | F.col("Form").isNull() | F.col("Rank").isNull(), MALFORMED)
         .when(blank_word, "empty word")
         .when(blank_form, "empty form")
         .when((F.col("surface") == "") | (F.col("reading") == ""), "empty normalized form")
-        .when(F.length("surface") > MAX_SURFACE_LENGTH, "word too long")
-        .when(F.length("reading") > MAX_READING_LENGTH, "form too long")
+        .when(above(F.length("surface"), "surface"), "word too long")
+        .when(above(F.length("reading"), "reading"), "form too long")
         .when(~F.col("Rank").rlike(r"\A[1-9][0-9]*\z"), "invalid rank")
-        .when(number.isNull() | (number > MAX_RANK), "rank out of range")
+        .when(number.isNull() | above(number, "rank"), "rank out of range")
     )
 
 
-def row_reasons(raw: DataFrame, corrupt: str | None = None) -> DataFrame:
-    """Raw rows with normalized columns and ``reason``: NULL for a valid row."""
+def row_reasons(raw: DataFrame, corrupt: str | None = None, limits: dict[str, int] | None = None) -> DataFrame:
+    """Raw rows with normalized columns and ``reason``: NULL for a valid row.
+
+    ``limits`` may name largest lengths of ``surface`` and ``reading`` and a largest ``rank``.
+    """
     bad = F.col(corrupt).isNotNull() if corrupt else F.lit(False)
-    return normalized(raw).withColumn("reason", _reason(bad))
+    return normalized(raw).withColumn("reason", _reason(bad, limits or {}))
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:

@@ -66,11 +66,14 @@ def example_groups(examples: DataFrame) -> DataFrame:
     return per_group.groupBy("key").agg(F.sort_array(F.collect_list(group)).alias("picked"))
 
 
-def normalized(payloads: DataFrame) -> DataFrame:
-    """The full record of every admissible payload. Keys must be unique."""
+def normalized(payloads: DataFrame, rank_cutoff: int | None = None) -> DataFrame:
+    """The full record of every admissible payload. Keys must be unique.
+
+    ``rank_cutoff``  the largest rank an example word may have, if there is one
+    """
     # Payload text is parsed for two typed tables, which all branches then read.
     plain = staged(plain_fields(payloads), "fields")
-    words = staged(payload_words(payloads, usable=admissible("v")), "words")
+    words = staged(payload_words(payloads, usable=admissible("v"), rank_cutoff=rank_cutoff), "words")
     picked = example_groups(select_examples(words))
     best = (
         global_top(words)
@@ -128,15 +131,15 @@ def with_scores(records: DataFrame, scores: DataFrame) -> DataFrame:
     return joined.withColumn("reading_frequency_scores", F.coalesce("s", _empty(SCORES))).drop("s")
 
 
-def fallback_records(index: DataFrame) -> DataFrame:
-    """Fallback rows in the record shape; what that source lacks stays empty."""
+def fallback_records(index: DataFrame, *keep: str) -> DataFrame:
+    """Fallback rows in the record shape, next to the columns to keep; what that source lacks stays empty."""
     senses = clean_array("meanings")
     return index.select(
         "key", F.col("key").alias("character"), F.get(senses, 0).alias("keyword"), senses.alias("senses"),
         clean_array("on").alias("on"), clean_array("kun").alias("kun"),
         F.lit(None).cast("bigint").alias("frequency_rank"), "stroke_count", "grade", "jlpt",
         _empty(EXAMPLES).alias("examples"), _empty(f"array<{WORD}>").alias("global_words"),
-        _empty(COUNTS).alias("reading_entry_counts"), _empty(SCORES).alias("reading_frequency_scores"),
+        _empty(COUNTS).alias("reading_entry_counts"), _empty(SCORES).alias("reading_frequency_scores"), *keep,
     )
 
 

@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.variants import elements, int_field, string_field
 from .gates import canonical_path
 
-# Size limits of a snapshot.
-MAX_MEMBERS = 25_000
-MAX_TOTAL_BYTES = 128 * 1024 * 1024
-
 
 def inventory(df: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
     """``path, byte_count, sha256`` of every row's content."""
@@ -36,8 +32,7 @@ def summary(files: DataFrame) -> DataFrame:
     )
 
 
-def over_budget(files: DataFrame, max_members: int = MAX_MEMBERS, max_total: int = MAX_TOTAL_BYTES,
-                max_member: int = MAX_TOTAL_BYTES) -> DataFrame:
+def over_budget(files: DataFrame, max_members: int, max_total: int, max_member: int) -> DataFrame:
     """Budgets the inventory exceeds, as rows ``budget, found, allowed``."""
     s = summary(files)
     budgets = [("members", "file_count", max_members), ("total bytes", "byte_count", max_total),

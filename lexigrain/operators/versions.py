@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import date_to_revision
 
 # Fixed value: the form of a revision.
-REVISION = r"\A([0-9]{4})\.([0-9]{2})\.([0-9]{2})(?:\.([1-9][0-9]*))?\z"
+REVISION = r"\A([0-9]{4})\.([0-9]{2})\.([0-9]{2})(?:\.([0-9]+))?\z"
 
 _LANE_BITS = 32
 _LANES = 8
@@ -63,11 +63,12 @@ def decide_revision(current: DataFrame) -> DataFrame:
 
 
 def revision_key(c) -> Column:
-    """(year, month, day, suffix) of a revision; NULL when it is malformed."""
+    """(year, month, day, suffix) of a revision; NULL when it is malformed or its suffix passes 64 bits."""
     c = F.col(c) if isinstance(c, str) else c
-    parts = [F.regexp_extract(c, REVISION, i) for i in range(1, 5)]
-    numbers = [F.coalesce(p.try_cast("int"), F.lit(0)).alias(n) for p, n in zip(parts, ("y", "m", "d", "n"))]
-    return F.when(c.rlike(REVISION), F.struct(*numbers))
+    y, m, d, n = (F.regexp_extract(c, REVISION, i) for i in range(1, 5))
+    suffix = F.when(n == "", F.lit(0).cast("bigint")).otherwise(n.try_cast("bigint"))
+    key = F.struct(y.try_cast("int").alias("y"), m.try_cast("int").alias("m"), d.try_cast("int").alias("d"), suffix.alias("n"))
+    return F.when(c.rlike(REVISION) & suffix.isNotNull(), key)
 
 
 def next_version(ledger: DataFrame, days: DataFrame) -> DataFrame:

@@ -10,6 +10,9 @@ from ..session import staged
 from .base import SQL_WORDS, query, source_words, table
 from .turns import SQL_PAYLOAD_WORDS, turn_payloads
 
+# Largest rank of an example word, here as in the payloads' own catalogue.
+RANK_CUTOFF = 25_000
+
 # Generic greedy choice over a table g(key, i, label, items): groups in order, items
 # in order; at most 3 groups take 2 unseen items each.
 SQL_GREEDY = """
@@ -48,7 +51,7 @@ def _picks(chosen: DataFrame, key: str, label: str, item) -> DataFrame:
 WITH {SQL_PAYLOAD_WORDS}
 SELECT key, grp, pos, surface, gloss, rank, word_id, reading_index, surface || '=' || reading AS ruby FROM clean""")
 def fn_clean_example(spark, sf):
-    words = E.payload_words(turn_payloads(spark, sf))
+    words = E.payload_words(turn_payloads(spark, sf), rank_cutoff=RANK_CUTOFF)
     ruby = F.concat_ws(",", F.transform("ruby", lambda s: F.concat_ws("=", s["base"], s["reading"])))
     return words.select(
         "key", F.col("grp").cast("bigint").alias("grp"), F.col("pos").cast("bigint").alias("pos"),
@@ -74,7 +77,7 @@ SELECT key, '1||' || row_number() OVER (PARTITION BY key ORDER BY m) || '|' || w
 QUALIFY row_number() OVER (PARTITION BY key ORDER BY m) <= 3""")
 def examples_selected(spark, sf):
     """Greedy choice of each turn, or its top words where no group has a usable word."""
-    chosen = E.select_examples(staged(E.payload_words(turn_payloads(spark, sf)), "words"))
+    chosen = E.select_examples(staged(E.payload_words(turn_payloads(spark, sf), rank_cutoff=RANK_CUTOFF), "words"))
     item = F.concat_ws("/", F.col("word_id").cast("string"), F.col("reading_index").cast("string"))
     return _picks(chosen, "key", "label", item)
 
@@ -134,5 +137,5 @@ b AS (SELECT key, word_id, reading_index, min({{'rank': rank, 'surface': surface
 SELECT key, word_id, reading_index, m.rank AS rank, m.surface AS surface,
        row_number() OVER (PARTITION BY key ORDER BY m.rank, word_id, reading_index) AS ord FROM b QUALIFY ord <= 6""")
 def words_best_overall(spark, sf):
-    top = E.global_top(E.payload_words(turn_payloads(spark, sf)))
+    top = E.global_top(E.payload_words(turn_payloads(spark, sf), rank_cutoff=RANK_CUTOFF))
     return top.select("key", "word_id", "reading_index", "rank", "surface", F.col("ord").cast("bigint").alias("ord"))

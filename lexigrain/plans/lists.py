@@ -57,7 +57,7 @@ WITH e AS (SELECT event_type AS w, props AS f,
              CASE event_type WHEN 'click' THEN k WHEN 'error' THEN CAST(value AS VARCHAR) WHEN 'purchase' THEN '0' || k
                   WHEN 'signup' THEN k || '0000000' ELSE NULL END AS r
            FROM (SELECT *, regexp_extract(props, '[0-9]+') AS k FROM events)),
-d AS (SELECT string_split(text, chr(10))[1] AS w, text AS f, CAST(n_chars AS VARCHAR) AS r FROM documents),
+d AS (SELECT text AS w, text AS f, CAST(n_chars AS VARCHAR) AS r FROM documents),
 t AS (SELECT trim(w, chr(10) || chr(32) || chr(9)) AS w, trim(f, chr(10) || chr(32) || chr(9)) AS f, r FROM (FROM e UNION ALL FROM d)),
 c AS (SELECT CASE WHEN r IS NULL THEN 'malformed row' WHEN w = '' THEN 'empty word' WHEN f = '' THEN 'empty form'
                   WHEN length(w) > 128 THEN 'word too long' WHEN length(f) > 256 THEN 'form too long'
@@ -73,10 +73,10 @@ def gate_rank_rows(spark, sf):
     )
     events = table(spark, sf, "events").select(kind.alias("Word"), F.col("props").alias("Form"), rank.alias("Rank"))
     docs = table(spark, sf, "documents").select(
-        F.get(F.split("text", "\n"), 0).alias("Word"), F.col("text").alias("Form"),
+        F.col("text").alias("Word"), F.col("text").alias("Form"),
         F.col("n_chars").cast("string").alias("Rank"),
     )
-    checked = R.row_reasons(events.unionByName(docs))
+    checked = R.row_reasons(events.unionByName(docs), limits=R.STRICT_LIMITS)
     return checked.groupBy(F.coalesce("reason", F.lit("valid")).alias("reason")).agg(F.count("*").alias("n"))
 
 

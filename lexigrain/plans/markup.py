@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import markup as M
-from ..functions.text import code_point_hex, from_code_point
 from ..operators import gates as G
 from ..session import work_path
 from ..sources import files
@@ -21,15 +20,19 @@ FIRST_LINK = "/the"
 
 
 @query("markup_features", rf"""
-WITH f AS (SELECT page_id, len(regexp_extract_all(html, '<p\b[^>]*>')) AS n, regexp_extract_all(html, '{LINK}', 1) AS es FROM pages),
+WITH g AS (SELECT page_id, CASE WHEN contains(html, '</body>') THEN html ELSE replace(html, '<p', '<q') END AS html FROM pages),
+f AS (SELECT page_id, len(regexp_extract_all(html, '<p\b[^>]*>')) AS n, regexp_extract_all(html, '{LINK}', 1) AS es FROM g),
 e AS (SELECT page_id, e, min(i) AS i FROM (SELECT page_id, unnest(es) AS e, generate_subscripts(es, 1) AS i FROM f) GROUP BY ALL),
 a AS (SELECT * FROM e UNION ALL SELECT page_id, '{FIRST_LINK}', 0 FROM f WHERE NOT list_contains(es, '{FIRST_LINK}'))
-SELECT page_id, CAST(nullif(n, 0) AS BIGINT) AS stroke_count, e AS component,
-       row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS ord FROM a JOIN f USING (page_id)""")
+SELECT page_id, CAST(n AS BIGINT) AS stroke_count, e AS component,
+       row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS ord FROM a JOIN f USING (page_id) WHERE n > 0
+UNION ALL SELECT page_id, NULL, NULL, NULL FROM f WHERE n = 0""")
 def markup_features(spark, sf):
-    rows = table(spark, sf, "pages").select(
+    """Paragraphs as strokes; pages that were cut short have none, and so no features."""
+    whole = F.when(F.contains("html", F.lit("</body>")), F.col("html")).otherwise(F.replace("html", F.lit("<p"), F.lit("<q")))
+    rows = table(spark, sf, "pages").select("page_id", whole.alias("html")).select(
         "page_id", M.stroke_count("html", PARAGRAPH).cast("bigint").alias("stroke_count"),
-        F.posexplode(M.components("html", F.lit(FIRST_LINK), LINK)).alias("ord", "component"),
+        F.posexplode_outer(M.components("html", F.lit(FIRST_LINK), LINK, PARAGRAPH)).alias("ord", "component"),
     )
     return rows.withColumn("ord", F.col("ord").cast("bigint"))
 
@@ -76,28 +79,26 @@ def dangling_refs(spark, sf):
 
 
 def _corpus(spark, sf) -> str:
-    """Pages as files, each in a folder named by a code point: one file per key."""
+    """Pages as files, each in a folder named by its decimal number: one file per key."""
     path = work_path(spark, "corpus")
-    pages = table(spark, sf, "pages").select(
-        F.concat(code_point_hex(from_code_point(F.col("page_id") + 0x20000)), F.lit(".svg")).alias("name"), "html"
-    )
+    pages = table(spark, sf, "pages").select(F.concat(F.col("page_id").cast("string"), F.lit(".svg")).alias("name"), "html")
     pages.write.partitionBy("name").text(path)
     return path
 
 
 @query("src_markup_corpus", "SELECT page_id, html AS svg FROM pages")
 def src_markup_corpus(spark, sf):
-    rows = files.markup_corpus(spark, _corpus(spark, sf), r"name=([0-9a-f]{5,6})\.svg/")
+    rows = files.markup_texts(spark, _corpus(spark, sf), r"name=([0-9]+)\.svg/")
     text = F.regexp_replace("svg", r"\n\z", "")
-    return rows.select((F.ascii("key") - 0x20000).cast("bigint").alias("page_id"), text.alias("svg"))
+    return rows.select(F.col("name").cast("bigint").alias("page_id"), text.alias("svg"))
 
 
 @query("src_file_digest", """
 SELECT page_id, CAST(octet_length(encode(html)) + 1 AS BIGINT) AS byte_count, sha256(html || chr(10)) AS sha256 FROM pages""")
 def src_file_digest(spark, sf):
     rows = files.digests(spark, _corpus(spark, sf))
-    point = F.regexp_extract("path", r"name=([0-9a-f]{5,6})\.svg/", 1)
-    return rows.where(point != "").select((F.conv(point, 16, 10).cast("bigint") - 0x20000).alias("page_id"), "byte_count", "sha256")
+    name = F.regexp_extract("path", r"name=([0-9]+)\.svg/", 1)
+    return rows.where(name != "").select(name.cast("bigint").alias("page_id"), "byte_count", "sha256")
 
 
 @query("gate_path_canonical", r"""

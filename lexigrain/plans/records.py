@@ -15,7 +15,7 @@ from ..operators.ranking import competition_rank
 from ..session import work_path
 from ..sources import sinks, xml_dictionary
 from .base import HIRA, KATA, LETTERS, WORD, document_words, hira, kata, query, table, word_list
-from .examples import SQL_EXAMPLES
+from .examples import RANK_CUTOFF, SQL_EXAMPLES
 from .turns import SQL_TURNS, turn_payloads
 
 _PLAIN = f"""(SELECT key, w0[1] AS character, lines,
@@ -81,7 +81,7 @@ SELECT p.key, p.character, p.meanings[1] AS keyword, len(list_distinct(p.meaning
        coalesce(examples, '') AS examples
 FROM plain p LEFT JOIN words6 USING (key) LEFT JOIN counts USING (key) LEFT JOIN exs USING (key)""")
 def record_normalized(spark, sf):
-    rows = R.normalized(turn_payloads(spark, sf))
+    rows = R.normalized(turn_payloads(spark, sf), RANK_CUTOFF)
     item = lambda w: F.concat_ws("/", w["word_id"].cast("string"), w["reading_index"].cast("string"))
     items = F.flatten(F.transform("examples", lambda g: F.transform(g["words"], item)))
     counts = F.transform("reading_entry_counts", lambda c: F.concat_ws(":", c["reading"], c["count"].cast("string")))
@@ -98,28 +98,27 @@ WITH {_FIELDS}
 SELECT key FROM plain p WHERE frequency_rank <= 1000 AND (len(meanings) = 0
   OR NOT EXISTS (SELECT 1 FROM (SELECT unnest(flatten(p.lines)) AS w) WHERE length(w) > 3 AND w[-1] <> 'n' AND w[1] <> 'q'))""")
 def gate_top_rank_quality(spark, sf):
-    return G.top_rank_quality(R.normalized(turn_payloads(spark, sf))).select("key")
+    return G.top_rank_quality(R.normalized(turn_payloads(spark, sf), RANK_CUTOFF)).select("key")
 
 
-# Documents as records: key, senses from the first line, rank from the length.
+# Documents as records: key, senses from the words of the whole text, rank from the length.
 SQL_DOC_RECORDS = f"""
-recs AS (SELECT doc_id, lang, source, n_chars, regexp_extract_all(lower(string_split(text, chr(10))[1]), '{WORD}') AS ws,
+recs AS (SELECT doc_id, lang, source, n_chars, list_distinct(regexp_extract_all(lower(text), '{WORD}')) AS ws,
            CASE WHEN lang <> 'es' THEN n_chars END AS rank, n_chars % 9 AS grade, n_chars % 6 AS level FROM documents)"""
 
 
 def document_records(spark, sf) -> DataFrame:
     docs = table(spark, sf, "documents")
-    words = word_list(F.get(F.split("text", "\n"), 0))
+    words = F.sort_array(F.array_distinct(word_list("text")))
     n = F.col("n_chars")
     # Keys are the documents' names; records have the full record shape.
     index = docs.select(
         F.concat(F.lit("d"), F.col("doc_id")).alias("key"), words.alias("meanings"),
         F.transform(words, kata).alias("on"), F.transform(words, hira).alias("kun"),
-        n.alias("stroke_count"), (n % 9).alias("grade"), (n % 6).alias("jlpt"), "lang",
+        n.alias("stroke_count"), (n % 9).alias("grade"), (n % 6).alias("jlpt"),
+        F.when(F.col("lang") != "es", n).alias("rank"),
     )
-    records = R.fallback_records(index.drop("lang"))
-    ranks = index.select("key", F.when(F.col("lang") != "es", F.col("stroke_count")).alias("frequency_rank"))
-    return records.drop("frequency_rank").join(ranks, "key")
+    return R.fallback_records(index, "rank").withColumn("frequency_rank", F.col("rank")).drop("rank")
 
 
 @query("merge_priority", """
@@ -169,15 +168,12 @@ def src_xml_dictionary(spark, sf):
     )
     path = work_path(spark, "dictionary")
     entries.write.partitionBy("lang").format("xml").option("rowTag", xml_dictionary.ROW_TAG).option("rootTag", "dictionary").save(path)
-    out = None
     # One dictionary per language: keys are unique in each of them.
-    for lang in ("de", "en", "es", "fr"):
-        rows = xml_dictionary.read(spark, f"{path}/lang={lang}").select(
-            F.concat_ws(" ", F.lit(lang), "key").alias("entry"), F.array_join("meanings", " ").alias("meaning"),
-            F.array_join("on", " ").alias("on_reading"), "stroke_count",
-        )
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    rows = xml_dictionary.read(spark, path, "lang")
+    return rows.select(
+        F.concat_ws(" ", "lang", "key").alias("entry"), F.array_join("meanings", " ").alias("meaning"),
+        F.array_join("on", " ").alias("on_reading"), "stroke_count",
+    )
 
 
 # Pages as family members: the host is the component, English pages are ranked by length.
@@ -205,9 +201,8 @@ def families(spark, sf):
 
 @query("family_siblings", f"""
 WITH {SQL_MEMBERS}
-SELECT member, component, ord, size, CASE WHEN size <= {FM.INLINE_LIMIT} THEN
-  (SELECT string_agg(o.member, '、' ORDER BY o.ord) FROM members o WHERE o.component = m.component AND o.member <> m.member) END AS siblings
-FROM members m""")
+SELECT member, component, ord, size, size - 1 AS siblings, lag(member) OVER o AS previous, lead(member) OVER o AS next
+FROM members WINDOW o AS (PARTITION BY component ORDER BY ord)""")
 def family_siblings(spark, sf):
     return FM.siblings(members(spark, sf))
 
@@ -258,7 +253,7 @@ def gate_bank_shape(spark, sf):
 @query("bank_term", f"""
 WITH {SQL_DOC_RECORDS}
 SELECT 'd' || doc_id AS expression, '' AS reading, '' AS definition_tags, '' AS rules, CAST(0 AS BIGINT) AS score,
-       list_aggregate(list_distinct(ws), 'count') || ' senses' AS glossary, CAST(100 AS BIGINT) AS sequence, '' AS term_tags FROM recs""")
+       len(ws) || ' senses' AS glossary, CAST(100 AS BIGINT) AS sequence, '' AS term_tags FROM recs""")
 def bank_term(spark, sf):
     text = F.concat(F.size("senses").cast("string"), F.lit(" senses"))
     return B.term_rows(document_records(spark, sf), text)
@@ -266,7 +261,7 @@ def bank_term(spark, sf):
 
 @query("bank_kanji", f"""
 WITH {SQL_DOC_RECORDS},
-o AS (SELECT *, list_filter(ws, lambda x, i: NOT list_contains(ws[1:i - 1], x)) AS ds FROM recs)
+o AS (SELECT *, list_sort(ws) AS ds FROM recs)
 SELECT 'd' || doc_id AS character, array_to_string(list_transform(ds, lambda x: translate(x, '{LETTERS}', '{KATA}')), ' ') AS "on",
        array_to_string(list_transform(ds, lambda x: translate(x, '{LETTERS}', '{HIRA}')), ' ') AS kun, '' AS tags,
        array_to_string(ds, ' ') AS meanings,
@@ -285,7 +280,7 @@ def bank_meta(spark, sf):
 
 @query("card_assembled", f"""
 WITH {SQL_DOC_RECORDS},
-o AS (SELECT *, list_filter(ws, lambda x, i: NOT list_contains(ws[1:i - 1], x)) AS ds FROM recs)
+o AS (SELECT *, list_sort(ws) AS ds FROM recs)
 SELECT 'd' || doc_id AS key, coalesce(ds[1], 'd' || doc_id) AS keyword, CASE WHEN len(ds) > 0 THEN array_to_string(ds, '; ') END AS meaning,
        concat_ws(' · ', CASE WHEN rank IS NOT NULL THEN 'Rank ' || rank END, 'Grade ' || grade,
                  CASE WHEN level BETWEEN 1 AND 5 THEN 'JLPT N' || level END, n_chars || ' strokes') AS details,

@@ -18,7 +18,8 @@ def _arrivals(spark, sf) -> str:
 
 
 def _stream(spark, path):
-    return L.file_stream(spark, spark.read.parquet(path).schema, path)
+    """One file a batch, so that every query meets several of them."""
+    return L.file_stream(spark, spark.read.parquet(path).schema, path, max_files=1)
 
 
 @query("stream_landing", """
@@ -40,12 +41,8 @@ def stream_rank_dedupe(spark, sf):
     rows = _stream(spark, arrivals).select(
         F.col("event_type").alias("surface"), F.col("props").alias("reading"), F.col("user_id").alias("rank")
     )
-    query_ = (
-        L.distinct_stream(rows, ["surface", "reading", "rank"]).writeStream.format("parquet")
-        .option("checkpointLocation", work_path(spark, "distinct-state")).trigger(availableNow=True).start(target)
-    )
-    query_.awaitTermination()
-    return spark.read.parquet(target)
+    L.append_batches(rows, target, work_path(spark, "distinct-state"), L.distinct_rows)
+    return L.merged_distinct(spark.read.parquet(target))
 
 
 @query("stream_conflict_free", """

@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local-mode session
-    without that setting gets a temporary folder; a cluster session without it fails.
+    The cluster names it in ``spark.checkpoint.dir``. Only a session that says it runs in
+    plain local mode gets a temporary folder without that setting; any other fails.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _local_dirs:
@@ -27,19 +32,37 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+@contextlib.contextmanager
+def job_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, what the job inside staged or wrote by ``work_path``.
+
+    Results must be written elsewhere, or collected, before the scope ends.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            there = spark._jvm.org.apache.hadoop.fs.Path(path)
+            there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/lexigrain/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; inside a ``job_scope`` it is deleted at its end."""
+    path = f"{shared_dir(spark)}/lexigrain/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Give heavy row-wise work enough partitions.
 
-    A table in fewer splits than there are cores, such as a file with one row group,
-    is redistributed before its rows are worked on. Larger tables stay as they are.
+    A table in fewer files than there are cores, such as one file with one row group, is
+    redistributed before its rows are worked on. Larger tables stay as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

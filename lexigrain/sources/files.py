@@ -9,13 +9,17 @@ from ..functions import variants as V
 from ..functions.text import from_code_point
 
 
+def markup_texts(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """``name, svg`` of every file whose path matches; group 1 of the pattern is its name."""
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    found = F.regexp_extract(F.col("_metadata.file_path"), name, 1)
+    return files.select(found.alias("name"), F.col("value").alias("svg")).where("name <> ''")
+
+
 def markup_corpus(spark: SparkSession, path: str, name: str = r"([0-9a-f]{5,6})\.svg$") -> DataFrame:
     """One markup text per key; group 1 of ``name`` is the key's hex code point in the path."""
-    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-    point = F.regexp_extract(F.col("_metadata.file_path"), name, 1)
-    return files.select(point.alias("p"), F.col("value").alias("svg")).where("p <> ''").select(
-        from_code_point(F.conv("p", 16, 10)).alias("key"), "svg"
-    )
+    texts = markup_texts(spark, path, name)
+    return texts.select(from_code_point(F.conv("name", 16, 10)).alias("key"), "svg")
 
 
 def digests(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ one, and the checkpoint makes a second run on the same input do nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,36 +19,65 @@ def file_stream(spark: SparkSession, schema: StructType, path: str, max_files: i
 
 
 def land(stream: DataFrame, target: str, checkpoint: str, day: str = "dt") -> int:
-    """Append new rows to the dated table; returns how many rows this run processed."""
+    """Append new rows to the dated table; returns how many rows this run processed.
+
+    Each batch counts its rows in an accumulator while it writes them, and a repeated batch
+    counts anew, so the number is exact for any number of batches.
+    """
+    rows: dict[int, int] = {}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation(f"batch-{batch_id}")
+        batch.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy(day).parquet(f"{target}/batch={batch_id}")
+        rows[batch_id] = seen.get["n"]
+
     query = (
-        stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-        .partitionBy(day).trigger(availableNow=True).start(target)
+        stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    return sum(rows.values())
 
 
-def distinct_stream(stream: DataFrame, columns: list[str], event_time: str | None = None, delay: str = "1 day") -> DataFrame:
-    """Exact duplicates removed on arrival.
+def distinct_stream(stream: DataFrame, columns: list[str], event_time: str, delay: str = "1 day") -> DataFrame:
+    """Exact duplicates removed on arrival; state is kept for ``delay`` of event time.
 
-    With an event time the state is kept only for ``delay``; without one it grows
-    with the number of distinct rows.
+    Without an event time state would grow with every distinct row: use ``append_batches``
+    with ``distinct_rows`` and let readers merge with ``merged_distinct``.
     """
-    if event_time is None:
-        return stream.select(*columns).dropDuplicates(columns)
     marked = stream.select(*columns, event_time).withWatermark(event_time, delay)
     return marked.dropDuplicatesWithinWatermark(columns)
 
 
+def distinct_rows(batch: DataFrame) -> DataFrame:
+    """What a batch contributes to the distinct rows: its own, without any state."""
+    return batch.distinct()
+
+
+def merged_distinct(landed: DataFrame) -> DataFrame:
+    """Distinct rows over all batches."""
+    return landed.drop("batch").distinct()
+
+
+def compact(spark: SparkSession, target: str, merged: str, merge) -> None:
+    """Rewrite the batches of ``append_batches`` as one batch at ``merged``, merged the way readers do.
+
+    Written beside the batches, so that readers of either see whole results; the caller then
+    points the stream and its readers to the new folder.
+    """
+    merge(spark.read.parquet(target)).write.parquet(f"{merged}/batch=-1")
+
+
 def append_batches(stream: DataFrame, target: str, checkpoint: str, prepare) -> None:
     """Write ``prepare(batch)`` to one folder per batch.
 
     A repeated batch overwrites its own folder, so results stay exact. Nothing that
-    landed before is rewritten; readers merge.
+    landed before is rewritten; readers merge. Folders carry the name of their checkpoint,
+    so a stream that starts over with a new one does not overwrite what an older one landed.
     """
+    run = checkpoint.rstrip("/").rpartition("/")[2]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        prepare(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        prepare(batch).write.mode("overwrite").parquet(f"{target}/batch={run}-{batch_id}")
 
     query = (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

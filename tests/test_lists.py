@@ -14,8 +14,8 @@ from lexigrain.sources import ranked_csv
 RAW = "Word string, Form string, Rank string"
 
 
-def checked(spark, data):
-    return R.row_reasons(spark.createDataFrame(data, RAW))
+def checked(spark, data, limits=None):
+    return R.row_reasons(spark.createDataFrame(data, RAW), limits=limits)
 
 
 def test_duplicates_and_conflicts(spark, rows):
@@ -37,7 +37,13 @@ def test_folding_comes_before_comparison(spark, rows):
 
 @pytest.mark.parametrize("rank", ["+1", "1_0", "١", "１", "01", " 1", "", "0", "1\n", "10000001", "99999999999999999999"])
 def test_bad_ranks(spark, rank):
-    assert checked(spark, [("甲", "こう", rank)]).first().reason in ("invalid rank", "rank out of range")
+    assert checked(spark, [("甲", "こう", rank)], R.STRICT_LIMITS).first().reason in ("invalid rank", "rank out of range")
+
+
+def test_nothing_is_limited_unless_asked_for(spark, rows):
+    data = [("a" * 500, "b" * 900, "3000000000"), ("a", "b", "9" * 30)]
+    assert [r.reason for r in checked(spark, data).collect()] == [None, "rank out of range"]
+    assert [r[2] for r in rows(R.valid_rows(checked(spark, data)))] == [3000000000]
 
 
 def test_reasons(spark):
@@ -45,7 +51,7 @@ def test_reasons(spark):
         (" ", "a", "1"), ("a", "　", "1"), ("a" * 129, "a", "1"), ("a", "b" * 257, "1"), ("a", "b", None),
         ("a" * 128, "b" * 256, "10000000"),
     ]
-    got = [r.reason for r in checked(spark, data).collect()]
+    got = [r.reason for r in checked(spark, data, R.STRICT_LIMITS).collect()]
     assert got == ["empty word", "empty form", "word too long", "form too long", "malformed row", None]
 
 
@@ -92,11 +98,11 @@ def test_alignment_examples(spark):
     ]
 
 
-def test_alignment_gives_up_past_the_state_limit(spark):
+def test_alignment_is_exact_however_many_segmentations_there_are(spark):
     many = ("甲", ["あ", "ああ", "あああ"], ["あ", "ああ", "あああ"])
-    # 1, 3, 9, 27, 81 partial segmentations; the last step would leave one solution.
-    assert align(spark, [("甲甲甲甲", "あ" * 4), ("甲甲甲甲", "あ" * 12)], [many]) == [
-        [(i, "甲", "あ") for i in range(4)], None
+    words = [("甲" * 4, "あ" * 4), ("甲" * 4, "あ" * 12), ("甲" * 6, "あ" * 18), ("甲" * 6, "あ" * 17), ("甲" * 40, "あ" * 80)]
+    assert align(spark, words, [many]) == [
+        [(i, "甲", "あ") for i in range(4)], [(i, "甲", "あああ") for i in range(4)], [(i, "甲", "あああ") for i in range(6)], None, None,
     ]
 
 
@@ -149,7 +155,7 @@ def test_reading_options(spark):
 
 def test_scores_and_statistics(spark, rows):
     given = spark.createDataFrame(
-        [("甲", "こう", 100), ("甲乙", "こうおつ", 400), ("甲丁", "こうてい", 500), ("かな", "かな", 1), ("甲甲", "こうこう", 20_000_000)],
+        [("甲", "こう", 100), ("甲乙", "こうおつ", 400), ("甲丁", "こうてい", 500), ("かな", "かな", 1), ("甲甲", "こうこう", 0)],
         "surface string, reading string, rank bigint",
     )
     options = spark.createDataFrame([("甲", ["こう"], ["こう"]), ("乙", ["おつ"], ["おつ"])], "key string, alone array<string>, compound array<string>")

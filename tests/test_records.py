@@ -40,7 +40,7 @@ PLACE = {
 def test_normalized_record(spark):
     lone = {"character": "生", "topWords": [word(4, 2), word(4, 1), word(6, 3), word(7, 4), word(8, 5)]}
     docs = table(spark, PLACE, lone, {"character": "ab"}, [1], {"character": 5})
-    got = {r.key: r for r in R.normalized(docs).collect()}
+    got = {r.key: r for r in R.normalized(docs, 25_000).collect()}
     assert sorted(got) == ["場", "生"]
     r = got["場"]
     assert (r.keyword, r.senses, r.on, r.kun) == ("location", ["location", "place"], ["ジョウ", "チョウ"], ["ば"])
@@ -55,7 +55,7 @@ def test_normalized_record(spark):
     inventory = [(x.reading, x.ord, x.reading_class) for x in R.reading_inventory(docs).orderBy("ord").collect()]
     assert inventory == [("じょう", 1, "On"), ("ば", 2, "Kun"), ("x", 3, "Other"), ("y", 4, "Other"), ("z", 5, "Other")]
     scores = spark.createDataFrame([("場", 2, "ば", "Kun", 0.5), ("場", 1, "じょう", "On", 0.2)], "key string, ord int, reading string, reading_class string, score double")
-    attached = {r.key: r.reading_frequency_scores for r in R.with_scores(R.normalized(docs), scores).collect()}
+    attached = {r.key: r.reading_frequency_scores for r in R.with_scores(R.normalized(docs, 25_000), scores).collect()}
     assert [tuple(x) for x in attached["場"]] == [("じょう", 0.2, "On"), ("ば", 0.5, "Kun")] and attached["生"] == []
 
 
@@ -134,13 +134,21 @@ def test_families(spark, rows):
     ranks = spark.createDataFrame([("時", 200), ("持", 400), ("待", 100)], "key string, rank bigint")
     members = FM.family_members(pairs, ranks)
     assert rows(members, "ord", "member", "size") == [(1, "待", 3), (2, "時", 3), (3, "持", 3)]
-    assert FM.families(members).first().members == ["待", "時", "持"]
-    assert {r.member: r.siblings for r in FM.siblings(members).collect()} == {"待": "時、持", "時": "待、持", "持": "待、時"}
-    assert {r.siblings for r in FM.siblings(members, limit=2).collect()} == {None}
+    assert {r.member: (r.siblings, r.previous, r.next) for r in FM.siblings(members).collect()} == {
+        "待": (2, None, "時"), "時": (2, "待", "持"), "持": (2, "時", None),
+    }
+    asked = spark.createDataFrame([("時",), ("校",)], "key string")
+    assert rows(FM.siblings_of(members, asked), "ord", "sibling") == [(1, "待"), (3, "持")]
     one = FM.family_members(pairs, ranks.where("key = '時'"))
     assert rows(one, "ord", "member") == [(1, "時"), (2, "待"), (3, "持")]
 
 
+def test_a_large_family_has_the_same_form(spark):
+    pairs = spark.range(1000).select(F.format_string("k%04d", "id").alias("key"), F.lit("寺").alias("component"))
+    got = {r.member: (r.ord, r.siblings, r.previous, r.next) for r in FM.siblings(FM.family_members(pairs)).collect()}
+    assert len(got) == 1000 and got["k0500"] == (501, 999, "k0499", "k0501") and got["k0999"][3] is None
+
+
 XML = """<?xml version="1.0"?><dictionary>
 <character><literal>場</literal><misc><grade>2</grade><stroke_count>12</stroke_count><jlpt>x</jlpt></misc><reading_meaning>
 <rmgroup><reading r_type="ja_on">ジョウ</reading><reading r_type="ja_kun">ば</reading><reading r_type="pinyin">chang</reading>
@@ -160,6 +168,12 @@ def test_xml_fallback_and_merge(spark, rows):
     assert rows(index, "key", "meanings", "on", "kun", "nanori", "stroke_count", "grade", "jlpt") == [
         ("唖", ["dumb"], ["アク"], [], [], 11, None, None), ("場", ["location", "place"], ["ジョウ"], ["ば"], ["なみ"], 12, 2, None),
     ]
+    # Two files: the later path wins, whatever its size.
+    both = work_path(spark, "xml-two")
+    for name, body in (("a", XML), ("b", XML.replace("<meaning>dumb", "<meaning>silent").replace("アク", "アイ"))):
+        spark.createDataFrame([(body,)], "value string").coalesce(1).write.text(f"{both}/{name}")
+    two = xml_dictionary.read(spark, f"{both}/*")
+    assert rows(two.where("key = '唖'"), "meanings", "on") == [(["silent"], ["アイ"])]
     merged = R.merge_priority(R.normalized(table(spark, PLACE)), R.fallback_records(index))
     got = {r.key: r for r in merged.collect()}
     assert (got["場"].origin, got["場"].frequency_rank) == ("primary", 57)
@@ -168,7 +182,7 @@ def test_xml_fallback_and_merge(spark, rows):
 
 
 def test_banks_and_cards(spark):
-    records = R.normalized(table(spark, PLACE, {"character": "空"}))
+    records = R.normalized(table(spark, PLACE, {"character": "空"}), 25_000)
     terms = {r.expression: r for r in B.term_rows(records, F.lit("card")).collect()}
     assert (terms["場"].sequence, terms["場"].score, terms["場"].reading) == (0x5834, 0, "")
     keys = {r.character: r for r in B.key_rows(records).collect()}

@@ -1,6 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lexigrain import session
+from lexigrain.functions import markup as M
+from lexigrain.operators import banks as B
 from lexigrain.operators import gates as G
 from lexigrain.operators import snapshot as SN
 from lexigrain.operators import versions as VS
@@ -28,7 +31,7 @@ def test_coverage_gate(spark):
     kinds = ", ".join(f"{n} {'double' if isinstance(HEALTHY[n], float) else 'bigint'}" for n in names)
     df = spark.createDataFrame([(k, *[v[n] for n in names]) for k, v in base], f"id string, {kinds}")
     for k, _ in base:
-        failed = G.coverage_checks(df.where(F.col("id") == k)).where("not ok").count()
+        failed = G.coverage_checks(df.where(F.col("id") == k), max_rows=600_000, max_keys_per_row=128).where("not ok").count()
         assert (failed == 0) == (k == "healthy"), k
 
 
@@ -107,7 +110,7 @@ def test_publish_decision(spark):
 
 
 def test_next_version(spark, rows):
-    ledger = spark.createDataFrame([("2026.08.19",), ("2026.08.19.2",), ("2026.08.19.7",), ("2026.08.18.99",), ("v1",), ("2026.08.19.08",)], "revision string")
+    ledger = spark.createDataFrame([("2026.08.19",), ("2026.08.19.2",), ("2026.08.19.7",), ("2026.08.18.99",), ("v1",)], "revision string")
     days = spark.createDataFrame([("2026-08-18",), ("2026-08-19",), ("2026-08-20",)], "day string")
     assert rows(VS.next_version(ledger, days)) == [("2026-08-18", None, True), ("2026-08-19", "2026.08.19.8", False), ("2026-08-20", "2026.08.20", False)]
     some = spark.createDataFrame([("2026.08.19.7",), ("2026.08.19.10",), ("2026.08.19.6",)], "revision string")
@@ -162,3 +165,56 @@ def test_conflicts_span_batches(spark, rows):
 def test_negative_marks(spark, rows):
     marks = spark.createDataFrame([("a", "d1", 1, "absent"), ("a", "d1", 2, "present"), ("b", "d1", 1, "absent"), ("b", "d2", 1, "present")], "key string, dt string, ts int, status string")
     assert rows(L.suppressed(L.latest_marks(marks))) == [("b", "d1")]
+
+
+def test_shape_gate_reports_a_missing_sequence(spark, rows):
+    terms = spark.createDataFrame([("場", 0x5834, 0, "g"), ("所", None, 0, "g"), ("空", 1, 0, "g")], "expression string, sequence bigint, score bigint, glossary string")
+    assert rows(G.term_shape(terms)) == [("所", "sequence is not the code point"), ("空", "sequence is not the code point")]
+
+
+def test_manifest_takes_facts_of_any_type(spark):
+    one = spark.createDataFrame([(3, "ab12", None)], "n bigint, digest string, licence string")
+    two = spark.createDataFrame([(("x", 1.5),)], "source struct<name:string,share:double>")
+    assert B.manifest(one, two).first().manifest == '{"digest":"ab12","licence":null,"n":3,"source":{"name":"x","share":1.5}}'
+
+
+def test_versions_past_an_int_and_with_zero_suffixes(spark, rows):
+    ledger = spark.createDataFrame([("2026.08.19.4000000000",), ("2026.08.18.0",), ("2026.08.18.01",)], "revision string")
+    days = spark.createDataFrame([("2026-08-19",)], "day string")
+    assert rows(VS.next_version(ledger, days), "revision") == [("2026.08.19.4000000001",)]
+    some = spark.createDataFrame([("2026.08.19.3",), ("2026.08.19." + "9" * 30,)], "revision string")
+    assert rows(VS.monotonic(some, ledger), "fresh", "newer_exposed") == [(False, False), (False, True)]
+
+
+def test_markup_without_a_path_has_no_features(spark):
+    df = spark.createDataFrame([('<g element="a"></g>',)], "svg string")
+    assert df.select(M.components("svg", F.lit("k"), element='element="([^"]*)"', path="<path").alias("c")).first().c is None
+
+
+def test_an_unknown_master_needs_a_shared_folder():
+    class Session:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(name, default):
+                return {"spark.master": Session.master}.get(name, default)
+
+    for master in ("", "yarn", "local-cluster[2,1,1024]", "spark://h:7077"):
+        Session.master = master
+        with pytest.raises(RuntimeError):
+            session.shared_dir(Session)
+
+
+def test_a_job_scope_leaves_nothing_behind(spark):
+    with session.job_scope(spark):
+        path = session.work_path(spark, "scoped")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_landing_counts_every_batch(spark):
+    source, target, checkpoint = (work_path(spark, n) for n in ("many-in", "many-out", "many-state"))
+    spark.range(120).selectExpr("id", "'2026-01-01' dt").repartition(120).write.parquet(source)
+    stream = L.file_stream(spark, spark.range(1).selectExpr("id", "'x' dt").schema, source, max_files=1)
+    assert L.land(stream, target, checkpoint) == 120 and spark.read.parquet(target).count() == 120
