@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import staged
 from .ranking import top_n
 
 # Most segments of a distribution, and their colours in order.
@@ -59,6 +60,8 @@ def distribution(scores: DataFrame, key: list[str], max_segments: int = MAX_SEGM
         F.sum(score.cast(SUM_TYPE)).alias("value"),
         F.min_by(F.coalesce("reading_class", F.lit("Other")), "pos").alias("reading_class"),
     )
+    # One row per key and reading, read by three branches; what it took to get there runs once.
+    summed = staged(summed, "summed")
     totals = summed.groupBy(*key).agg(F.sum("value").alias("total"), F.count("*").alias("n"))
     named = top_n(summed, key, [F.desc("value"), F.asc("reading")], max_segments - 1)
     segments = named.join(totals, key)

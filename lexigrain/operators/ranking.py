@@ -35,22 +35,23 @@ def competition_rank(df: DataFrame, group: list[str], value: str, name: str = "r
 def full_rank(df: DataFrame, group: list[str], order: list[Column], name: str = "ord") -> DataFrame:
     """Row number of every row in its group, for groups of any size.
 
-    Rows are range partitioned by (group, order), so a hot group spreads over many
-    partitions; numbers are local to a range and shifted by the sizes of the ranges
-    before it. ``order`` must be unique within a group.
+    Rows are range partitioned by (group, order) and sorted there once, so a hot group
+    spreads over many partitions; they are numbered as they are written. A row's place is
+    its number less its group's first one in the range, plus the sizes of the ranges
+    before: two figures per group and range. ``order`` must be unique within a group.
     """
-    ranged = df.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id())
-    ranged = staged(ranged, "ranges")
+    sorted_ = df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    ranged = staged(
+        sorted_.withColumn("_range", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "ranges"
+    )
     before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         ranged.groupBy("_range", *group)
-        .agg(F.count("*").alias("_n"))
-        .select("_range", *group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+        .agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+        .select("_range", *group, (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1 - F.col("_first")).alias("_shift"))
     )
-    local = Window.partitionBy("_range", *group).orderBy(*order)
     return (
-        ranged.withColumn("_local", F.row_number().over(local))
-        .join(shifts, ["_range", *group])
-        .withColumn(name, (F.col("_local") + F.col("_shift")).cast("bigint"))
-        .drop("_range", "_local", "_shift")
+        ranged.join(shifts, ["_range", *group])
+        .withColumn(name, (F.col("_at") + F.col("_shift")).cast("bigint"))
+        .drop("_range", "_at", "_shift")
     )

@@ -41,6 +41,11 @@ def _reason(bad: Column, limits: dict[str, int]) -> Column:
     )
 
 
+def collapsed(raw: DataFrame) -> DataFrame:
+    """Distinct raw rows with their number of copies, so that each is folded and checked once."""
+    return raw.groupBy("Word", "Form", "Rank").agg(F.count("*").alias("copies"))
+
+
 def row_reasons(raw: DataFrame, corrupt: str | None = None, limits: dict[str, int] | None = None) -> DataFrame:
     """Raw rows with normalized columns and ``reason``: NULL for a valid row.
 
@@ -50,10 +55,14 @@ def row_reasons(raw: DataFrame, corrupt: str | None = None, limits: dict[str, in
     return normalized(raw).withColumn("reason", _reason(bad, limits or {}))
 
 
+def _copies(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c == "copies"]
+
+
 def valid_rows(checked: DataFrame) -> DataFrame:
-    """``surface, reading, rank`` of the rows without a reason."""
+    """``surface, reading, rank`` of the rows without a reason, with their ``copies`` if they were collapsed."""
     rank = F.col("Rank").try_cast("bigint").alias("rank")
-    return checked.where(F.col("reason").isNull()).select("surface", "reading", rank)
+    return checked.where(F.col("reason").isNull()).select("surface", "reading", rank, *_copies(checked))
 
 
 def require_valid(checked: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -78,7 +87,8 @@ def require_valid(checked: DataFrame, max_rows: int | None = None) -> DataFrame:
 
 def distinct_rows(rows: DataFrame) -> DataFrame:
     """One row per (surface, reading, rank), with its number of copies."""
-    return rows.groupBy("surface", "reading", "rank").agg(F.count("*").alias("copies"))
+    n = F.sum("copies") if _copies(rows) else F.count("*")
+    return rows.groupBy("surface", "reading", "rank").agg(n.alias("copies"))
 
 
 def conflict_free(rows: DataFrame) -> DataFrame:

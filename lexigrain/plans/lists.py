@@ -12,7 +12,7 @@ from .base import SQL_RAW, WORD, document_words, query, raw_list, table, word_li
 
 
 def _valid(spark, sf):
-    return R.valid_rows(R.row_reasons(raw_list(spark, sf)))
+    return R.valid_rows(R.row_reasons(R.collapsed(raw_list(spark, sf))))
 
 
 @query("src_rank_csv", f"WITH {SQL_RAW} SELECT w AS surface, r AS reading, rank FROM raw")

@@ -49,7 +49,7 @@ def _spelled(cs):
 
 def lexicon(spark, sf) -> DataFrame:
     """Conflict-free list rows with derived surfaces, and the word itself as ``w``."""
-    checked = R.row_reasons(raw_list(spark, sf))
+    checked = R.row_reasons(R.collapsed(raw_list(spark, sf)))
     free = R.conflict_free(R.valid_rows(checked)).withColumnRenamed("surface", "w")
     cs = chunks(F.col("w"))
     return staged(free.select("w", _spelled(cs).alias("surface"), "reading", "rank"), "lexicon")
@@ -256,7 +256,7 @@ SELECT unnest([
 def gate_coverage(spark, sf):
     rows, inv = aligned(spark, sf)
     stats = S.alignment_stats(rows, S.reading_scores(rows, groups(inv)))
-    parsed = R.parse_stats(R.valid_rows(R.row_reasons(raw_list(spark, sf)))).drop("rows")
+    parsed = R.parse_stats(R.valid_rows(R.row_reasons(R.collapsed(raw_list(spark, sf))))).drop("rows")
     facts = parsed.select(F.struct(*parsed.columns)).scalar()
     both = stats.withColumn("_p", facts).select(*stats.columns, "_p.*")
     return G.coverage_checks(both, LOW_FLOORS)
