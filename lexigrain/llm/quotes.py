@@ -166,18 +166,17 @@ def conversations(messages: DataFrame, thread: str = "thread", position: str = "
         "thread", "position", F.coalesce("quoted", "before").alias("reply_to"),
     )
     tree = staged(tree, "replies")
-    # Pointers double in length each round until all are at their root.
+    # Pointers double in length each round until all are at their root; those that are there rest.
     step = staged(tree.select(
-        "thread", "position", F.coalesce("reply_to", "position").alias("up"), F.when(F.col("reply_to").isNull(), 0).otherwise(1).alias("depth"),
+        "thread", "position", F.coalesce("reply_to", "position").alias("up"),
+        F.when(F.col("reply_to").isNull(), 0).otherwise(1).alias("depth"), F.col("reply_to").isNotNull().alias("moved"),
     ), "pointers")
-    while True:
+    while not step.where("moved").isEmpty():
         above = step.select("thread", F.col("position").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"))
-        moved = step.join(above, ["thread", "up"]).select(
+        moved = step.where("moved").join(above, ["thread", "up"]).select(
             "thread", "position", F.col("up2").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("moved"),
         )
-        step = staged(moved, "pointers")
-        if step.where("moved").isEmpty():
-            break
+        step = staged(step.where("NOT moved").unionByName(moved), "pointers")
     placed = tree.join(step.drop("moved"), ["thread", "position"]).select(
         "thread", "position", "reply_to", F.col("up").alias("root"), "depth",
     )
