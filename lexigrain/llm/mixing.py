@@ -70,11 +70,18 @@ def posteriors(
     share = F.element_at(F.create_map(*[x for d in domains for x in (F.lit(d), F.lit(min(1.0, labels / counts[d])))]), F.col("domain"))
     chosen = known.where(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(1 << 20)) < share * (1 << 20))
     hashed = HashingTF(numFeatures=FEATURES, binary=True, inputCol="traits", outputCol="features")
-    tokens = glosses.select(F.col(key).alias("key"), F.col(gloss).alias("gloss"), words(gloss).alias("words"))
-    tokens = tokens.select("key", F.size("words").cast("bigint").alias("n_tokens"), traits("gloss", "words").alias("traits"))
+    texts = glosses.select(F.col(key).alias("key"), F.col(gloss).alias("gloss"))
+
+    def described(df: DataFrame, *keep: str) -> DataFrame:
+        cut = df.select("gloss", words("gloss").alias("words"), *keep)
+        return cut.select(F.size("words").cast("bigint").alias("n_tokens"), traits("gloss", "words").alias("traits"), *keep)
+
+    tokens = described(texts, "key")
     if len(domains) == 1:
         return tokens.select("key", "n_tokens", F.array(F.lit(1.0)).alias("posterior")), domains
-    sample = staged(tokens.join(chosen, "key").select("traits", number.cast("double").alias("label")), "labelled")
+    # At most about ``labels`` keys of each domain, so the texts need not move to meet them.
+    seen = texts.join(F.broadcast(chosen), "key").withColumn("label", number.cast("double"))
+    sample = staged(described(seen, "label").select("traits", "label"), "labelled")
     model = LogisticRegression(maxIter=60, regParam=PENALTY, elasticNetParam=1.0, standardization=False).fit(hashed.transform(sample))
     scored = model.transform(hashed.transform(tokens))
     return scored.select("key", "n_tokens", vector_to_array("probability").alias("posterior")), domains
