@@ -36,8 +36,8 @@ PERCENT = 80
 COMMON = 1 << 19
 COMMON_HERE = 3
 BATCH_CHARS = 16_000_000
-#: First tokens kept for the pair filter, as a multiple of those posted.
-FILTER_RUN = 3
+#: First tokens kept for the pair filter, as a multiple of those posted; 16 bits of each are kept.
+FILTER_RUN = 2
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -160,7 +160,7 @@ def near_copies(
                 first = tokens[order[:posted]]
                 rows.append((
                     n, xxhash.xxh3_128_digest(tokens.tobytes()), xxhash.xxh3_128_digest(first.tobytes()), first.view(np.int64),
-                    tokens[run].astype(np.uint32).tobytes(), int(weight[run[-1]]), int(tokens[run[-1]] >> np.uint64(1)),
+                    tokens[run].astype(np.uint16).tobytes(), int(weight[run[-1]]), int(tokens[run[-1]] >> np.uint64(1)),
                     int(np.log(n) / base),
                 ))
             columns = list(zip(*rows, strict=True))
@@ -176,16 +176,23 @@ def near_copies(
     ), "shingle-sets")
     linkable = sets.where("n > 0 AND key IS NOT NULL")
     same = staged(linkable.groupBy("digest").agg(F.min("key").alias("unit")), "units")
+    # One row per unit without its tokens, which stay where they were written.
     units = staged(
-        linkable.join(same.select("digest", F.col("unit").alias("key")), ["digest", "key"], "left_semi").drop("digest"), "unit-sets",
+        linkable.select("key", "n", "digest", "first_digest").join(
+            same.select("digest", F.col("unit").alias("key")), ["digest", "key"], "left_semi"
+        ), "unit-keys",
     )
     groups = staged(units.groupBy("n", "first_digest").agg(F.min("key").alias("group"), F.count("*").alias("members")), "groups")
     members = staged(units.join(groups, ["n", "first_digest"]).select("group", "key", "n", "members"), "members")
 
-    heads = units.join(groups.select("n", "first_digest", F.col("group").alias("key")), ["n", "first_digest", "key"], "left_semi")
-    posted = heads.select(
-        F.col("key").alias("group"), "n", F.posexplode("first").alias("i", "token"), "bucket",
-    ).select(
+    heads = linkable.select("key", "n", "first_digest", "first", "bucket").join(
+        groups.select("n", "first_digest", F.col("group").alias("key")), ["n", "first_digest", "key"], "left_semi",
+    )
+    posts = heads.select(F.col("key").alias("group"), "n", "bucket", F.posexplode("first").alias("i", "token"))
+    # Most tokens are posted once and cannot pair anything; only the others go on.
+    often = posts.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
+    posts = staged(posts.join(often.select("token"), "token", "left_semi"), "posts")
+    posted = posts.select(
         "group", "n", "i", "token",
         F.explode(F.array(F.struct("bucket", F.lit(False).alias("guest")), F.struct((F.col("bucket") - 1).alias("bucket"), F.lit(True).alias("guest")))).alias("at"),
     ).select("group", "n", "i", "token", "at.bucket", "at.guest")
@@ -200,7 +207,7 @@ def near_copies(
     ).select(F.col("b").alias("a"), F.col("group").alias("b"))
     stars = stars.union(members.where("key <> group").select("group", "key"))
     stars = staged(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "star-pairs")
-    links = staged(_linked(stars, units, texts, words, percent), "star-links")
+    links = staged(_linked(stars, linkable, texts, words, percent), "star-links")
     joined = staged(components(links), "star-components")
 
     # Members of every list, and of every group, with the component they are in by now.
@@ -233,7 +240,7 @@ def near_copies(
         _similar(percent) & ~(F.col("g") & F.col("guest"))
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = staged(pairs.join(stars, ["a", "b"], "left_anti"), "further-pairs")
-    more = _linked(pairs, units, texts, words, percent)
+    more = _linked(pairs, linkable, texts, words, percent)
     by_row = staged(sets.select("key", "n", "digest").join(same, "digest", "left").select("key", "n", "unit"), "rows-with-units")
     several = by_row.groupBy("key").agg(F.min("unit").alias("a"), F.max("unit").alias("b")).where("a < b").select("key", "a")
     records = by_row.where("unit IS NOT NULL").join(several, "key").select("a", F.col("unit").alias("b"))
@@ -243,7 +250,7 @@ def near_copies(
     )
 
 
-def _linked(pairs: DataFrame, units: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` of keys whose sets are similar enough."""
 
     def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +260,7 @@ def _linked(pairs: DataFrame, units: DataFrame, texts: DataFrame, words: int, pe
             for p, q in zip(x, y, strict=True):
                 n, m = p["n"], q["n"]
                 need = _ceil(percent * (n + m), 100 + percent)
-                mine, other = (np.frombuffer(s["run"], np.uint32) for s in (p, q))
+                mine, other = (np.frombuffer(s["run"], np.uint16) for s in (p, q))
                 both = len(np.intersect1d(mine, other)) + (len(mine) - len(np.unique(mine)))
                 first = (p["last_weight"], p["last_token"]) <= (q["last_weight"], q["last_token"])
                 keep.append(both >= (len(mine) - (n - need) if first else len(other) - (m - need)))
@@ -261,17 +268,17 @@ def _linked(pairs: DataFrame, units: DataFrame, texts: DataFrame, words: int, pe
                 [batch.column("a").filter(pa.array(keep, pa.bool_())), batch.column("b").filter(pa.array(keep, pa.bool_()))], ["a", "b"],
             )
 
-    sides = units.select("key", F.struct("n", "run", "last_weight", "last_token").alias("s"))
+    sides = sets.select("key", F.struct("n", "run", "last_weight", "last_token").alias("s"))
     seen = pairs.join(sides.toDF("a", "x"), "a").join(sides.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    likely = staged(seen.mapInArrow(may, "a bigint, b bigint"), "likely-pairs")
+    likely = staged(seen.mapInArrow(may, "a bigint, b bigint").distinct(), "likely-pairs")
     keys = likely.select(F.col("a").alias("key")).union(likely.select("b")).distinct()
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, some in _by_size(batches):
             whole = [s.tobytes() for s in shingle_sets(some, words)]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(whole, pa.binary())], ["key", "s"])
 
-    whole = staged(texts.join(keys, "key", "left_semi").mapInArrow(sets, "key bigint, s binary"), "whole-sets")
+    whole = staged(texts.join(keys, "key", "left_semi").mapInArrow(tokens_of, "key bigint, s binary"), "whole-sets")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
