@@ -32,10 +32,12 @@ from .components import components
 
 WORDS = 5
 PERCENT = 80
-#: Tokens at the end of the order, at most; each occurs ``COMMON_HERE`` times in some run of ``BATCH_CHARS`` characters.
+#: Tokens at the end of the order, at most; each occurs ``COMMON_HERE`` times in some run of ``COUNTED`` tokens.
 COMMON = 1 << 19
 COMMON_HERE = 3
-BATCH_CHARS = 16_000_000
+COUNTED = 3_000_000
+#: Characters worked on together.
+BATCH_CHARS = 4_000_000
 #: First tokens kept for the pair filter, as a multiple of those posted; 16 bits of each are kept.
 FILTER_RUN = 2
 
@@ -95,10 +97,19 @@ def _common_tokens(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
     """Tokens that many texts share, sorted, with their places in the order of frequency."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for _, some in _by_size(batches):
-            tokens, n = np.unique(np.concatenate(shingle_sets(some, words)), return_counts=True)
-            often = n >= COMMON_HERE
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(n[often])], ["token", "n"])
+            held += shingle_sets(some, words)
+            if sum(map(len, held)) > COUNTED:
+                yield counted_once(held)
+                held = []
+        if held:
+            yield counted_once(held)
+
+    def counted_once(held: list[np.ndarray]) -> pa.RecordBatch:
+        tokens, n = np.unique(np.concatenate(held), return_counts=True)
+        often = n >= COMMON_HERE
+        return pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(n[often])], ["token", "n"])
 
     counted = texts.mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
     most = counted.orderBy(F.desc("n"), "token").limit(COMMON).toArrow()
