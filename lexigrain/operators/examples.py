@@ -183,3 +183,57 @@ def select_examples(words: DataFrame, key: str = "key") -> DataFrame:
     columns = [key, "ord", "label", "place", *WORD_COLUMNS]
     spare = spare.withColumn("ord", F.lit(1).cast("bigint")).withColumn("label", F.lit(""))
     return chosen.select(*columns).unionByName(spare.select(*columns))
+
+
+def _first_items(xs: str, n: int) -> str:
+    """The first ``n`` entries of a sorted array that are not of the same item."""
+    return f"""aggregate({xs}, slice({xs}, 1, 0), (acc, x) -> if(
+        size(acc) >= {n} or exists(acc, y -> y.word_id = x.word_id and y.reading_index = x.reading_index), acc, acc || array(x)))"""
+
+
+_BY_RANK = (
+    "rank:bigint,pos:int,surface:string,gloss:string,ruby:array<struct<base:string,reading:string>>,word_id:bigint,"
+    "reading_index:bigint,grp:int,label:string"
+)
+_WORD = "named_struct('surface', x.surface, 'gloss', x.gloss, 'rank', x.rank, 'ruby', x.ruby, 'word_id', x.word_id, 'reading_index', x.reading_index)"
+
+
+def examples_in_row(words: DataFrame, key: str = "key") -> DataFrame:
+    """``key, picked, global_words``: ``select_examples`` and ``global_top`` for words of payload rows.
+
+    All words of a key come from one payload, so they are gathered once, as many as that row
+    holds, and both choices are made inside the row. ``picked`` is an array of (label, words).
+    """
+    seen = MAX_PER_GROUP * (MAX_GROUPS - 1)
+    by_rank = F.struct("rank", "pos", "surface", "gloss", "ruby", *ITEM, "grp", "label")
+    by_item = F.struct("rank", *ITEM, "surface", "gloss", "grp", "pos", "ruby")
+    rows = words.groupBy(key).agg(F.sort_array(F.collect_list(by_rank)).alias("ws"), F.sort_array(F.collect_list(by_item)).alias("best"))
+    rows = rows.withColumn("gs", F.expr(f"""
+        sort_array(transform(
+          array_distinct(transform(filter(ws, x -> x.grp >= 0 and x.label is not null), x -> named_struct('grp', x.grp, 'label', x.label))),
+          g -> aggregate(
+            array(filter(ws, x -> x.grp = g.grp and x.label = g.label)),
+            cast(null as struct<best:bigint,grp:int,label:string,ws:array<struct<{_BY_RANK}>>>),
+            (none, own) -> named_struct('best', own[0].rank, 'grp', g.grp, 'label', g.label, 'ws', {_first_items("own", seen + MAX_PER_GROUP)}))))
+    """))
+    rows = rows.withColumn("taken", F.expr(f"""
+        aggregate(
+          gs,
+          named_struct('seen', slice(flatten(gs.ws), 1, 0), 'out', slice(gs, 1, 0)),
+          (acc, g) -> if(size(acc.out) >= {MAX_GROUPS}, acc, aggregate(
+            array(slice(filter(g.ws, x -> not exists(acc.seen, y -> y.word_id = x.word_id and y.reading_index = x.reading_index)), 1, {MAX_PER_GROUP})),
+            acc,
+            (a, fresh) -> if(size(fresh) = 0, a, named_struct(
+              'seen', a.seen || fresh,
+              'out', a.out || array(named_struct('best', g.best, 'grp', g.grp, 'label', g.label, 'ws', fresh)))))),
+          acc -> acc.out)
+    """))
+    spare = _first_items("filter(ws, x -> x.grp = -1)", MAX_GROUPS)
+    return rows.select(
+        key,
+        F.expr(f"""if(size(taken) > 0,
+            transform(taken, g -> named_struct('label', g.label, 'words', transform(g.ws, x -> {_WORD}))),
+            transform(filter(array({spare}), s -> size(s) > 0), s -> named_struct('label', '', 'words', transform(s, x -> {_WORD}))))
+        """).alias("picked"),
+        F.expr(f"transform({_first_items('best', MAX_GLOBAL)}, x -> {_WORD})").alias("global_words"),
+    )

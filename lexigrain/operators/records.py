@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import variants as V
 from ..functions.text import clean_array, reading_class
 from ..session import staged
-from .examples import global_top, payload_words, select_examples
-from .readings import entry_counts, exploded_readings, payload_group_order, reading_list
+from .examples import examples_in_row, payload_words
+from .readings import payload_group_order, reading_list
 
 NUMBERS = ("frequencyRank", "strokeCount", "grade", "jlptLevel")
 WORD = (
@@ -53,19 +53,6 @@ def plain_fields(payloads: DataFrame) -> DataFrame:
     return read.select("key", F.inline(usable)).withColumn("keyword", F.get("senses", 0))
 
 
-def _word_struct() -> Column:
-    return F.struct("surface", "gloss", "rank", "ruby", "word_id", "reading_index")
-
-
-def example_groups(examples: DataFrame) -> DataFrame:
-    """Chosen example words as one array per key: a few groups of a few words."""
-    per_group = examples.groupBy("key", "ord", "label").agg(
-        F.sort_array(F.collect_list(F.struct("place", _word_struct().alias("w")))).alias("ws")
-    )
-    group = F.struct("ord", "label", F.transform("ws", lambda x: x["w"]).alias("words"))
-    return per_group.groupBy("key").agg(F.sort_array(F.collect_list(group)).alias("picked"))
-
-
 def normalized(payloads: DataFrame, rank_cutoff: int | None = None) -> DataFrame:
     """The full record of every admissible payload. Keys must be unique.
 
@@ -74,19 +61,12 @@ def normalized(payloads: DataFrame, rank_cutoff: int | None = None) -> DataFrame
     # Payload text is parsed for two typed tables, which all branches then read.
     plain = staged(plain_fields(payloads), "fields")
     words = staged(payload_words(payloads, usable=admissible("v"), rank_cutoff=rank_cutoff), "words")
-    picked = example_groups(select_examples(words))
-    best = (
-        global_top(words)
-        .groupBy("key")
-        .agg(F.sort_array(F.collect_list(F.struct("ord", _word_struct().alias("w")))).alias("ws"))
-        .select("key", F.transform("ws", lambda x: x["w"]).alias("global_words"))
-    )
-    counted = (
-        entry_counts(exploded_readings(plain), ["key"])
-        .groupBy("key")
-        .agg(F.sort_array(F.collect_list(F.struct((-F.col("entries")).alias("neg"), F.col("stem").alias("reading")))).alias("counts"))
-    )
-    joined = plain.join(picked, "key", "left").join(best, "key", "left").join(counted, "key", "left")
+    counts = F.expr("""
+        sort_array(transform(
+          array_distinct(transform(filter(readings, r -> r.stem <> '' and r.total > 0), r -> r.stem)),
+          s -> named_struct('neg', -aggregate(filter(readings, r -> r.stem = s and r.total > 0), 0L, (n, r) -> n + r.total), 'reading', s)))
+    """)
+    joined = plain.withColumn("counts", counts).join(examples_in_row(words), "key", "left")
 
     def kind(reading):
         return reading_class(reading, F.col("on"), F.col("kun"))
