@@ -10,6 +10,7 @@ from ..functions.text import (
     as_col, is_han, kana_fold, nfkc_each, strip,
 )
 from ..functions.weights import rank_weight
+from .skew import salted_join
 
 def longest_first(xs) -> Column:
     """Distinct options, longest first, then by value."""
@@ -113,7 +114,7 @@ def surface_chars(rows: DataFrame, options: DataFrame) -> DataFrame:
     (surface, reading, rank); regrouping gathers one surface, at most its length.
     """
     chars = rows.select("surface", "reading", "rank", F.posexplode(F.split("surface", "")).alias("pos", "ch"))
-    met = chars.join(options.withColumnRenamed("key", "ch"), "ch", "left")
+    met = salted_join(chars, options.withColumnRenamed("key", "ch"), ["ch"], "left")
     # Options that do not occur in the reading can never be consumed and need not travel.
     alone, compound = (F.filter(c, lambda o: F.contains("reading", o)).alias(c) for c in ("alone", "compound"))
     one = F.struct(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .skew import salted_join
 
 
 def top_n(df: DataFrame, group: list[str], order: list, n: int, name: str = "ord") -> DataFrame:
@@ -22,14 +23,15 @@ def competition_rank(df: DataFrame, group: list[str], value: str, name: str = "r
     """1 + number of rows of the group with a larger ``value``; equal values share a rank.
 
     Works on a histogram of the values, which partial aggregation builds, and joins
-    the ranks back. For values with few distinct levels, such as counts or lengths.
+    the ranks back, the commonest value in several parts. For values with few distinct
+    levels, such as counts or lengths.
     """
     histogram = df.groupBy(*group, value).agg(F.count("*").alias("_n"))
     above = Window.partitionBy(*group).orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
     ranks = histogram.select(
         *group, value, (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).cast("bigint").alias(name)
     )
-    return df.join(ranks, [*group, value])
+    return salted_join(df, ranks, [*group, value])
 
 
 def full_rank(df: DataFrame, group: list[str], order: list[Column], name: str = "ord") -> DataFrame:

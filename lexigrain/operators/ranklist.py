@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import nfkc, nfkc_fold, strip
 from ..session import staged
+from .skew import salted_join
 
 # The limits of the strict list, on the lengths of a surface and a reading and on the
 # rank. A caller that wants them passes them; nothing is limited otherwise.
@@ -140,4 +141,4 @@ def relevant(rows: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
     planner broadcasts the keys only when their size allows it.
     """
     chars = rows.select("surface", "reading", "rank", F.explode(F.array_distinct(F.split("surface", ""))).alias(key))
-    return chars.join(keys.select(key), key, "left_semi").drop(key).distinct()
+    return salted_join(chars, keys.select(key).distinct(), [key], "left_semi").drop(key).distinct()
