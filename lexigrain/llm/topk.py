@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .shards import search
 
-RUN = 512
+RUN = 2048
 
 
 def top_scores(
