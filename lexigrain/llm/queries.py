@@ -158,4 +158,4 @@ def op3_secret_scan(spark, sf):
     found = found.select("doc_id", "path", "at", F.col("word").rlike('^"[0-9a-f]{40}"').alias("secret"))
     reviewed = found.join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
     found = secret_scan.scan(files, words.where("n >= 5 AND word <> ''"), reviewed)
-    return found.select(F.element_at(F.split("path", "/"), -1).cast("bigint").alias("doc_id"), "at", "candidate", "score")
+    return found.select(F.element_at(F.split("path", "/"), -1).cast("bigint").alias("doc_id"), "at", "part", "candidate", "score")

@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 
-CANDIDATE = r"[A-Za-z0-9+/_=.-]{16,}"
+#: Runs of key-like characters. A sign of equality only ends one, unless nothing else in its run is long enough.
+CANDIDATE = r"[A-Za-z0-9+/_.-]{16,}={0,2}|(?<![A-Za-z0-9+/_=.-])(?![A-Za-z0-9+/_=.-]*[A-Za-z0-9+/_.-]{16})[A-Za-z0-9+/_=.-]{16,}"
+#: All up to the last character between the fields of a text without white space.
+FIELDS = r"(?s)^.*[,;&?{}|]"
 #: Words that announce a secret, and path parts that speak against one.
 NAMES = r"(?i)(?:key|token|secret|passw|pwd|auth|cred|bearer|private|api|access|sign)"
 HARMLESS = r"(?i)(?:^|[/._-])(?:tests?|spec|fixtures?|examples?|samples?|mocks?|docs?)(?:$|[/._-])"
@@ -34,27 +37,49 @@ def _share(text: str, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)) / F.length(text)
 
 
+def places(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
+    """``path, at, part, candidate, lead, before, after``: every candidate of every file and what stands next to it.
+
+    ``at`` is the number of the white-space separated word, ``part`` that of the candidate in it, both from 0.
+    ``lead`` is the text before the candidate: of the first one of a word the two words before and what the word
+    begins with, of the others what lies between, with the candidate before; either way only from the last
+    separator of fields on, so a name far ahead on the line announces nothing. All of it is linear in the content.
+    """
+    rows = files.select(F.col(path).cast("string").alias("path"), F.split(F.coalesce(content, F.lit("")), r"\s+").alias("w"))
+    long = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.length(F.col("w")[i]) >= 16)
+    words = F.transform(long, lambda i: F.struct(
+        i.alias("at"), F.col("w")[i].alias("word"),
+        *[F.coalesce(F.get("w", i + d), F.lit("")).alias(n) for d, n in ((-2, "before2"), (-1, "before"), (1, "after"))],
+    ))
+    rows = rows.select("path", F.explode(words).alias("o")).select("path", "o.*").where(F.col("word").rlike(CANDIDATE))
+    rows = rows.withColumn("c", F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0))).withColumn("gaps", F.split("word", CANDIDATE))
+    gap, none = lambda i: F.get("gaps", i), F.lit("")
+    first, last = (lambda i: i == 0), (lambda i: i == F.size("c") - 1)
+    begun = F.concat_ws(" ", "before2", "before", F.col("gaps")[0])
+    found = F.transform("c", lambda x, i: F.struct(
+        i.alias("part"), x.alias("candidate"),
+        F.when(first(i), begun).otherwise(F.concat(F.get("c", i - 1), gap(i))).alias("lead"), gap(i).alias("gap"),
+        F.when(first(i), F.col("before")).otherwise(gap(i)).alias("before"),
+        F.when(last(i), F.col("after")).otherwise(F.coalesce(gap(i + 1), none)).alias("after"),
+    ))
+    found = rows.select("path", "at", F.explode(found).alias("o")).select("path", "at", "o.*")
+    cut = (F.col("part") > 0) | F.col("gap").rlike("[,;&?{}|]")
+    return found.withColumn("lead", F.when(cut, F.regexp_replace("lead", FIELDS, "")).otherwise(F.col("lead"))).drop("gap")
+
+
 def candidates(files: DataFrame, dictionary: DataFrame, path: str = "path", content: str = "content", word: str = "word") -> DataFrame:
-    """``path, at, candidate`` and the features of every candidate of every file.
+    """``path, at, part, candidate`` and the features of every candidate of every file.
 
     ``files``       path and content of snapshot files
     ``dictionary``  a table of words, in lower case, such as the ranked list's surfaces
 
-    ``at`` is the number of the word, from 0, that holds the candidate.
+    ``at`` and ``part`` say where a candidate stands, as in ``places``.
     """
-    rows = files.select(F.col(path).cast("string").alias("path"), F.split(F.coalesce(content, F.lit("")), r"\s+").alias("w"))
-    places = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.length(F.col("w")[i]) >= 16)
-    found = rows.select("path", "w", F.explode(places).alias("at")).select(
-        "path", "at", F.col("w")[F.col("at")].alias("word"),
-        *[F.coalesce(F.get("w", F.col("at") + d), F.lit("")).alias(n) for d, n in ((-2, "before2"), (-1, "before"), (1, "after"))],
-    )
-    found = found.withColumn("candidate", F.regexp_extract("word", CANDIDATE, 0)).where("candidate <> ''")
-    lead = F.concat_ws(" ", "before2", "before", F.split_part("word", F.col("candidate"), F.lit(1)))
-    found = found.withColumn("lead", lead)
+    found = places(files, path, content)
     kinds = r"(?<=[a-z])(?=[A-Z0-9])|(?<=[A-Z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z0-9])(?=[+/_=.-])"
     clean = lambda c: F.regexp_replace(F.lower(c), r"[^\p{L}]", "")
     found = staged(found.select(
-        "path", "at", "candidate",
+        "path", "at", "part", "candidate",
         F.length("candidate").cast("double").alias("length"),
         _share("candidate", "[0-9]").alias("digits"), _share("candidate", "[A-Z]").alias("uppers"),
         _share("candidate", "[+/_=.-]").alias("symbols"),
@@ -82,7 +107,7 @@ def candidates(files: DataFrame, dictionary: DataFrame, path: str = "path", cont
         *[F.max(F.when(F.col("kind") == k, 1.0).otherwise(0.0)).alias(f"{k}_known") for k in ("before", "after")],
     )
     return found.join(known, "id", "left").select(
-        "path", "at", "candidate", *[c for c in FEATURES if c not in ("covered", "before_known", "after_known")],
+        "path", "at", "part", "candidate", *[c for c in FEATURES if c not in ("covered", "before_known", "after_known")],
         F.coalesce(F.col("letters") / F.col("length"), F.lit(0.0)).alias("covered"),
         *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("before_known", "after_known")],
     )
@@ -92,31 +117,34 @@ def scan(
     files: DataFrame, dictionary: DataFrame, labelled: DataFrame, path: str = "path", content: str = "content", word: str = "word",
     secret: str = "secret", least: float = 0.5, labels: int = LABELLED,
 ) -> DataFrame:
-    """``path, at, candidate, score``: the candidates that the forest takes for secrets.
+    """``path, at, part, candidate, score``: the candidates that the forest takes for secrets.
 
-    ``labelled``  findings with a path, ``at`` and a boolean ``secret``; those that are no
-                  candidates of ``files`` are ignored
+    ``labelled``  findings with a path, ``at``, ``part`` and a boolean ``secret``; without the column
+                  ``part`` they are the first of their words; those that are no candidates of
+                  ``files`` or whose ``secret`` is NULL are ignored
     ``least``     score from which a candidate stays
     ``labels``    bound on the labelled findings of either label that train the forest
 
-    Contents are read whole; NULL or empty ones hold nothing. A word of any length gives one
-    candidate, its first run of key-like characters. Repeated files are reported as often as they
+    Contents are read whole; NULL or empty ones hold nothing. A word of any length gives all
+    its runs of key-like characters. Repeated files are reported as often as they
     occur; a NULL path is reported as NULL and never labelled. Without labelled findings of both kinds
     nothing can be told apart and every candidate stays, with a NULL score. Empty tables give no
     rows; further columns are ignored.
     """
     found = staged(candidates(files, dictionary, path, content, word), "features")
     marks = labelled.select(
-        F.col(path).cast("string").alias("path"), F.col("at").cast("int").alias("at"), F.col(secret).cast("boolean").cast("double").alias("label"),
+        F.col(path).cast("string").alias("path"), F.col("at").cast("int").alias("at"),
+        (F.col("part") if "part" in labelled.columns else F.lit(0)).cast("int").alias("part"),
+        F.col(secret).cast("boolean").cast("double").alias("label"),
     ).where("label IS NOT NULL").distinct()
-    known = staged(found.join(marks, ["path", "at"]), "known-findings")
+    known = staged(found.join(marks, ["path", "at", "part"]), "known-findings")
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
-        return found.select("path", "at", "candidate", F.lit(None).cast("double").alias("score"))
+        return found.select("path", "at", "part", "candidate", F.lit(None).cast("double").alias("score"))
     share = F.when(F.col("label") == 1.0, min(1.0, labels / counts[1.0])).otherwise(min(1.0, labels / counts[0.0]))
-    chosen = known.where(F.pmod(F.xxhash64("path", "at", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20))
+    chosen = known.where(F.pmod(F.xxhash64("path", "at", "part", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20))
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
     sample = staged(chosen.select("label", *FEATURES), "findings")
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11).fit(vectors.transform(sample))
     scored = forest.transform(vectors.transform(found)).withColumn("score", vector_to_array("probability")[1])
-    return scored.where(F.col("score") >= least).select("path", "at", "candidate", "score")
+    return scored.where(F.col("score") >= least).select("path", "at", "part", "candidate", "score")

@@ -79,3 +79,36 @@ def test_the_forest_keeps_secrets_and_drops_the_rest(spark):
     untold = secret_scan.scan(df, dictionary, marks.where("secret")).collect()
     assert {r["score"] for r in untold} == {None} and len(untold) > len(out)
     assert secret_scan.scan(df.where("false"), dictionary, marks).collect() == []
+
+
+def test_every_secret_of_a_word_is_found(spark):
+    rng = random.Random(19)
+    key = lambda: "".join(rng.choices("0123456789abcdef", k=40))
+    path = lambda: "/usr/local/share/" + "".join(rng.choices("aeilnorst", k=6))
+    files, labels, secrets = [], [], set()
+    for i in range(80):
+        a, b, name = key(), key(), f"conf/app{i}.json"
+        text = '{"path":"%s","token":"%s","home":"%s","secret":"%s"}' % (path(), a, path(), b)
+        text = text if i % 2 else f"path={path()}&token={a}&home={path()}&secret={b}"
+        files.append((name, text))
+        secrets |= {(name, 0, 1, a), (name, 0, 3, b)}
+        labels += [(name, 0, part, part % 2 == 1) for part in range(4)] if i < 60 else []
+    df = spark.createDataFrame(files, "path string, content string")
+    marks = spark.createDataFrame(labels, "path string, at int, part int, secret boolean")
+    words = spark.createDataFrame([("local",), ("share",), ("usr",)], "word string")
+    found = secret_scan.scan(df, words, marks).collect()
+    assert {(r["path"], r["at"], r["part"], r["candidate"]) for r in found} == secrets and len(found) == len(secrets)
+
+
+def test_candidates_of_a_word_and_their_leads(spark):
+    line = ",".join(f'"name{i}":"{"ab12" * 5}"' for i in range(3000))
+    texts = ["x token=0123456789abcdef0123== y", "password=hunter2hunter2", 'api_key : "AAAABBBBCCCCDDDD"', line]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "path string, content string")
+    rows = secret_scan.places(df).collect()
+    short = {r["path"]: (r["at"], r["part"], r["candidate"], r["lead"]) for r in rows if r["path"] != "3"}
+    assert short == {
+        "0": (1, 0, "0123456789abcdef0123==", " x token="), "1": (0, 0, "password=hunter2hunter2", "  "),
+        "2": (2, 0, "AAAABBBBCCCCDDDD", 'api_key : "'),
+    }
+    many = sorted((r["part"], r["lead"]) for r in rows if r["path"] == "3")
+    assert [m[0] for m in many] == list(range(3000)) and many[2999][1] == '"name2999":"'
