@@ -129,8 +129,8 @@ def build(spark: SparkSession, sources: Sources, target: str, day: str, limits:
     members = staged(FM.family_members(features.select("key", "component"), ranks), "families")
 
     shares = D.labels(D.distribution(scores.withColumnRenamed("ord", "pos"), ["key"]), ["key"])
-    near = FM.siblings(members).select(
-        F.col("member").alias("key"), "component", F.concat_ws(B.MEMBER_SEPARATOR, "previous", "next").alias("siblings"),
+    near = FM.all_siblings(members).select(
+        F.col("member").alias("key"), "component", F.array_join("siblings", B.MEMBER_SEPARATOR).alias("siblings"),
     )
     cards = B.cards(merged, shares, near, features)
     terms = staged(B.term_rows(cards, F.to_json(F.struct(*[c for c in cards.columns if c != "key"]))), "terms")

@@ -65,3 +65,17 @@ def test_a_failed_gate_leaves_no_output(spark, fault):
         BU.build(spark, given, target, "2026-08-16", limits)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.text(target)
+
+
+def test_a_card_names_its_whole_family(spark):
+    given, target = sources(spark), work_path(spark, "family")
+    keys = "場生持時詩侍"
+    docs = [PLACE, LIFE] + [LIFE | {"character": k, "frequencyRank": 10 + i} for i, k in enumerate(keys[2:])]
+    markup = spark.createDataFrame([(k, SVG.format(k)) for k in keys], "key string, svg string")
+    BU.build(spark, BU.Sources(table(spark, *docs), given.ranks, given.fallback, markup), target, "2026-08-16")
+    terms = spark.read.parquet(f"{target}/2026.08.16/terms").collect()
+    cards = {r["expression"]: r["glossary"] for r in terms if r["expression"] in keys}
+    order = sorted(keys, key=[r.member for r in BU.FM.family_members(spark.createDataFrame([(k, "寺") for k in keys], "key string, component string"), spark.createDataFrame([(d["character"], d["frequencyRank"]) for d in docs], "key string, rank long")).orderBy("ord").collect()].index)
+    assert len(cards) == 6
+    for key, card in cards.items():
+        assert "、".join(k for k in order if k != key) in card
