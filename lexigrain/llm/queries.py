@@ -147,15 +147,17 @@ def op1_mixing(spark, sf):
     )
 
 
+#: Share of the distinct documents from which a word belongs to the dictionary of the secret scan.
+COMMON = 0.002
+
+
 @query("op3_secret_scan")
 def op3_secret_scan(spark, sf):
     docs = table(spark, sf, "documents")
     files = docs.select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), F.col("text").alias("content"))
-    words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    # Findings of the labelled documents, told by the exact form in which a secret is assigned there.
-    path = F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path")
-    found = docs.select("doc_id", path, F.posexplode(F.split("text", r"\s+")).alias("at", "word")).where(F.length("word") >= 16)
-    found = found.select("doc_id", "path", "at", F.col("word").rlike('^"[0-9a-f]{40}"').alias("secret"))
-    reviewed = found.join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
-    found = secret_scan.scan(files, words.where("n >= 5 AND word <> ''"), reviewed)
+    # Findings of the labelled documents, told by their shape and what they are assigned to, where that tells.
+    doc_id = F.element_at(F.split("path", "/"), -1).try_cast("bigint")
+    found = secret_scan.places(files).select(doc_id.alias("doc_id"), "path", "at", "part", secret_scan.told().alias("secret"))
+    reviewed = found.where("secret IS NOT NULL").join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    found = secret_scan.scan(files, secret_scan.common_words(docs, COMMON), reviewed)
     return found.select(F.element_at(F.split("path", "/"), -1).cast("bigint").alias("doc_id"), "at", "part", "candidate", "score")

@@ -23,6 +23,20 @@ FIELDS = r"(?s)^.*[,;&?{}|]"
 #: Words that announce a secret, and path parts that speak against one.
 NAMES = r"(?i)(?:key|token|secret|passw|pwd|auth|cred|bearer|private|api|access|sign)"
 HARMLESS = r"(?i)(?:^|[/._-])(?:tests?|spec|fixtures?|examples?|samples?|mocks?|docs?)(?:$|[/._-])"
+#: What assigns a value to the name of a secret, in any case and quoting, right before the value.
+ASSIGNED = (
+    r"(?i)(?:(?:key|token|secret|passw(?:or)?d|passphrase|pwd|auth|credentials?|signature)(?:[_-]?[a-z0-9]{1,12})?[\"'`]?\s*(?:=>|:=|=|:)"
+    r"|authorization[\"'`]?\s*[=:]\s*[\"'`]?\s*(?:bearer|basic|token)|\bbearer)\s*[\"'`]?$"
+)
+#: Values that name their own kind: keys of clouds, of code hosts and of payment services, signed tokens.
+ISSUED = (
+    r"^(?:(?:AKIA|ASIA)[0-9A-Z]{16}|AIza[0-9A-Za-z_-]{35}|gh[pousr]_[0-9A-Za-z]{36,}|github_pat_[0-9A-Za-z_]{22,}|glpat-[0-9A-Za-z_-]{20,}"
+    r"|xox[abprs]-[0-9A-Za-z-]{10,}|[rs]k_(?:live|test)_[0-9A-Za-z]{16,}|eyJ[0-9A-Za-z_-]{10,}[.]eyJ[0-9A-Za-z_-]{10,}[.][0-9A-Za-z_-]+)$"
+)
+#: Changes between letters and digits, or from lower to upper case; by chance at least two in five places are such.
+TURN = r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])"
+#: Turns a character from which a value is taken for random: a third of what chance makes, many times what words do.
+RANDOM_TURNS = 0.125
 TREES = 20
 DEPTH = 6
 #: Labelled findings used for training, at most, of either label; chosen by a hash.
@@ -67,6 +81,34 @@ def places(files: DataFrame, path: str = "path", content: str = "content") -> Da
     return found.withColumn("lead", F.when(cut, F.regexp_replace("lead", FIELDS, "")).otherwise(F.col("lead"))).drop("gap")
 
 
+def told(candidate: str = "candidate", lead: str = "lead") -> Column:
+    """Whether a candidate is a secret as far as its shape and its lead tell, else NULL.
+
+    True for a value of an issuer's own form, and for a random one that is assigned to the name of a secret,
+    in any quoting, case or length. False for a value that is neither random nor assigned to such a name.
+    A random value without a name may be a checksum and a named one of plain words a reference: both are NULL.
+    """
+    value = F.regexp_replace(candidate, "^.*[^=]=(?=[^=])", "")
+    before = F.concat(F.col(lead), F.substring(candidate, F.lit(1), F.length(candidate) - F.length(value)))
+    named = before.rlike(ASSIGNED)
+    random = F.regexp_count(value, F.lit(TURN)) >= F.greatest(F.lit(2), RANDOM_TURNS * F.length(value))
+    return F.when(value.rlike(ISSUED) | named & random, True).when(~named & ~random, False)
+
+
+def common_words(docs: DataFrame, share: float, text: str = "text") -> DataFrame:
+    """``word, n``: words, in lower case, that at least a share of the distinct texts hold, and two of them.
+
+    Texts that hold the same new words in the same order are one, so what is copied counts once.
+    """
+    held = F.array_join(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), " ")
+    texts = docs.where(F.col(text).isNotNull()).select(held.alias("held")).distinct()
+    # The empty word, which every text gets, counts the texts.
+    words = texts.select(F.explode(F.array_union(F.array(F.lit("")), F.split("held", " "))).alias("word"))
+    counts = staged(words.groupBy("word").agg(F.count("*").alias("n")), "word-counts")
+    total = counts.where("word = ''").first()
+    return counts.where((F.col("word") != "") & (F.col("n") >= max(2, share * (total["n"] if total else 0))))
+
+
 def candidates(files: DataFrame, dictionary: DataFrame, path: str = "path", content: str = "content", word: str = "word") -> DataFrame:
     """``path, at, part, candidate`` and the features of every candidate of every file.
 

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from lexigrain.llm import mixing, secret_scan
+from lexigrain.llm import mixing, queries, secret_scan
 
 
 @pytest.fixture(scope="module")
@@ -112,3 +112,47 @@ def test_candidates_of_a_word_and_their_leads(spark):
     }
     many = sorted((r["part"], r["lead"]) for r in rows if r["path"] == "3")
     assert [m[0] for m in many] == list(range(3000)) and many[2999][1] == '"name2999":"'
+
+
+def _secrets(rng):
+    some = lambda chars, n: "".join(rng.choices(chars, k=n))
+    hexa, b64 = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    return [
+        ('token = "%s"', some(hexa, 40)), ("token = %s", some(hexa, 40)), ("TOKEN = '%s'", some(hexa, 40).upper()),
+        ("api_key=%s", some(hexa, 32)), ("secret: %s", some(b64, 44)), ("password=%s", some(b64, 24)), ("found %s", "AKIA" + some(b64[:26] + "234567", 16)),
+    ]
+
+
+def test_the_query_finds_secrets_of_every_shape(spark, tmp_path):
+    rng = random.Random(21)
+    stock = ["internationalization", "src/main/java/lexicon/Reading", "counterrevolutionary", "4785380592391139", "www.example.org/start/page"]
+    docs, planted = [], {}
+    for i in range(280):
+        shape, value = _secrets(rng)[i % 7]
+        docs.append((i, f"see {rng.choice(stock)} then {shape % value} and {rng.choice(stock)} too", "en", "web"))
+        planted[i] = value
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i,) for i in range(210)], "doc_id long").write.parquet(f"{tmp_path}/labels.parquet")
+    found = {}
+    for r in queries.op3_secret_scan(spark, str(tmp_path)).collect():
+        found.setdefault(r["doc_id"], []).append(r["candidate"])
+    assert found == {i: [v] for i, v in planted.items()}
+
+
+def test_what_the_shape_of_a_finding_tells(spark):
+    rng = random.Random(22)
+    rows = [(shape % value, True) for shape, value in _secrets(rng)]
+    rows += [("see internationalization", False), ("path=/usr/local/share/x", False), ("token = internationalization", None),
+             ("commit 24be64439e3e49cf46b2d7c90f3602a3d0b907ff", None), ("19@mail5.example.com", False)]
+    df = spark.createDataFrame([(str(i), t) for i, (t, _) in enumerate(rows)], "path string, content string")
+    got = secret_scan.places(df).select("path", secret_scan.told().alias("secret")).collect()
+    assert {int(r["path"]): r["secret"] for r in got} == {i: s for i, (_, s) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("times", [1, 20])
+def test_common_words_are_a_share_of_distinct_texts(spark, times):
+    rows = [(f"the text {'abcdefghij'[i % 10] * 3} {'often' if i % 10 == 0 else ''} own{chr(97 + i // 26)}{chr(97 + i % 26)}",) for i in range(30 * times)]
+    rows += [("the copied secret",)] * 40
+    words = secret_scan.common_words(spark.createDataFrame(rows, "text string"), 0.08).collect()
+    assert {"the", "text", "often"} <= {r["word"] for r in words}
+    assert not {"copied", "secret"} & {r["word"] for r in words} and not any(r["word"].startswith("own") for r in words)
