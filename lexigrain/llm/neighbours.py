@@ -22,6 +22,8 @@ from .shards import search
 DIMENSIONS = 12
 LEAF = 32
 CONFIDENCE = 0.99
+#: Squared projected distance below which rounding decides: copies of one vector are no farther apart.
+ROUNDING = 1e-9
 SEED = 20177
 
 
@@ -133,12 +135,13 @@ def nearest(
                 own, at, best, best_key = asked["key"][i], 0, np.empty(0), np.empty(0, np.int64)
                 order = np.argsort(bounds)
                 while at < len(order):
-                    if len(best) == k and bounds[order[at]] >= limit * 2 * (1 - best[-1]):
+                    if len(best) == k and bounds[order[at]] > limit * 2 * max(0.0, 1 - best[-1]) + ROUNDING:
                         break  # any vector as near as the k-th would have been met before
                     step = order[at:at + 4]
                     at += len(step)
                     picked = np.concatenate([np.arange(ends[j], ends[j + 1]) for j in step])
-                    score, found = x[picked] @ one, keys[picked]
+                    # Row by row, so that copies have one score wherever they stand; a matrix product may round them apart.
+                    score, found = (x[picked] * one).sum(axis=1), keys[picked]
                     mine = found != own
                     score, found = np.concatenate([best, score[mine]]), np.concatenate([best_key, found[mine]])
                     top = np.lexsort((found, -score))[:k]

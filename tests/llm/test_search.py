@@ -49,6 +49,18 @@ def test_neighbours_of_odd_rows(spark):
     assert neighbours.nearest(df, df.where("false"), 5).collect() == []
 
 
+def test_neighbours_among_thousands_of_copies_are_those_of_the_smallest_keys(spark):
+    x = np.random.default_rng(8).standard_normal((4000, 64))
+    copies = np.random.default_rng(9).permutation(4000)[:2500]
+    x[copies[:2000]], x[copies[2000:]] = x[copies[0]], x[copies[2000]]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "key long, vector array<double>").coalesce(1)
+    for group in (copies[:2000], copies[2000:]):
+        asked = sorted(group.tolist())[::97]
+        found = neighbours.nearest(df, df.where(df["key"].isin(asked)), 5).collect()
+        mine = {q: [r["key"] for r in sorted(found, key=lambda r: r["rank"]) if r["query"] == q] for q in asked}
+        assert mine == {q: [i for i in sorted(group.tolist()) if i != q][:5] for q in asked}
+
+
 def test_chi_square():
     assert neighbours.chi_square_cdf(neighbours.chi_square_quantile(0.95, 12), 12) == pytest.approx(0.95)
     assert neighbours.chi_square_quantile(0.95, 2) == pytest.approx(5.991, abs=1e-3)
