@@ -6,6 +6,10 @@ are never main text), its link density, its length and the density of stop words
 are too short, or middling, stay undecided; the second pass gives them the label of the
 nearest decided neighbour. Inside an element that the page itself marks as its article, place
 and links decide, and stop words are not asked for: a list of names there is still main text.
+
+A name or a form alone does not put all that it holds beside the text: many pages stand in one
+form, or in a wrapper that is named after the sidebar it has. Such a wrapper counts only if the
+page has its text elsewhere (see ``_besides``).
 """
 
 from __future__ import annotations
@@ -48,7 +52,8 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-OUTSIDE = frozenset("nav aside footer form menu dialog button fieldset head".split())
+OUTSIDE = frozenset("nav aside footer menu dialog button head".split())
+FORMS = frozenset("form fieldset".split())
 #: Tags that a later one of the same kind, or the end of what holds them, closes.
 LOOSE = frozenset("p li dt dd td th tr option".split())
 #: Words of a class, id or role that name something beside the text.
@@ -60,6 +65,14 @@ BESIDE = frozenset(
     " hidden".split()
 )
 TALK = frozenset("comment comments reply replies respond disqus discussion".split())
+#: Those that hardly ever name what holds a page's text, unless it is called its content as well.
+STRICT = TALK | frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies consent gdpr notice"
+    " alert popup modal overlay newsletter related recommended recommendations copyright disclaimer".split()
+)
+CONTENT = frozenset("content main page post article entry story".split())
+#: Words before a name that say what a page has or lacks, such as ``with-sidebar``.
+MODIFIERS = frozenset("no not non with without has have had is can show shows hide hides".split())
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 NAME = re.compile(r"[a-z]+")
@@ -72,18 +85,81 @@ GOOD, BAD, SHORT_BLOCK, MIDDLING = "good", "bad", "short", "middling"
 class Block:
     """A run of text between block-level tags."""
 
-    __slots__ = ("text", "linked", "beside", "article", "heading", "label")
+    __slots__ = ("text", "linked", "beside", "article", "heading", "label", "wrapper")
 
-    def __init__(self, text: str, linked: int, beside: bool, article: int, heading: bool):
+    def __init__(self, text: str, linked: int, beside: bool, article: int, heading: bool, wrapper: int = 0):
         self.text, self.linked, self.beside, self.article, self.heading = text, linked, beside, article, heading
-        self.label = ""
+        self.label, self.wrapper = "", wrapper
+
+
+class Wrapper:
+    """An element that may be beside the text by its name or as a form; the page itself is the first."""
 
+    __slots__ = ("parent", "strict", "talk", "marked")
 
-def _names(rest: str) -> set[str]:
+    def __init__(self, parent: int, strict: bool, talk: bool):
+        self.parent, self.strict, self.talk = parent, strict, talk
+        self.marked: list[tuple[str, int]] = []  # tag and number of articles right in it
+
+
+def _names(rest: str) -> tuple[set[str], set[str]]:
+    """The words of the names of an element, without what it only has or lacks, and the names of one word."""
     found: set[str] = set()
+    alone: set[str] = set()
     for _, value in ATTRIBUTE.findall(rest):
-        found.update(NAME.findall(CAMEL.sub(" ", value).lower()))
-    return found
+        for name in value.strip("\"'").split():
+            words = NAME.findall(CAMEL.sub(" ", name).lower())
+            if len(words) > 1 and (cut := next((i for i, w in enumerate(words) if w in MODIFIERS), None)) is not None:
+                words = words[:cut]
+            found.update(words)
+            if len(words) == 1:
+                alone.update(words)
+    return found, alone
+
+
+def _besides(found: list[Block], wrappers: list[Wrapper]) -> list[bool]:
+    """Which wrappers are beside the text, by what they hold and what the page has outside them.
+
+    What stands in other wrappers beside one says nothing about it. One does not count as beside
+
+    - if it holds the page's ``main``, or its only articles with at least as much text as is outside;
+      what is named as talk may hold one article only, since comments are often marked as articles
+    - or, if not named as talk, if it holds a long block of running text while outside there is none
+      and less than half as much text; of a strict name, while outside there is next to nothing.
+    """
+    n = len(wrappers)
+    own, longest, running, marked = [0] * n, [0] * n, [False] * n, [0] * n
+    shown: set[int] = set()
+    for b in found:
+        if b.beside:
+            continue
+        size, w = len(b.text), b.wrapper
+        own[w] += size
+        longest[w] = max(longest[w], size)
+        running[w] |= size >= LONG and b.linked <= MOST_LINKS * size
+        if b.article:
+            marked[w] += size
+            shown.add(b.article)
+    articles = [len({a for _, a in w.marked} & shown) for w in wrappers]
+    mains = [any(t == "main" and a in shown for t, a in w.marked) for w in wrappers]
+    outside, far, others = [0] * n, [0] * n, [0] * n  # what is right in the wrappers around one
+    for i in range(1, n):
+        p = wrappers[i].parent
+        outside[i], far[i], others[i] = outside[p] + own[p], max(far[p], longest[p]), others[p] + articles[p]
+    for i in range(n - 1, 0, -1):  # from here on with all that they hold
+        p = wrappers[i].parent
+        own[p] += own[i]
+        marked[p] += marked[i]
+        articles[p] += articles[i]
+        running[p] |= running[i]
+        mains[p] |= mains[i]
+    out = [False] * n
+    for i in range(1, n):
+        w = wrappers[i]
+        holds = articles[i] and not others[i] and marked[i] >= outside[i] and (articles[i] == 1 or not w.talk)
+        most = not w.talk and running[i] and (outside[i] < SHORT if w.strict else far[i] < LONG and 2 * outside[i] < own[i])
+        out[i] = out[w.parent] or not (mains[i] or holds or most)
+    return out
 
 
 def blocks(markup: str) -> list[Block]:
@@ -91,8 +167,9 @@ def blocks(markup: str) -> list[Block]:
     out: list[Block] = []
     text: list[str] = []
     linked = links = articles = 0
-    # (tag, beside, article number, header inside an article)
-    stack: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]
+    # (tag, beside, article number, header inside an article, wrapper)
+    stack: list[tuple[str, bool, int, bool, int]] = [("", False, 0, False, 0)]
+    wrappers = [Wrapper(0, False, False)]
     heading = False
 
     def flush() -> None:
@@ -101,8 +178,8 @@ def blocks(markup: str) -> list[Block]:
             joined = " ".join("".join(text).split())
             text.clear()
             if joined:
-                _, beside, article, header = stack[-1]
-                out.append(Block(joined, min(linked, len(joined)), beside or header and not heading, article, heading))
+                _, beside, article, header, wrapper = stack[-1]
+                out.append(Block(joined, min(linked, len(joined)), beside or header and not heading, article, heading, wrapper))
         linked = 0
 
     def say(raw: str) -> None:
@@ -140,22 +217,25 @@ def blocks(markup: str) -> list[Block]:
             if tag in HEADINGS:
                 heading = False
             continue
-        _, beside, article, header = stack[-1]
-        names = _names(m["rest"]) if m["rest"] else set()
-        away = tag in OUTSIDE or bool(m["rest"] and HIDDEN.search(m["rest"]))
+        _, beside, article, header, wrapper = stack[-1]
+        names, alone = _names(m["rest"]) if m["rest"] else (set(), set())
+        away = tag in OUTSIDE or "hidden" in names and tag not in ("html", "body", "article", "main", "header")
+        away = away or bool(m["rest"] and HIDDEN.search(m["rest"]))
+        within = False
         if tag in ("article", "main"):
             away = away or bool(names & TALK)
             if not away and not article:
                 articles += 1
                 article = articles
+                wrappers[wrapper].marked.append((tag, article))
         elif tag == "header":
             header, away = header or bool(article), away or not article
         elif tag not in ("html", "body"):
-            away = away or bool(names & BESIDE)
+            within = not away and tag not in VOID and (tag in FORMS or bool(names & BESIDE))
         if tag not in BLOCK:
-            if away:
+            if away or within:
                 flush()
-                stack.append((tag, True, article, header))
+                stack.append((tag, True, article, header, wrapper))
             elif tag == stack[-1][0]:
                 stack.append(stack[-1])
             continue
@@ -164,7 +244,7 @@ def blocks(markup: str) -> list[Block]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == tag:
                     del stack[i:]
-                    _, beside, article, header = stack[-1]
+                    _, beside, article, header, wrapper = stack[-1]
                     break
                 if stack[i][0] not in LOOSE:
                     break
@@ -173,10 +253,16 @@ def blocks(markup: str) -> list[Block]:
         elif tag not in VOID and tag != "header":
             heading = False
         links = 0
+        if within:
+            wrappers.append(Wrapper(wrapper, bool(names & STRICT) and not alone & CONTENT, bool(names & TALK)))
+            wrapper = len(wrappers) - 1
         if tag not in VOID:
-            stack.append((tag, beside or away, article, header))
+            stack.append((tag, beside or away, article, header, wrapper))
     say(markup[at:])
     flush()
+    besides = _besides(out, wrappers)
+    for b in out:
+        b.beside = b.beside or besides[b.wrapper]
     return out
 
 

@@ -80,6 +80,29 @@ def test_page_text(markup, text):
     assert page_text.page_text(markup) == text
 
 
+@pytest.mark.parametrize("wrapper", [
+    "<div class='content with-sidebar'>", "<div class='no-comments'>", "<div id=has-banner>", "<form id=aspnetForm>", "<div class='layout-sidebar'>",
+    "<div class='discussion-page'>", "<form><div class='widget menu-open'>", "<div class='cookie-consent-open'>",
+])
+@pytest.mark.parametrize("mark", ["article", "main", "div"])
+def test_a_wrapper_does_not_decide_for_a_whole_page(wrapper, mark):
+    talk = "discussion" in wrapper
+    page = f"<body><h4>Site</h4>{wrapper}<ul class=menu><li>Home</ul><{mark}><p>{LONG}</p></{mark}><div class=comments><p>{LONG} Hm.</p></div></body>"
+    text = page_text.page_text(page).removeprefix("Site\n")
+    assert text == ("Site" if talk and mark == "div" else LONG.strip())
+
+
+@pytest.mark.parametrize("beside", [
+    "<div class=comments><article><p>{0}</p></article><article><p>{0}</p></article></div>", "<div class=sidebar><p>{0}</p><p>{0}</p></div>",
+    "<div class=related><article><p>{1}</p></article><article><p>{1}</p></article></div>", "<form><p>{0}</p></form>", "<div class='ad box'><p>{0}{0}</p></div>",
+    "<aside><article><p>{1}</p></article></aside>",
+])
+def test_what_is_beside_a_text_stays_out(beside):
+    beside = beside.format(LONG + "No.", LONG[:90])
+    assert page_text.page_text(f"<body><div><p>{LONG}</p></div>{beside}</body>") == LONG.strip()
+    assert page_text.page_text(f"<form><div><p>{LONG}</p></div>{beside}</form>") == LONG.strip()
+
+
 def test_page_text_of_a_table(spark):
     df = spark.createDataFrame([(1, "<p>a b</p>", "t"), (1, "<p>a b</p>", "t"), (None, None, "t")], "key long, markup string, text string")
     assert sorted(map(str, (tuple(r) for r in page_text.main_text(df).collect()))) == ["(1, 'a b')", "(1, 'a b')", "(None, '')"]
