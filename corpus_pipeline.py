@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lexigrain.llm import language, line_dedup, mixing, near_copies, packing
 from lexigrain.llm.queries import domains
+from lexigrain.operators.ranking import full_rank
 from lexigrain.session import staged
 
 #: Posterior of the predicted language from which a document stays.
@@ -32,29 +33,45 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where((F.col("language") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select("key.*")
 
 
+def by_row(docs: DataFrame) -> DataFrame:
+    """Documents with ``__row``, a number of every row in the order of ids, those without one last.
+
+    It is the id itself where ids are unique, as they should be; else rows are sorted and numbered, so that
+    decisions on one of them meet no other.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.where("n > 1 OR doc_id IS NULL").isEmpty():
+        return docs.withColumn("__row", F.col("doc_id"))
+    whole = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+    rows = docs.withColumn("__one", F.lit(0)).withColumn("__hash", whole)
+    return full_rank(rows, ["__one"], [F.asc_nulls_last("doc_id"), F.asc("__hash")], "__row").drop("__one", "__hash")
+
+
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of earlier ones; those that have nothing else go."""
-    named = docs.withColumnRenamed("removed", "__removed")
-    shorter = line_dedup.remove_repeated_lines(named, key="doc_id", gloss="text")
+    """Documents without the passages of earlier ones; those that have nothing else go, those without an id are left alone."""
+    named = by_row(docs.withColumnRenamed("removed", "__removed")).withColumn("__id", F.expr("IF(doc_id IS NULL, NULL, __row)"))
+    shorter = line_dedup.remove_repeated_lines(named, key="__id", gloss="text")
     kept = shorter.where((F.col("removed") == 0) | (F.col("text") != "")).drop("removed").withColumnRenamed("__removed", "removed")
     return kept.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest id, once; documents without an id stay."""
-    found = near_copies.near_copies(docs, key="doc_id", gloss="text")
-    first = found.where("key = component").select(F.col("key").alias("doc_id")).distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    rows = by_row(docs.where("doc_id IS NOT NULL"))
+    found = near_copies.near_copies(rows, key="__row", gloss="text")
+    first = found.where("key = component").select(F.col("key").alias("__row")).distinct()
+    return rows.join(first, "__row", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the rates fitted to the target weights say: none, once or more."""
-    labelled = domains(spark, sf_dir).join(docs.select(F.col("doc_id").alias("key")).distinct(), "key", "left_semi")
+    rows = by_row(docs)
+    labels = domains(spark, sf_dir).withColumnRenamed("key", "doc_id")
+    labelled = rows.select("doc_id", "__row").join(labels, "doc_id").select(F.col("__row").alias("key"), "domain")
     if labelled.where("domain IS NOT NULL").isEmpty():
         return docs
-    mixed = mixing.mix(docs.select(F.col("doc_id").alias("key"), F.col("text").alias("gloss")), labelled, WEIGHTS, relative=True)
-    copies = mixed.select(F.col("key").alias("__key"), "copies").distinct()
-    joined = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__key"))).where("copies > 0")
+    mixed = mixing.mix(rows.select(F.col("__row").alias("key"), F.col("text").alias("gloss")), labelled, WEIGHTS, relative=True)
+    joined = rows.join(mixed.select(F.col("key").alias("__row"), "copies"), "__row").where("copies > 0")
     repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return repeated.select(*docs.columns)
 

@@ -74,3 +74,20 @@ def test_empty_documents(spark, planted, tmp_path):
     spark.read.parquet(f"{sf}/documents.parquet").where("false").write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{sf}/labels.parquet").where("false").write.parquet(f"{tmp_path}/labels.parquet")
     assert C.run(spark, str(tmp_path)).collect() == []
+
+
+def test_decisions_on_a_row_meet_no_other_of_its_id(spark, planted):
+    _, sf, rows = planted
+    rng = random.Random(12)
+    text = lambda extra="": "\n".join(" ".join(rng.choices(PLAIN["en"], k=14)) + extra for _ in range(4))
+    plain, toxic = [text() for _ in range(6)], [text(f" {TOXIC}") for _ in range(6)]
+    one, other = "some words that are new\n" + rows[0][1].split("\n")[1], text()
+    added = [[None, t, "en", None, 0, "x"] for t in plain + toxic] + [[300, t, "en", "s0", 0, "x"] for t in (one, other)]
+    docs = spark.createDataFrame(rows[:160] + added, spark.read.parquet(f"{sf}/documents.parquet").schema)
+    mixed = [r["text"] for r in C.mixing_weights(spark, docs, sf).collect() if r["doc_id"] is None]
+    assert not set(mixed) & set(toxic) and set(mixed) <= set(plain) and all(mixed.count(t) <= 2 for t in plain) and mixed
+    lines = [r["text"] for r in C.repeated_lines(spark, docs, sf).collect() if r["doc_id"] == 300]
+    assert sorted(lines) == sorted(["some words that are new", other])
+    near = C.near_duplicates(spark, docs, sf).collect()
+    assert sorted(r["text"] for r in near if r["doc_id"] == 300) == sorted([one, other])
+    assert sorted(r["text"] for r in near if r["doc_id"] is None) == sorted(plain + toxic)
