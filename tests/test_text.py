@@ -82,10 +82,12 @@ def test_keys_and_links(spark):
 
 
 def test_rank_weight(spark):
-    got = apply(spark, [100, 400, 200000, 0, -1, 10_000_001, None], rank_weight, "bigint")
+    got = apply(spark, [100, 400, 200000, 0, -1, 10_000_001, None], lambda r: rank_weight(r, 10_000_000), "bigint")
     assert got[:2] == [0.1, 0.05]
     assert abs(got[2] - 0.25 / 200000**0.5) < 1e-18
     assert got[3:] == [0.0] * 4
+    open_ended = apply(spark, [10_000_000, 10_000_001, None], rank_weight, "bigint")
+    assert 0 < open_ended[1] < open_ended[0] and open_ended[2] == 0.0
 
 
 SVG = (
@@ -100,7 +102,7 @@ def test_markup(spark):
         "key", M.stroke_count("svg"), M.components("svg", "key"), M.first_marker("svg", "key"), M.strokes("svg"),
         M.unsafe_hits("svg"), M.rebuilt("svg"),
     ).collect()
-    assert [tuple(r)[1:4] for r in got] == [(2, ["時"], "寺"), (2, ["持", "時"], "寺"), (2, ["寺", "時"], None), (None, ["x"], None)]
+    assert [tuple(r)[1:4] for r in got] == [(2, ["時"], "寺"), (2, ["持", "時"], "寺"), (2, ["寺", "時"], None), (None, None, None)]
     assert got[0][4] == ["M1,1c1,1 2,2 3,3", "M5,5"]
     assert got[0][5] == ["script", "namespace"]
     assert got[0][6] == (
