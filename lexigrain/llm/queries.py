@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, line_dedup, mixing, near_copies, neighbours, packing, page_text, quotes, secret_scan, topk
+from . import language, line_dedup, manifest, mixing, near_copies, neighbours, packing, page_text, quotes, secret_scan, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -147,6 +147,67 @@ def op1_mixing(spark, sf):
     )
 
 
+def crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text in SQL, bit by bit."""
+    byte = "list_reduce(range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, b))"
+    codes = f"list_transform(range(1, len({text}) + 1), lambda i: CAST(ascii(substr({text}, i, 1)) AS BIGINT))"
+    return f"xor(list_reduce({codes}, lambda crc, b: {byte}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+LEAF_SQL = "sha256(" + " || ".join(
+    f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}")
+) + ")"
+
+
+@query("op13_manifest", f"""
+WITH RECURSIVE rows AS MATERIALIZED (
+  SELECT doc_id, lang, {LEAF_SQL.format(text="text")} AS leaf,
+    CASE WHEN {crc32_sql("CAST(doc_id AS VARCHAR)")} % 3 = 0
+      THEN {LEAF_SQL.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS shown FROM documents),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r FROM rows),
+low(lang, l, i, d, n) AS (
+  SELECT lang, 0, r, leaf, count(*) OVER (PARTITION BY lang) FROM leaves
+  UNION ALL SELECT lang, l, i, d, count(*) OVER (PARTITION BY lang) FROM (
+    SELECT lang, l + 1 AS l, i // 8 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d FROM low WHERE n > 1 GROUP BY lang, l, i // 8)),
+low_nodes AS MATERIALIZED (SELECT * FROM low),
+subroots AS MATERIALIZED (
+  SELECT lang, d AS subroot, l AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS r FROM low_nodes WHERE n = 1),
+high(l, i, d, n) AS (
+  SELECT 0, r, subroot, count(*) OVER () FROM subroots
+  UNION ALL SELECT l, i, d, count(*) OVER () FROM (
+    SELECT l + 1 AS l, i // 8 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d FROM high WHERE n > 1 GROUP BY l, i // 8)),
+high_nodes AS MATERIALIZED (SELECT * FROM high),
+-- All nodes in one numbering: those above a subroot follow its own level.
+nodes AS MATERIALIZED (
+  SELECT lang, l, i, d FROM low_nodes WHERE n > 1
+  UNION ALL SELECT s.lang, s.height + h.l, h.i, h.d FROM high_nodes h, subroots s WHERE h.n > 1),
+path(lang, r, own, l, i, now, siblings, up) AS (
+  SELECT v.lang, v.r, v.own, 0, CASE WHEN height = 0 THEN s.r ELSE v.r END, v.own, '', height
+  FROM (SELECT lang, r, leaf AS own FROM leaves UNION ALL SELECT lang, r, shown FROM leaves WHERE shown IS NOT NULL) v
+  JOIN subroots s ON v.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT p.lang, p.r, p.own, p.l + 1, CASE WHEN p.l + 1 = p.up THEN any_value(s.r) ELSE p.i // 8 END,
+    sha256(string_agg(CASE WHEN n.i = p.i THEN p.now ELSE n.d END, '' ORDER BY n.i)),
+    p.siblings || coalesce(string_agg(n.d, '' ORDER BY n.i) FILTER (n.i <> p.i), ''), p.up
+  FROM path p JOIN nodes n ON n.lang IS NOT DISTINCT FROM p.lang AND n.l = p.l AND n.i // 8 = p.i // 8
+  JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang
+  GROUP BY p.lang, p.r, p.own, p.l, p.i, p.now, p.siblings, p.up),
+ends AS (SELECT * FROM path QUALIFY l = max(l) OVER (PARTITION BY lang, r, own))
+SELECT v.doc_id, v.leaf, s.subroot, h.d AS root, sha256(a.siblings) AS proof_sha256,
+  b.now AS folded_root, b.now = h.d AS verified
+FROM leaves v JOIN subroots s ON v.lang IS NOT DISTINCT FROM s.lang JOIN high_nodes h ON h.n = 1
+JOIN ends a ON a.lang IS NOT DISTINCT FROM v.lang AND a.r = v.r AND a.own = v.leaf
+JOIN ends b ON b.lang IS NOT DISTINCT FROM v.lang AND b.r = v.r AND b.own = coalesce(v.shown, v.leaf)""")
+def op13_manifest(spark, sf):
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    found = [*fields[:4], F.when(tampered, lower).otherwise(F.col("text"))]
+    proved = manifest.prove(table(spark, sf, "documents"), fields, key="doc_id", source="lang", found=found)
+    return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 #: Share of the distinct documents from which a word belongs to the dictionary of the secret scan.
 COMMON = 0.002
 
