@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, line_dedup, manifest, mixing, near_copies, neighbours, packing, page_text, quotes, secret_scan, topk
+from . import language, line_dedup, manifest, mixing, near_copies, neighbours, packing, page_text, quotes, repair, secret_scan, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -154,6 +154,76 @@ def crc32_sql(text: str) -> str:
     return f"xor(list_reduce({codes}, lambda crc, b: {byte}, CAST(4294967295 AS BIGINT)), 4294967295)"
 
 
+@query("op12_repair", rf"""
+WITH RECURSIVE hit AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32_sql("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS h FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM hit)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+m AS MATERIALIZED (
+  SELECT *, left(role, 1) AS c, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN regexp_matches(text, '[^ 	-.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS b FROM numbered),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (b IS NOT NULL AND b || c NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM m GROUP BY conv_id),
+-- States: 0 start, 1 after s, 2 after u, 3 after a.
+t(s, c, e) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+gap AS (SELECT s, e, 3 AS cost, 'I' AS letter FROM t WHERE c <> 's' UNION ALL SELECT s, s, 0, '' FROM (VALUES (0), (1), (2), (3)) x(s)),
+r(conv_id, i, s, best) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), 0, {{'cost': 0, 'audit': ''}} FROM counts
+  UNION ALL
+  SELECT r.conv_id, m.i, x.e, min({{'cost': r.best.cost + gap.cost + x.cost, 'audit': r.best.audit || gap.letter || x.letter}})
+  FROM r JOIN m ON m.conv_id IS NOT DISTINCT FROM r.conv_id AND m.i = r.i + 1 JOIN gap ON gap.s = r.s
+  JOIN LATERAL (
+    SELECT gap.e, 4 AS cost, 'D' AS letter
+    UNION ALL SELECT t.e, CASE m.fault WHEN 'truncated' THEN 3 ELSE 0 END, 'K' FROM t WHERE t.s = gap.e AND t.c = m.c AND m.fault IN ('', 'truncated')
+    UNION ALL SELECT t.e, CASE m.fault WHEN 'truncated' THEN 6 ELSE 3 END, 'R' FROM t WHERE t.s = gap.e AND t.c <> 's' AND m.fault IN ('', 'truncated')
+  ) x ON true
+  GROUP BY r.conv_id, m.i, x.e, len(r.best.audit || gap.letter || x.letter)),
+best AS MATERIALIZED (
+  SELECT r.conv_id, min({{'cost': best.cost + gap.cost, 'audit': best.audit || gap.letter}}) AS best
+  FROM r JOIN counts ON r.conv_id IS NOT DISTINCT FROM counts.conv_id AND i = n JOIN gap ON gap.s = r.s WHERE gap.e IN (0, 3) GROUP BY r.conv_id),
+letters AS (SELECT conv_id, substr(best.audit, p, 1) AS letter, p FROM (SELECT *, unnest(range(1, len(best.audit) + 1)) AS p FROM best)),
+placed AS (SELECT *, count(*) FILTER (letter <> 'I') OVER w AS i, count(*) FILTER (letter <> 'D') OVER w AS place FROM letters
+           WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+edits AS (
+  SELECT l.conv_id, place, CASE WHEN letter <> 'I' THEN m.text ELSE '' END AS text, letter, m.role,
+    max(CASE WHEN place = 1 AND letter = 'K' AND m.c = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY l.conv_id) AS sys
+  FROM placed l LEFT JOIN m ON m.conv_id IS NOT DISTINCT FROM l.conv_id AND m.i = l.i WHERE letter <> 'D'),
+texts AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text,
+                             chr(10) ORDER BY place) AS text FROM edits GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(texts.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts ON o.conv_id IS NOT DISTINCT FROM counts.conv_id
+LEFT JOIN best ON o.conv_id IS NOT DISTINCT FROM best.conv_id LEFT JOIN texts ON o.conv_id IS NOT DISTINCT FROM texts.conv_id""")
+def op12_repair(spark, sf):
+    given = table(spark, sf, "conversations")
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    hit = given.select("conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")], (F.crc32(name.cast("binary")) % 20).alias("h"))
+    times = F.when(F.col("h") == 0, F.array().cast("array<int>")).when(F.col("h") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    text = F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    damaged = hit.select(
+        "conv_id", "turn", F.when(F.col("h") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), F.explode(times),
+    ).drop("col")
+    found, mended = repair.repair(damaged, thread="conv_id", position="turn")
+    digests = repair.conversation_digests(mended).select(F.col("thread").alias("conv_id"), "sha256")
+    found = found.withColumnRenamed("thread", "conv_id")
+    both = given.select("conv_id").distinct().alias("o").join(found.alias("f"), F.expr("o.conv_id <=> f.conv_id"), "left").join(
+        digests.alias("d"), F.expr("o.conv_id <=> d.conv_id"), "left",
+    )
+    longs = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    return both.select("o.conv_id", *longs, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", empty).alias("repaired_sha256"))
+
+
 LEAF_SQL = "sha256(" + " || ".join(
     f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}")
 ) + ")"
