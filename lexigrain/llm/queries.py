@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, line_dedup, manifest, mixing, near_copies, neighbours, packing, page_text, quotes, repair, secret_scan, topk
+from . import language, line_dedup, manifest, mixing, near_copies, neighbours, packing, page_text, quotes, repair, secret_scan, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -147,6 +147,29 @@ def op1_mixing(spark, sf):
     )
 
 
+#: Score from which a document is said to be toxic.
+TOXIC = 0.7
+
+
+def toxicity_model(spark: SparkSession, sf: str) -> toxicity.ToxicityModel:
+    """The classifier of the labelled documents that are not held out."""
+    known = glosses(table(spark, sf, "documents")).where(~toxic_held_out("key"))
+    labels = table(spark, sf, "labels").where("toxic IN (0, 1)").select(F.col("doc_id").alias("key"), "toxic")
+    return toxicity.train(known.join(labels, "key"))
+
+
+def toxic_held_out(key: str) -> Column:
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+@query("op11_toxicity")
+def op11_toxicity(spark, sf):
+    found = toxicity.score(glosses(table(spark, sf, "documents")), toxicity_model(spark, sf))
+    return found.select(
+        F.col("key").alias("doc_id"), toxic_held_out("key").alias("held_out"), "score", F.when(F.col("score") >= TOXIC, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def crc32_sql(text: str) -> str:
     """The unsigned CRC-32 of an ASCII text in SQL, bit by bit."""
     byte = "list_reduce(range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, b))"
@@ -164,9 +187,12 @@ damaged AS (
   FROM (SELECT *, unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM hit)),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
 m AS MATERIALIZED (
-  SELECT *, left(role, 1) AS c, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+  SELECT *, left(role, 1) AS c, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
-      WHEN regexp_matches(text, '[^ 	-.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault,
+      WHEN regexp_matches(text, '[^ 	-
+.!?][ 	-
+]*$') THEN 'truncated' ELSE '' END AS fault,
     lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS b FROM numbered),
 counts AS (
   SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
