@@ -129,12 +129,12 @@ def surface_tokens(chars: DataFrame) -> DataFrame:
     return chars.withColumn("tokens", F.expr(_TOKENS)).withColumn("steps", F.expr(_STEPS)).drop("tokens")
 
 
-def align(rows: DataFrame, options: DataFrame) -> DataFrame:
+def align(rows: DataFrame, options: DataFrame, max_rank: int | None = None) -> DataFrame:
     """Attribute each row's reading to the keys of its surface.
 
     ``relevant`` tells whether the surface holds a known key. ``alignment`` is the
     array of (idx, key, reading) when exactly one complete segmentation consumes
-    the whole reading, else NULL. ``weight`` comes from the rank.
+    the whole reading, else NULL. ``weight`` comes from the rank; past ``max_rank`` it is 0.
     """
     steps = surface_tokens(surface_chars(rows, options))
     relevant = F.exists("steps", lambda t: t["key"].isNotNull())
@@ -143,7 +143,7 @@ def align(rows: DataFrame, options: DataFrame) -> DataFrame:
     )
     return tried.select(
         "surface", "reading", "rank", "relevant",
-        rank_weight("rank").alias("weight"),
+        rank_weight("rank", max_rank).alias("weight"),
         F.when(F.size("full") == 1, F.col("full")[0]["picks"]).alias("alignment"),
     )
 

@@ -10,7 +10,6 @@ from ..functions.text import level_label
 # What a card shows at most, and its texts.
 SHOWN_READINGS = 3
 SENSE_SEPARATOR = "; "
-MEMBER_SEPARATOR = "、"
 
 
 def _or_null(xs: Column) -> Column:
@@ -86,13 +85,14 @@ def cards(
 ) -> DataFrame:
     """One wide row per record; absent sections are NULL.
 
-    ``distribution``: ``key, alt_text, legend``; ``family``: ``key, component,
-    siblings``; ``strokes``: ``key, stroke_paths, components, asset``.
+    ``distribution``: ``key, alt_text, legend``; ``family``: ``key, component, ord,
+    size``, the key's place in a family whose members are a bank of their own;
+    ``strokes``: ``key, stroke_paths, components, asset``.
     """
     rows = records
     parts = {
         "distribution": (distribution, ("alt_text", "legend")),
-        "family": (family, ("component", "siblings")),
+        "family": (family, ("component", "ord", "size")),
         "strokes": (strokes, ("stroke_paths", "components", "asset")),
     }
     for name, (side, columns) in parts.items():

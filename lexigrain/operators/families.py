@@ -41,17 +41,6 @@ def siblings(members: DataFrame) -> DataFrame:
     return joined.select("member", "component", "ord", "size", (F.col("size") - 1).alias("siblings"), "previous", "next")
 
 
-def all_siblings(members: DataFrame) -> DataFrame:
-    """``member, component, siblings``: for every member all others of its family, in order.
-
-    For texts that name the whole family. A family is gathered once and met by its members, so
-    the result is as long as what it names: the square of a family's size.
-    """
-    whole = members.groupBy("component").agg(F.array_sort(F.collect_list(F.struct("ord", "member"))).alias("whole"))
-    others = F.filter(F.transform("whole", lambda m: m["member"]), lambda m: m != F.col("member"))
-    return members.join(whole, "component").select("member", "component", others.alias("siblings"))
-
-
 def siblings_of(members: DataFrame, keys: DataFrame) -> DataFrame:
     """``key, component, ord, sibling`` for the requested keys, a row for each sibling."""
     asked = members.join(keys.select(F.col("key").alias("member")).distinct(), "member", "left_semi")

@@ -19,6 +19,23 @@ def canonical(*columns: str) -> Column:
     return F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})
 
 
+def _lane_sums(digest: str) -> list[Column]:
+    width = _LANE_BITS // 4
+    return [
+        F.sum(F.conv(F.substring(digest, 1 + i * width, width), 16, 10).cast("decimal(18,0)")).alias(f"l{i}") for i in range(_LANES)
+    ]
+
+
+def _lane_print() -> Column:
+    """The digest of lane sums and a number of rows, in columns ``l0 …`` and ``rows``."""
+    modulus = F.lit(2**_LANE_BITS).cast("decimal(18,0)")
+    text = [
+        F.lpad(F.lower(F.hex((F.coalesce(F.col(f"l{i}"), F.lit(0)) % modulus).cast("bigint"))), _LANE_BITS // 4, "0")
+        for i in range(_LANES)
+    ]
+    return F.sha2(F.concat_ws(":", F.col("rows").cast("string"), *text), 256)
+
+
 def fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
     """One digest of a whole table, independent of row order and partitioning.
 
@@ -27,20 +44,44 @@ def fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
     every task, so nothing is gathered or sorted. Leave dates and revisions out of
     ``columns``.
     """
-    digest = F.sha2(canonical(*columns), 256)
-    width = _LANE_BITS // 4
-    rows = df.select(digest.alias("d"))
-    lanes = [
-        F.sum(F.conv(F.substring("d", 1 + i * width, width), 16, 10).cast("decimal(18,0)")).alias(f"l{i}")
-        for i in range(_LANES)
-    ]
-    sums = rows.agg(F.count("*").alias("rows"), *lanes)
-    modulus = F.lit(2**_LANE_BITS).cast("decimal(18,0)")
-    text = [
-        F.lpad(F.lower(F.hex((F.coalesce(F.col(f"l{i}"), F.lit(0)) % modulus).cast("bigint"))), width, "0")
-        for i in range(_LANES)
-    ]
-    return sums.select("rows", F.sha2(F.concat_ws(":", F.col("rows").cast("string"), *text), 256).alias("fingerprint"))
+    rows = df.select(F.sha2(canonical(*columns), 256).alias("d"))
+    sums = rows.agg(F.count("*").alias("rows"), *_lane_sums("d"))
+    return sums.select("rows", _lane_print().alias("fingerprint"))
+
+
+def part_prints(df: DataFrame, domain: str, part: Column, columns: list[str] | None = None) -> DataFrame:
+    """``domain, part, rows, fingerprint``: the digest of each part of a table.
+
+    ``domain``  names the table, so that equal rows of two tables differ
+    ``part``    what cuts it, such as a day or a bucket of its key; NULL is a part
+    """
+    rows = df.select(part.cast("string").alias("part"), F.sha2(F.concat(F.lit(f"{domain}:"), canonical(*(columns or df.columns))), 256).alias("d"))
+    sums = rows.groupBy("part").agg(F.count("*").alias("rows"), *_lane_sums("d"))
+    return sums.select(F.lit(domain).alias("domain"), "part", "rows", _lane_print().alias("fingerprint"))
+
+
+def refreshed(known: DataFrame, now: DataFrame, changed: DataFrame) -> DataFrame:
+    """Prints of the parts read again, and the known ones of all others.
+
+    ``now``      prints of the changed parts only
+    ``changed``  ``domain, part`` of every part that was read again, also of those that are gone
+    """
+    keys = changed.select(F.col("domain").alias("_d"), F.col("part").alias("_p")).distinct()
+    same = (F.col("domain") == F.col("_d")) & F.col("part").eqNullSafe(F.col("_p"))
+    return known.join(keys, same, "left_anti").unionByName(now)
+
+
+def combined(parts: DataFrame) -> DataFrame:
+    """One row ``rows, fingerprint`` over the parts of all domains, by way of one digest a domain.
+
+    The parts' digests, each with its part's name, add up in lanes like rows; what is hashed at the
+    end are the domains in order, few by nature.
+    """
+    named = parts.select("domain", F.col("rows").alias("_rows"), F.sha2(canonical("part", "rows", "fingerprint"), 256).alias("d"))
+    sums = named.groupBy("domain").agg(F.sum("_rows").cast("bigint").alias("_rows"), F.count("*").alias("rows"), *_lane_sums("d"))
+    domains = sums.select("_rows", F.struct("domain", _lane_print().alias("fingerprint")).alias("s"))
+    lines = F.transform(F.sort_array(F.collect_list("s")), lambda s: F.concat_ws("=", s["domain"], s["fingerprint"]))
+    return domains.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"), F.sha2(F.array_join(lines, "\n"), 256).alias("fingerprint"))
 
 
 def decide_revision(current: DataFrame) -> DataFrame:

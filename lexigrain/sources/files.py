@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import variants as V
 from ..functions.text import from_code_point
+from ..operators.ranking import full_rank
+from ..session import staged
 
 
 def markup_texts(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -30,6 +32,32 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_listed(spark: SparkSession, names: DataFrame, target: str, at_once: int = 10_000) -> DataFrame:
+    """``path, content, byte_count, sha256`` of the files that an inventory names in ``path``, however many there are.
+
+    They are read in lots of ``at_once``, in the order of their paths, and each lot is written below ``target``
+    with the digests of the very bytes read. So no folder is listed and the driver holds the names of one
+    lot. A lot that is there already is not read again: a run that was lost goes on where it stopped.
+    """
+    lots = full_rank(names.select("path").distinct(), [], [F.asc("path")]).withColumn("lot", F.floor((F.col("ord") - 1) / at_once))
+    lots = staged(lots.select("path", "lot"), "lots")
+    for lot in range((lots.agg(F.max("lot")).first()[0] or 0) + 1):
+        paths = [r["path"] for r in lots.where(F.col("lot") == lot).orderBy("path").collect()]
+        if not paths or exists(spark, f"{target}/lot={lot}/_SUCCESS"):
+            continue
+        read = spark.read.format("binaryFile").load(paths)
+        read.select(
+            "path", "content", F.col("length").alias("byte_count"), F.sha2("content", 256).alias("sha256"),
+        ).write.mode("overwrite").parquet(f"{target}/lot={lot}")
+    kind = "path string, content binary, byte_count bigint, sha256 string"
+    return spark.read.schema(kind).parquet(target).drop("lot") if exists(spark, target) else spark.createDataFrame([], kind)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+
+
 def sizes(spark: SparkSession, path: str) -> DataFrame:
     """``path, byte_count`` without reading any content."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

@@ -19,8 +19,8 @@ def write_canonical_json(df: DataFrame, path: str, key: str = "key") -> None:
 
 
 def write_bank(df: DataFrame, path: str, key: str) -> None:
-    """A bank as Parquet, range partitioned and sorted by key."""
-    df.repartitionByRange(key).sortWithinPartitions(key).write.mode("errorifexists").parquet(path)
+    """A bank as Parquet, range partitioned and sorted by key, over what an interrupted run left there."""
+    df.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
 
 
 def land_dated(df: DataFrame, path: str, day: str = "dt") -> None:
