@@ -68,3 +68,40 @@ def stream_negative_ledger(spark, sf):
     marks = _stream(spark, arrivals).select(F.col("user_id").alias("key"), "dt", "ts", status.alias("status"))
     L.append_batches(marks, target, work_path(spark, "marks-state"), L.latest_marks)
     return L.suppressed(spark.read.parquet(target))
+
+
+HIGH = 990
+
+
+def _two_arrivals(spark, events, checkpointed) -> None:
+    """Events in two arrivals, each its own run of the stream on one checkpoint."""
+    path = work_path(spark, "two-arrivals")
+    for part in (events.where("event_id % 3 <> 0"), events.where("event_id % 3 = 0")):
+        part.coalesce(1).write.mode("append").parquet(path)
+        checkpointed(L.file_stream(spark, events.schema, path))
+
+
+@query("stream_checked_days", f"""
+WITH e AS (SELECT event_id, value, strftime(ts, '%Y-%m-%d') AS dt, CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END AS arrival FROM events),
+ok AS (SELECT dt, max(arrival) AS arrival FROM (SELECT dt, arrival FROM e GROUP BY ALL HAVING max(value) <= {HIGH}) GROUP BY dt)
+SELECT event_id, value, e.dt FROM e JOIN ok USING (dt, arrival)""")
+def stream_checked_days(spark, sf):
+    """Each arrival has a version of each day; one with a value too high leaves the former version in place."""
+    events = table(spark, sf, "events").select("event_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("dt"))
+    target, checkpoint = work_path(spark, "checked"), work_path(spark, "checked-state")
+    _two_arrivals(spark, events, lambda s: L.land_checked(s, target, checkpoint, lambda rows: rows.where(F.col("value") > HIGH)))
+    return L.accepted_days(spark, target, events.schema)
+
+
+@query("stream_distinct_window", """
+WITH e AS (SELECT user_id, event_type, date_trunc('day', ts) AS day, event_id % 3 = 0 AS late FROM events),
+mark AS (SELECT max(day) - INTERVAL 10 DAY AS w FROM e WHERE NOT late)
+SELECT DISTINCT user_id, event_type, strftime(day, '%Y-%m-%d') AS day FROM e, mark WHERE NOT late OR day > w""")
+def stream_distinct_window(spark, sf):
+    """Distinct rows of two arrivals; what the second has from ten days or more before the end of the first is late."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", F.date_trunc("day", "ts").alias("day"))
+    target, checkpoint = work_path(spark, "window"), work_path(spark, "window-state")
+    _two_arrivals(spark, events, lambda s: L.append_batches(
+        L.distinct_stream(s, ["user_id", "event_type"], "day", "10 days", ["user_id", "event_type", "day"]), target, checkpoint, lambda b: b,
+    ))
+    return spark.read.parquet(target).select("user_id", "event_type", F.date_format("day", "yyyy-MM-dd").alias("day"))

@@ -6,9 +6,11 @@ one, and the checkpoint makes a second run on the same input do nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def file_stream(spark: SparkSession, schema: StructType, path: str, max_files: int | None = None) -> DataFrame:
@@ -38,14 +40,53 @@ def land(stream: DataFrame, target: str, checkpoint: str, day: str = "dt") -> in
     return sum(rows.values())
 
 
-def distinct_stream(stream: DataFrame, columns: list[str], event_time: str, delay: str = "1 day") -> DataFrame:
+def land_checked(stream: DataFrame, target: str, checkpoint: str, judge: Callable[[DataFrame], DataFrame], day: str = "dt") -> None:
+    """Let a batch take the place of the days it holds, once it has been judged whole.
+
+    ``judge``  from the rows of a batch to its violations, with the day they belong to
+
+    A batch is written beside what landed before, judged as it was written, and then its days without
+    a violation are accepted by one small append. ``accepted_days`` reads the latest accepted batch of each day,
+    so a day that fails, or a run that is lost at any point, leaves the former one readable. A repeated
+    batch writes over its own folders.
+    """
+    run = checkpoint.rstrip("/").rpartition("/")[2]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        name = f"batch={run}-{batch_id}"
+        batch.write.mode("overwrite").partitionBy(day).parquet(f"{target}/data/{name}")
+        held = batch.sparkSession.read.schema(batch.schema).parquet(f"{target}/data/{name}")
+        days = held.select(day).distinct().join(judge(held).select(day).distinct(), day, "left_anti")
+        accepted = days.select(F.col(day).alias("day"), F.current_timestamp().alias("at"), F.lit(batch_id).cast("bigint").alias("number"))
+        accepted.coalesce(1).write.mode("overwrite").parquet(f"{target}/accepted/{name}")
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def accepted_days(spark: SparkSession, target: str, schema: StructType, day: str = "dt") -> DataFrame:
+    """The rows of each day's latest accepted batch."""
+    named = StructType([*schema.fields, StructField("batch", StringType())])
+    rows = spark.read.schema(named).parquet(f"{target}/data")
+    days = spark.read.schema("day string, at timestamp, number bigint, batch string").parquet(f"{target}/accepted")
+    latest = days.groupBy("day").agg(F.max_by("batch", F.struct("at", "number")).alias("batch")).withColumnRenamed("day", day)
+    return rows.join(latest, [day, "batch"]).select(*schema.names)
+
+
+def distinct_stream(
+    stream: DataFrame, columns: list[str], event_time: str, delay: str = "1 day", same: list[str] | None = None,
+) -> DataFrame:
     """Exact duplicates removed on arrival; state is kept for ``delay`` of event time.
 
+    ``same``  the columns that make a duplicate, if they are not ``columns``
+
+    Rows that are later than that are dropped, as nothing is left to compare them with.
+
     Without an event time state would grow with every distinct row: use ``append_batches``
     with ``distinct_rows`` and let readers merge with ``merged_distinct``.
     """
     marked = stream.select(*columns, event_time).withWatermark(event_time, delay)
-    return marked.dropDuplicatesWithinWatermark(columns)
+    return marked.dropDuplicatesWithinWatermark(same or columns)
 
 
 def distinct_rows(batch: DataFrame) -> DataFrame:
