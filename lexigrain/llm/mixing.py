@@ -15,19 +15,20 @@ from collections.abc import Mapping
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
 
-FEATURES = 1 << 16
 MARKS = ".,;:!?#%&*$|()[]{}<>\"'"
 #: Labelled glosses used to fit the classifier, at most, for each domain; chosen by a hash of the key.
 LABELLED = 4000
 #: Weight of the absolute size of the classifier's coefficients: only words that tell domains apart get one.
 PENALTY = 2e-3
+#: Domains that a labelled table may name, at most; a posterior has a number for each.
+DOMAINS = 1000
 STEPS = 60
 #: Steps whose arithmetic is kept as one expression before the rates are written down.
 HELD_STEPS = 6
@@ -38,23 +39,29 @@ DIGITS = 2
 
 def words(gloss: str) -> Column:
     """The gloss's tokens: what white space separates, in lower case."""
-    return F.filter(F.split(F.lower(F.coalesce(gloss, F.lit(""))), r"\s+"), lambda w: w != "")
+    plain = F.lower(F.coalesce(gloss, F.lit("")))
+    for space in "\t\n\x0b\f\r":
+        plain = F.replace(plain, F.lit(space), F.lit(" "))
+    return F.filter(F.split(plain, " "), lambda w: w != "")
 
 
 def traits(gloss: str, tokens: str) -> Column:
-    """What the classifier sees: words without the marks around them, and how much of the text is marks, capitals and digits."""
+    """What the classifier sees: distinct words without the marks around them, and how much of the text is marks, capitals and digits."""
     size = F.greatest(F.length(gloss), F.lit(1))
+    # Small letters and white space, most of a text, count for none of the levels.
+    rest = F.regexp_replace(gloss, r"[a-z\s]+", "")
     level = lambda name, pattern: F.concat(
-        F.lit(f"#{name}"), F.floor(F.lit(10) * F.regexp_count(gloss, F.lit(pattern)) / size).cast("string"),
+        F.lit(f"#{name}"), F.floor(F.lit(10) * F.regexp_count(rest, F.lit(pattern)) / size).cast("string"),
     )
     extra = F.array(level("marks", r"[^\p{L}\p{N}\s]"), level("capitals", r"\p{Lu}"), level("digits", r"\p{N}"))
-    return F.concat(F.transform(tokens, lambda w: F.btrim(w, F.lit(MARKS))), F.coalesce(F.filter(extra, lambda x: x.isNotNull()), F.array()))
+    bare = F.transform(F.array_distinct(tokens), lambda w: F.btrim(w, F.lit(MARKS)))
+    return F.concat(bare, F.coalesce(F.filter(extra, lambda x: x.isNotNull()), F.array()))
 
 
 def posteriors(
     glosses: DataFrame, labelled: DataFrame, key: str = "key", gloss: str = "gloss", domain: str = "domain", labels: int = LABELLED,
 ) -> tuple[DataFrame, list[str]]:
-    """``key, n_tokens, posterior`` for every gloss, and the domains in the posterior's order.
+    """``key, n_tokens, posterior`` for every gloss, and the domains in the posterior's order: those of labelled glosses.
 
     ``labelled``  some of the keys with their domain, a string
     ``labels``    how many labelled keys of each domain the classifier sees at most
@@ -64,12 +71,8 @@ def posteriors(
     ).distinct()
     counts = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     domains = sorted(counts)
-    if not domains:
-        raise ValueError("no labelled gloss")
-    number = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")) - 1
-    share = F.element_at(F.create_map(*[x for d in domains for x in (F.lit(d), F.lit(min(1.0, labels / counts[d])))]), F.col("domain"))
-    chosen = known.where(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(1 << 20)) < share * (1 << 20))
-    hashed = HashingTF(numFeatures=FEATURES, binary=True, inputCol="traits", outputCol="features")
+    if len(domains) > DOMAINS:
+        raise ValueError(f"{len(domains)} domains, not {DOMAINS} at most")
     texts = glosses.select(F.col(key).alias("key"), F.col(gloss).alias("gloss"))
 
     def described(df: DataFrame, *keep: str) -> DataFrame:
@@ -77,13 +80,27 @@ def posteriors(
         return cut.select(F.size("words").cast("bigint").alias("n_tokens"), traits("gloss", "words").alias("traits"), *keep)
 
     tokens = described(texts, "key")
+    share = F.element_at(F.create_map(*[x for d in ["", *domains] for x in (F.lit(d), F.lit(min(1.0, labels / counts.get(d, labels))))]), F.col("domain"))
+    chosen = known.where(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(1 << 20)) < share * (1 << 20))
+    # At most about ``labels`` keys of each domain, so the texts need not move to meet them.
+    seen = texts.join(F.broadcast(chosen), "key")
+    sample = staged(described(seen, "domain").select("traits", "domain"), "labelled")
+    found = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    domains = sorted(found)
+    if not domains:
+        return tokens.select("key", "n_tokens", F.lit(None).cast("array<double>").alias("posterior")), domains
     if len(domains) == 1:
         return tokens.select("key", "n_tokens", F.array(F.lit(1.0)).alias("posterior")), domains
-    # At most about ``labels`` keys of each domain, so the texts need not move to meet them.
-    seen = texts.join(F.broadcast(chosen), "key").withColumn("label", number.cast("double"))
-    sample = staged(described(seen, "label").select("traits", "label"), "labelled")
-    model = LogisticRegression(maxIter=60, regParam=PENALTY, elasticNetParam=1.0, standardization=False).fit(hashed.transform(sample))
-    scored = model.transform(hashed.transform(tokens))
+    label = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")) - 1
+    # A trait of a smaller share of the sample than the penalty gets no weight, whatever it says: none of it is kept.
+    least = max(2, PENALTY * sum(found.values()))
+    held = sample.select(F.explode(F.array_distinct("traits")).alias("trait")).groupBy("trait").agg(F.count("*").alias("n"))
+    vocabulary = [r["trait"] for r in held.where(F.col("n") >= least).orderBy("trait").collect()] or ["#"]
+    vector = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="traits", outputCol="features").setBinary(True).setMinTF(0.0)
+    model = LogisticRegression(maxIter=60, regParam=PENALTY, elasticNetParam=1.0, standardization=False).fit(
+        vector.transform(sample.select("traits", label.cast("double").alias("label")))
+    )
+    scored = model.transform(vector.transform(tokens))
     return scored.select("key", "n_tokens", vector_to_array("probability").alias("posterior")), domains
 
 
@@ -102,11 +119,16 @@ def mix(
     a hash of the key, so its expectation is the rate and it never changes between runs. A NULL
     or empty gloss has no tokens and no say, but gets a posterior and a rate like others; a NULL
     key is a key. Repeated rows are fitted and returned as often as they occur. Targets that no
-    nonnegative rates can meet are approached as near as they can. Without a labelled gloss the
-    call fails; an empty table gives no rows; further columns are ignored. A key labelled with
-    two domains counts for both.
+    nonnegative rates can meet are approached as near as they can. Without a labelled gloss nothing
+    is known: the posterior is NULL, every rate 1 and every gloss used once. An empty table gives
+    no rows; a gloss of any length is read whole; further columns are ignored. A key labelled with
+    two domains counts for both. A labelled table of more than ``DOMAINS`` domains is refused.
     """
     scored, domains = posteriors(glosses, labelled, key, gloss, domain, labels)
+    if not domains:
+        return scored.select(
+            "key", "n_tokens", F.lit(None).cast("map<string,double>").alias("posterior"), F.lit(1.0).alias("rate"), F.lit(1).alias("copies"),
+        )
     rows = staged(scored.withColumn("rate", F.lit(1.0)), "posteriors")
     size = range(len(domains))
     p = [F.col("posterior")[i] for i in size]

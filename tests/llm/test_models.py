@@ -47,8 +47,10 @@ def test_a_target_of_nothing_drops_the_domain(mixed):
 
 def test_mixing_without_labels_or_rows(mixed):
     df, labels, targets, _ = mixed
-    with pytest.raises(ValueError):
-        mixing.mix(df, labels.where("false"), targets)
+    for none in (labels.where("false"), labels.where("domain IS NULL")):
+        unknown = mixing.mix(df, none, targets).collect()
+        assert len(unknown) == 244 and {(r["posterior"], r["rate"], r["copies"]) for r in unknown} == {(None, 1.0, 1)}
+    assert mixing.mix(df.where("false"), labels, targets).collect() == []
     one = mixing.mix(df, labels.where("domain = 'on'"), {"on": 2.0}, relative=True).collect()
     assert {round(r["rate"], 6) for r in one} == {2.0}
 
@@ -156,3 +158,31 @@ def test_common_words_are_a_share_of_distinct_texts(spark, times):
     words = secret_scan.common_words(spark.createDataFrame(rows, "text string"), 0.08).collect()
     assert {"the", "text", "often"} <= {r["word"] for r in words}
     assert not {"copied", "secret"} & {r["word"] for r in words} and not any(r["word"].startswith("own") for r in words)
+
+
+def test_rates_are_those_of_whole_gradient_steps(mixed):
+    import numpy as np
+
+    _, _, targets, rows = mixed
+    p = np.array([[r["posterior"][d] for d in sorted(targets)] for r in rows])
+    n = np.array([r["n_tokens"] for r in rows], float)
+    wanted = np.array([targets[d] for d in sorted(targets)])
+    inverse = np.linalg.pinv((p * n[:, None]).T @ p, rcond=1e-9, hermitian=True)
+    rate = np.ones(len(rows))
+    for _ in range(2000):
+        rate = np.maximum(0.0, rate - p @ (inverse @ ((rate * n) @ p - wanted)))
+    assert np.abs(np.array([r["rate"] for r in rows]) - rate).max() < 0.01 * rate.max() + 0.01
+
+
+def test_traits_of_odd_glosses(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["Ab\tAB\x0bab, \"cd\"\n12%", "", None, "É ñ " * 50_000, "｜ … a"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, gloss string")
+    rows = df.select("i", mixing.words("gloss").alias("w")).select("i", "w").join(df, "i").select("i", "w", mixing.traits("gloss", "w").alias("t"))
+    got = {r["i"]: (r["w"], r["t"]) for r in rows.collect()}
+    assert got[0][0] == ["ab", "ab", "ab,", '"cd"', "12%"]
+    assert got[0][1] == ["ab", "ab", "cd", "12", f"#marks{10 * 4 // 18}", f"#capitals{10 * 3 // 18}", f"#digits{10 * 2 // 18}"]
+    assert got[1] == ([], ["#marks0", "#capitals0", "#digits0"]) and got[2] == ([], [])
+    assert len(got[3][0]) == 100_000 and got[3][1] == ["é", "ñ", "#marks0", "#capitals2", "#digits0"]
+    assert df.select(F.max("i")).first()[0] == 4
