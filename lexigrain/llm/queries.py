@@ -153,9 +153,8 @@ TOXIC = 0.7
 
 def toxicity_model(spark: SparkSession, sf: str) -> toxicity.ToxicityModel:
     """The classifier of the labelled documents that are not held out."""
-    known = glosses(table(spark, sf, "documents")).where(~toxic_held_out("key"))
-    labels = table(spark, sf, "labels").where("toxic IN (0, 1)").select(F.col("doc_id").alias("key"), "toxic")
-    return toxicity.train(known.join(labels, "key"))
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("key"), "toxic").where(~toxic_held_out("key"))
+    return toxicity.train(glosses(table(spark, sf, "documents")), labels)
 
 
 def toxic_held_out(key: str) -> Column:

@@ -1,6 +1,6 @@
 """Toxicity of glosses: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-What a gloss holds of character n-grams is compared between the labels over all labelled
+What a gloss holds of character n-grams is compared between the labels over labelled
 glosses: the logarithm of the ratio of the two shares says how much an n-gram speaks for a label
 by itself. These ratios scale the features of a logistic regression, whose weights then only
 have to say how far each ratio is to be believed, so that few labelled glosses go a long way.
@@ -24,8 +24,11 @@ SMOOTHING = 1.0
 LEAST_GLOSSES = 2
 #: N-grams that have a say, at most: those whose ratios stand out most from chance.
 SELECTED = 1 << 15
-#: Labelled glosses of each label that fit the classifier, at most; chosen by a hash of the key.
-LABELLED = 2000
+#: Labelled glosses of each label whose n-grams are counted, and those that fit the classifier, at most.
+COUNTED = 10_000
+FITTED = 2000
+#: In place of a slot: the numbers of the glosses themselves.
+NO_SLOT = -1
 #: Weight of the squared size of the classifier's weights, for each fitted gloss, and rounds of its fit.
 PENALTY = 3e-4
 ROUNDS = 60
@@ -121,47 +124,61 @@ def fitted(found: np.ndarray, starts: np.ndarray, labels: np.ndarray, weight: np
     return float(base), w * scale
 
 
-def train(labelled: DataFrame, key: str = "key", gloss: str = "gloss", label: str = "toxic", labels: int = LABELLED) -> ToxicityModel:
-    """Learn from glosses labelled 1 or 0.
+def train(
+    glosses: DataFrame, labelled: DataFrame, key: str = "key", gloss: str = "gloss", label: str = "toxic", counted: int = COUNTED,
+    fitted_on: int = FITTED,
+) -> ToxicityModel:
+    """Learn from glosses whose keys are labelled 1 or 0.
 
-    ``labels``  bound on the glosses of either label that fit the classifier
+    ``labelled``   some of the keys with their label
+    ``counted``    bound on the labelled keys of either label whose n-grams are counted
+    ``fitted_on``  bound on those of them that fit the classifier
 
-    N-grams are counted over all labelled glosses, in parts that add up; a count for each of
-    ``FEATURES`` slots reaches the driver. The ``SELECTED`` slots whose ratios stand out most from
-    chance have a say. The bounded sample is fitted in one task. Rows with a NULL or another label teach
-    nothing; a NULL gloss is an empty one. Without both labels the model gives every gloss the share of
-    label 1 among the labelled ones, 0.5 without any.
+    Both samples are chosen by a hash of the key, so the bounded keys go to the texts, which stay where
+    they are. N-grams are counted in parts that add up; a count for each of ``FEATURES`` slots at most reaches
+    the driver. The ``SELECTED`` slots whose ratios stand out most from chance have a say. The smaller sample
+    is fitted in one task, each label weighed by its share of all labelled keys. NULL keys and
+    NULL or other labels teach nothing; a NULL gloss is an empty one; a key with both labels counts for both.
+    Without both labels the model gives every gloss the share of label 1 among the labelled keys, 0.5 without any.
     """
-    held = labelled.select(F.col(key).cast("string").alias("key"), F.col(gloss).alias("gloss"), F.col(label).cast("double").alias("label"))
-    held = held.where("label IN (0, 1)")
-    seen = {int(r["label"]): r["n"] for r in held.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    told = labelled.select(F.col(key).cast("string").alias("key"), F.col(label).cast("double").alias("label"))
+    told = told.where("key IS NOT NULL AND label IN (0, 1)").distinct()
+    seen = {int(r["label"]): r["n"] for r in told.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(seen) < 2:
         base = 0.0 if not seen else (40.0 if 1 in seen else -40.0)
         return ToxicityModel(base, np.zeros(0, np.int64), np.zeros(0))
+    # Of a label of n keys, those whose draw is below bound / n belong to a sample.
+    draw = F.pmod(F.xxhash64("key", F.lit(3)), F.lit(1 << 20)) / (1 << 20) * F.when(F.col("label") == 1, seen[1]).otherwise(seen[0])
+    drawn = F.broadcast(told.withColumn("draw", draw).where(F.col("draw") < counted))
+    texts = glosses.select(F.col(key).cast("string").alias("key"), F.col(gloss).alias("gloss"))
+    held = texts.join(drawn, "key").select("gloss", "label", "draw")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, FEATURES), np.int32)
+        sums, rows = np.zeros((2, FEATURES), np.int32), [0, 0]
         for batch, texts in _by_size(batches):
             found, starts = ngrams(texts)
-            of = np.repeat(batch.column("label").to_numpy() == 1, np.diff(starts))
+            label = batch.column("label").to_numpy().astype(int)
+            of = np.repeat(label, np.diff(starts))
             for k in (0, 1):
                 sums[k] += np.bincount(found[of == k], minlength=FEATURES).astype(np.int32)
+                rows[k] += int((label == k).sum())
         slots = np.flatnonzero(sums.any(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), *(pa.array(n[slots], pa.int32()) for n in sums)], ["slot", "clean", "toxic"])
+        columns = [np.append(slots, NO_SLOT), *(np.append(sums[k][slots], rows[k]) for k in (0, 1))]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()) for c in columns], ["slot", "clean", "toxic"])
 
-    counted = held.select("gloss", "label").mapInArrow(count, "slot int, clean int, toxic int").groupBy("slot").agg(
+    sums = held.select("gloss", "label").mapInArrow(count, "slot int, clean int, toxic int").groupBy("slot").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"),
-    ).where(f"clean + toxic >= {LEAST_GLOSSES}").toArrow()
-    slot, clean, toxic = (counted.column(c).to_numpy() for c in ("slot", "clean", "toxic"))
-    chance = [(n + SMOOTHING) / (seen[k] + 2 * SMOOTHING) for k, n in ((0, clean), (1, toxic))]
+    ).where(f"clean + toxic >= {LEAST_GLOSSES} OR slot = {NO_SLOT}").toArrow()
+    slot, clean, toxic = (sums.column(c).to_numpy() for c in ("slot", "clean", "toxic"))
+    real = slot != NO_SLOT
+    rows = [int(n[~real].sum()) for n in (clean, toxic)]
+    slot, clean, toxic = slot[real], clean[real], toxic[real]
+    chance = [(n + SMOOTHING) / (rows[k] + 2 * SMOOTHING) for k, n in ((0, clean), (1, toxic))]
     ratio = np.log(chance[1]) - np.log(chance[0])
     most = np.lexsort((slot, -np.abs(ratio) * np.sqrt(clean + toxic)))[:SELECTED]
     most = most[np.argsort(slot[most])]
     slot, ratio = slot[most].astype(np.int64), ratio[most]
 
-    share = F.when(F.col("label") == 1, min(1.0, labels / seen[1])).otherwise(min(1.0, labels / seen[0]))
-    chosen = held.where(F.pmod(F.xxhash64("key", "gloss", F.lit(3)), F.lit(1 << 20)) < share * (1 << 20)).select("gloss", "label")
-
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.zeros(FEATURES, bool)
         known[slot] = True
@@ -182,7 +199,8 @@ def train(labelled: DataFrame, key: str = "key", gloss: str = "gloss", label: st
             base, weights = fitted(np.concatenate(parts), np.concatenate(ends), told, weight, ratio)
         yield pa.RecordBatch.from_arrays([pa.array([base]), pa.array([weights.tobytes()], pa.binary())], ["base", "weights"])
 
-    found = chosen.repartition(1).mapInArrow(fit, "base double, weights binary").first()
+    sample = held.where(F.col("draw") < fitted_on).select("gloss", "label")
+    found = sample.repartition(1).mapInArrow(fit, "base double, weights binary").first()
     return ToxicityModel(found["base"], slot, np.frombuffer(found["weights"]))
 
 

@@ -31,7 +31,7 @@ def data(spark):
 
 @pytest.fixture(scope="module")
 def model(data):
-    return T.train(data[1].where("key < 600"))
+    return T.train(data[1], data[1].where("key < 600").select("key", "toxic"))
 
 
 def test_held_out_glosses_are_told(data, model):
@@ -75,7 +75,8 @@ def test_the_fit_goes_to_where_the_gradient_is_none(monkeypatch):
 
 def test_scaling_is_the_log_ratio_of_shares(spark):
     rows = [(i, "abc" if i % 4 else "abc xyz", int(i % 4 == 0), "", 0) for i in range(40)]
-    model = T.train(spark.createDataFrame(rows, SCHEMA))
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = T.train(df, df)
     known = np.flatnonzero(model.known)
     assert set(known) == set(T.ngrams(["abc", "abc xyz"])[0])
     low, high = model.scores(["abc", "abc xyz"])
@@ -92,13 +93,13 @@ def test_odd_rows(spark, data, model):
     base = 1 / (1 + np.exp(-model.base))
     assert len(got) == 5 and all(r["score"] == pytest.approx(base) for r in got if r["key"] in (None, 1, 3))
     assert T.score(df.where("false"), model).collect() == []
-    untaught = T.train(df)
+    untaught = T.train(df, df)
     assert {r["score"] for r in T.score(df, untaught).collect()} == {0.5}
-    one = T.train(data[1].where("toxic = 1"))
+    one = T.train(data[1], data[1].where("toxic = 1"))
     assert {round(r["score"], 6) for r in T.score(df, one).collect()} == {1.0}
 
 
-def test_a_small_sample_still_counts_all(data):
-    few = T.train(data[1].where("key < 600"), labels=40)
+def test_a_small_sample_still_learns(data):
+    few = T.train(data[1], data[1].where("key < 600"), fitted_on=40)
     got = [r["score"] for r in T.score(data[1].where("key >= 600 AND toxic = 1"), few).collect()]
     assert np.mean(np.array(got) > 0.5) > 0.8
