@@ -310,10 +310,12 @@ COMMON = 0.002
 @query("op3_secret_scan")
 def op3_secret_scan(spark, sf):
     docs = table(spark, sf, "documents")
-    files = docs.select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), F.col("text").alias("content"))
+    # A document without an id has a path that ends in a slash.
+    name = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("source", "doc_id")])
+    files = docs.select(name.alias("path"), F.col("text").alias("content"))
     # Findings of the labelled documents, told by their shape and what they are assigned to, where that tells.
     doc_id = F.element_at(F.split("path", "/"), -1).try_cast("bigint")
     found = secret_scan.places(files).select(doc_id.alias("doc_id"), "path", "at", "part", secret_scan.told().alias("secret"))
     reviewed = found.where("secret IS NOT NULL").join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
     found = secret_scan.scan(files, secret_scan.common_words(docs, COMMON), reviewed)
-    return found.select(F.element_at(F.split("path", "/"), -1).cast("bigint").alias("doc_id"), "at", "part", "candidate", "score")
+    return found.select(doc_id.alias("doc_id"), "at", "part", "candidate", "score")

@@ -133,11 +133,14 @@ def test_the_query_finds_secrets_of_every_shape(spark, tmp_path):
         shape, value = _secrets(rng)[i % 7]
         docs.append((i, f"see {rng.choice(stock)} then {shape % value} and {rng.choice(stock)} too", "en", "web"))
         planted[i] = value
+    # A document without an id is scanned like the others, also where its source is a number or missing.
+    docs += [(None, docs[0][1], "en", "web"), (None, docs[7][1], "en", "17"), (3, None, None, None), (None, None, None, None)]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(i,) for i in range(210)], "doc_id long").write.parquet(f"{tmp_path}/labels.parquet")
     found = {}
     for r in queries.op3_secret_scan(spark, str(tmp_path)).collect():
         found.setdefault(r["doc_id"], []).append(r["candidate"])
+    assert sorted(found.pop(None)) == sorted([planted[0], planted[7]])
     assert found == {i: [v] for i, v in planted.items()}
 
 
