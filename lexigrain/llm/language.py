@@ -33,7 +33,7 @@ LONGEST_PIECE = 16
 LIFT = np.exp(8.0)
 #: Words whose scores a worker keeps; a fuller table only costs time.
 WORD_TABLE = 300_000
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 
 
 class Pieces:
@@ -302,9 +302,11 @@ def train(labelled: DataFrame, vocabulary: str, gloss: str = "gloss", language:
     return LanguageModel(vocabulary, languages, np.log(n / n.sum()), chances)
 
 
-def identify(glosses: DataFrame, model: LanguageModel, key: str = "key", gloss: str = "gloss") -> DataFrame:
+def identify(glosses: DataFrame, model: LanguageModel, key: str = "key", gloss: str = "gloss", keep_gloss: bool = False) -> DataFrame:
     """``key, language, score`` for every gloss, read whole.
 
+    ``keep_gloss``  return ``gloss`` as well, so that it need not be part of a key to be had
+
     ``language`` is the most probable of the model's languages and ``score`` its posterior
     probability, 0 to 1. A gloss that is NULL, empty or without a letter is ``und`` with score 0,
     and so is every gloss under a model without languages. Ties go to the first name. Repeated
@@ -322,9 +324,9 @@ def identify(glosses: DataFrame, model: LanguageModel, key: str = "key", gloss:
                 chance = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
                 names = [model.languages[t] if some else UNDETERMINED for t, some in zip(top, n, strict=True)]
                 best = np.where(n > 0, chance, 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(names, pa.string()), pa.array(best, pa.float64())], ["key", "language", "score"],
-            )
+            found = [batch.column("key"), pa.array(names, pa.string()), pa.array(best, pa.float64())]
+            kept = [batch.column("gloss")] if keep_gloss else []
+            yield pa.RecordBatch.from_arrays([*found, *kept], ["key", "language", "score", "gloss"][:len(found + kept)])
 
     kind = picked.schema["key"].dataType.simpleString()
-    return picked.mapInArrow(score, f"key {kind}, language string, score double")
+    return picked.mapInArrow(score, f"key {kind}, language string, score double" + (", gloss string" if keep_gloss else ""))
