@@ -28,9 +28,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.train(docs, public_tokenizers.path("piece_bpe_32k.model"), gloss="text", language="lang")
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    found = language.identify(rows, model, key="row", gloss="text")
-    return found.where((F.col("language") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select("key.*")
+    # The text goes along once, beside the rest of its row.
+    rest = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), "text")
+    found = language.identify(rows, model, key="row", gloss="text", keep_gloss=True)
+    kept = found.where((F.col("language") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*[F.col("gloss").alias(c) if c == "text" else F.col(f"key.`{c}`") for c in docs.columns])
 
 
 def by_row(docs: DataFrame) -> DataFrame:
