@@ -4,7 +4,9 @@ A page is cut into blocks at its block-level tags. The first pass classifies eac
 place (menus, page headers and footers, sidebars, notices, adverts, forms and reader comments
 are never main text), its link density, its length and the density of stop words. Blocks that
 are too short, or middling, stay undecided; the second pass gives them the label of the
-nearest decided neighbour. Inside an element that the page itself marks as its article, place
+nearest decided neighbour. Only the stop words of languages that the page is in count; in a page
+of any other language, length and links decide alone. Lists, tables, code, headings and what
+reads as a sentence are undecided at worst, whatever words they have. Inside an element that the page itself marks as its article, place
 and links decide, and stop words are not asked for: a list of names there is still main text.
 
 A name or a form alone does not put all that it holds beside the text: many pages stand in one
@@ -16,7 +18,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,12 +39,11 @@ STOP_WORDS = {
     "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce il sont avec ou son elle aux",
     "es": "de la que el en y a los se del las un por con no una su para es al lo como más o pero sus le ha me si sin sobre este",
 }
-ALL_STOP_WORDS = frozenset(w for words in STOP_WORDS.values() for w in words.split())
 
 RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|select|canvas|video|audio|title"
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|=\s*[^\s\"'>][^\s>]*|[^>])*)(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
 BLOCK = frozenset(
@@ -56,6 +57,8 @@ OUTSIDE = frozenset("nav aside footer menu dialog button head".split())
 FORMS = frozenset("form fieldset".split())
 #: Tags that a later one of the same kind, or the end of what holds them, closes.
 LOOSE = frozenset("p li dt dd td th tr option".split())
+#: Tags of text that need not be sentences.
+LAID_OUT = frozenset("pre li dt dd td th caption figcaption".split())
 #: Words of a class, id or role that name something beside the text.
 BESIDE = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation menu"
@@ -73,11 +76,14 @@ STRICT = TALK | frozenset(
 CONTENT = frozenset("content main page post article entry story".split())
 #: Words before a name that say what a page has or lacks, such as ``with-sidebar``.
 MODIFIERS = frozenset("no not non with without has have had is can show shows hide hides".split())
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 NAME = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 WORD = re.compile(r"[^\W\d_]+")
+#: A block that begins with a copyright mark, after a word at most.
+RIGHTS = re.compile(r"\W*(?:\w+\W+)?©")
+SENTENCE = re.compile(r"[.!?…。！？][\"'”’»)\]]*$")
 
 GOOD, BAD, SHORT_BLOCK, MIDDLING = "good", "bad", "short", "middling"
 
@@ -85,11 +91,11 @@ GOOD, BAD, SHORT_BLOCK, MIDDLING = "good", "bad", "short", "middling"
 class Block:
     """A run of text between block-level tags."""
 
-    __slots__ = ("text", "linked", "beside", "article", "heading", "label", "wrapper")
+    __slots__ = ("text", "linked", "beside", "article", "heading", "label", "wrapper", "laid_out")
 
-    def __init__(self, text: str, linked: int, beside: bool, article: int, heading: bool, wrapper: int = 0):
+    def __init__(self, text: str, linked: int, beside: bool, article: int, heading: bool, wrapper: int = 0, laid_out: bool = False):
         self.text, self.linked, self.beside, self.article, self.heading = text, linked, beside, article, heading
-        self.label, self.wrapper = "", wrapper
+        self.label, self.wrapper, self.laid_out = "", wrapper, laid_out
 
 
 class Wrapper:
@@ -178,8 +184,9 @@ def blocks(markup: str) -> list[Block]:
             joined = " ".join("".join(text).split())
             text.clear()
             if joined:
-                _, beside, article, header, wrapper = stack[-1]
-                out.append(Block(joined, min(linked, len(joined)), beside or header and not heading, article, heading, wrapper))
+                tag, beside, article, header, wrapper = stack[-1]
+                away = beside or header and not heading
+                out.append(Block(joined, min(linked, len(joined)), away, article, heading, wrapper, heading or tag in LAID_OUT))
         linked = 0
 
     def say(raw: str) -> None:
@@ -266,15 +273,28 @@ def blocks(markup: str) -> list[Block]:
     return out
 
 
-def classify(found: list[Block], stop_words: frozenset[str] = ALL_STOP_WORDS) -> list[Block]:
-    """Label every block ``good`` or ``bad``, in two passes."""
+def _densities(found: list[Block], stop_words: Mapping[str, str]) -> list[float] | None:
+    """Each block's density of stop words, in the best of the languages that the page's longer blocks are in; None without any."""
     words = [WORD.findall(b.text.lower()) for b in found]
-    density = [sum(w in stop_words for w in ws) / len(ws) if ws else 0.0 for ws in words]
+    running = [not b.beside and len(b.text) >= SHORT and b.linked <= MOST_LINKS * len(b.text) for b in found]
+    total = sum(len(ws) for ws, r in zip(words, running, strict=True) if r)
+    best = None
+    for listed in stop_words.values():
+        listed = frozenset(listed.split())
+        held = [sum(w in listed for w in ws) for ws in words]
+        if total and sum(h for h, r in zip(held, running, strict=True) if r) >= STOP_HIGH * total:
+            own = [h / len(ws) if ws else 0.0 for h, ws in zip(held, words, strict=True)]
+            best = own if best is None else [*map(max, best, own)]
+    return best
+
+
+def classify(found: list[Block], stop_words: Mapping[str, str] = STOP_WORDS) -> list[Block]:
+    """Label every block ``good`` or ``bad``, in two passes."""
     marked, loose = (sum(len(b.text) for b in found if bool(b.article) == a and not b.beside) for a in (True, False))
     for b in found:  # a page whose marked article holds most of its text has nothing of it elsewhere
         b.beside = b.beside or marked >= loose and not b.article and marked > 0
-    known = any(d > 0 for d, b in zip(density, found, strict=True) if not b.beside)
-    for b, d in zip(found, density, strict=True):
+    density = _densities(found, stop_words)
+    for b, d in zip(found, density or [1.0] * len(found), strict=True):
         size = len(b.text)
         if b.article and b.linked > ONLY_LINKS * size and not b.heading:
             b.beside = True
@@ -282,14 +302,14 @@ def classify(found: list[Block], stop_words: frozenset[str] = ALL_STOP_WORDS) ->
             b.label = BAD
         elif b.article:
             b.label = GOOD if size >= SHORT else SHORT_BLOCK
-        elif "©" in b.text:
+        elif "©" in b.text and (size < SHORT or RIGHTS.match(b.text)):
             b.label = BAD
         elif size < SHORT:
             b.label = BAD if b.linked else SHORT_BLOCK
-        elif d >= STOP_HIGH or not known:
-            b.label = GOOD if size >= LONG or not known else MIDDLING
+        elif d >= STOP_HIGH:
+            b.label = GOOD if size >= LONG or density is None else MIDDLING
         else:
-            b.label = MIDDLING if d >= STOP_LOW else BAD
+            b.label = MIDDLING if d >= STOP_LOW or b.laid_out or SENTENCE.search(b.text) else BAD
     for undecided in (MIDDLING, SHORT_BLOCK):
         for i, (left, right) in enumerate(zip(_nearest(found), reversed(_nearest(found[::-1])), strict=True)):
             b = found[i]
@@ -321,20 +341,20 @@ def _inherited(block: Block, left: tuple[int, str], right: tuple[int, str]) -> s
     return GOOD if not near or GOOD in (x[1] for x in near if x[0] == near[0][0]) else BAD
 
 
-def page_text(markup: str | None, stop_words: frozenset[str] = ALL_STOP_WORDS) -> str:
+def page_text(markup: str | None, stop_words: Mapping[str, str] = STOP_WORDS) -> str:
     """The main blocks of a page, one per line."""
     return "\n".join(b.text for b in classify(blocks(markup or ""), stop_words) if b.label == GOOD)
 
 
-def main_text(pages: DataFrame, key: str = "key", markup: str = "markup", stop_words: frozenset[str] = ALL_STOP_WORDS) -> DataFrame:
+def main_text(pages: DataFrame, key: str = "key", markup: str = "markup", stop_words: Mapping[str, str] = STOP_WORDS) -> DataFrame:
     """``key, text``: the main text of every page of a markup corpus.
 
     ``pages``       rows with a key and their whole markup; other columns are ignored
-    ``stop_words``  function words, in lower case, of the languages that may occur
+    ``stop_words``  the commonest function words, in lower case, of some languages; pages in others need none
 
     White space inside a block becomes one space, character references are decoded, blocks are
     joined by line ends in page order. NULL or empty markup gives an empty text; broken markup
-    is read as far as it goes. Rows are worked on one by one, so repeated rows, NULL keys and
+    is read as far as it goes. Very long pages are read whole, one at a time. Rows are worked on one by one, so repeated rows, NULL keys and
     empty tables need no rule of their own. There is no shuffle.
     """
     picked = pages.select(F.col(key).alias("key"), F.col(markup).alias("markup"))

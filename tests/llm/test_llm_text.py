@@ -103,6 +103,38 @@ def test_what_is_beside_a_text_stays_out(beside):
     assert page_text.page_text(f"<form><div><p>{LONG}</p></div>{beside}</form>") == LONG.strip()
 
 
+DUTCH = "Het weer blijft deze week wisselvallig en koud, met buien die vanuit zee over het hele land trekken en veel wind langs onze kust. " * 2
+PORTUGUESE = "Os moradores da aldeia reuniram-se ontem à noite na praça para ouvir o presidente da câmara, que prometeu novas estradas e uma escola. " * 2
+POLISH = "Wczoraj wieczorem mieszkańcy wsi zebrali się na rynku, żeby wysłuchać burmistrza, który obiecał nowe drogi oraz szkołę dla dzieci. " * 2
+
+
+@pytest.mark.parametrize("text", [DUTCH, PORTUGUESE, POLISH])
+@pytest.mark.parametrize("line", ["", "<p>This is the only line of the page that is in English, and it is not a long one.</p>"])
+def test_pages_of_languages_without_stop_words(text, line):
+    page = f"<body><ul><li><a href=a>Menu</a><li><a href=b>More of it</a></ul><div><p>{text}</p>{line}<p>{text}</p></div></body>"
+    got = page_text.page_text(page).split("\n")
+    assert got[0] == got[-1] == text.strip() and len(got) == 2 + bool(line)
+
+
+def test_page_text_loses_no_block_of_an_unmarked_article():
+    rights = LONG + "The sign © stands here for the rights of an author. " + LONG
+    code = "for (int i = 0; i < n; i++) { total[i] += weight[i] * value[i]; } return total;".replace("<", "&lt;")
+    page = f"<div><p>{LONG}</p><p>{rights}</p><pre>{code}</pre><p>{LONG}</p><p>{POLISH}</p><p>{LONG}</p><p>© 2020 The site, all rights reserved by it</p></div>"
+    want = [LONG, rights, code.replace("&lt;", "<"), LONG, POLISH, LONG]
+    assert page_text.page_text(page).split("\n") == [w.strip() for w in want]
+
+
+@pytest.mark.parametrize("loose", ['title="5" tall"', "title='5' tall'", 'alt=5"', 'a="x>y" b', "data-id=nav", 'x = "a" "b', "it's"])
+def test_a_loose_quote_in_a_tag_swallows_no_text(loose):
+    page = f"<div><p {loose}>{LONG}</p><p class=\"x\">{LONG}Two.</p><p>{LONG}Three's \"end\".</p></div>"
+    assert page_text.page_text(page).split("\n") == [LONG.strip(), LONG + "Two.", LONG + "Three's \"end\"."]
+
+
+def test_very_long_pages_are_read_whole():
+    page = "<div>" + f"<p>{LONG}</p>" * 20_000 + "</div>"
+    assert page_text.page_text(page) == "\n".join([LONG.strip()] * 20_000)
+
+
 def test_page_text_of_a_table(spark):
     df = spark.createDataFrame([(1, "<p>a b</p>", "t"), (1, "<p>a b</p>", "t"), (None, None, "t")], "key long, markup string, text string")
     assert sorted(map(str, (tuple(r) for r in page_text.main_text(df).collect()))) == ["(1, 'a b')", "(1, 'a b')", "(None, '')"]
