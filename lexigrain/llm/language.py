@@ -1,10 +1,11 @@
 """Language of a gloss by unigram pieces, summed over all segmentations.
 
-Each language has a probability for every piece of a fixed public vocabulary. A word may be
-cut into pieces in many ways; the forward algorithm adds up the probabilities of all of them,
-so no single cut decides. The piece probabilities are learned by expectation maximisation on
-word counts of labelled glosses: all of them are counted, and each round is one pass over the
-table of distinct words. A text's score in a language is the sum over its words.
+Each language has a probability for every piece of a fixed public vocabulary. A word may be cut
+into pieces in many ways; the forward algorithm adds up the probabilities of all of them, so no
+single cut decides; a long run of letters, such as a sentence without spaces, is one word. The
+piece probabilities are learned by expectation maximisation on word counts of labelled glosses:
+all of them are counted, and each round is one pass over the table of distinct words. A text's
+score in a language is the sum over its words.
 """
 
 from __future__ import annotations
@@ -26,13 +27,14 @@ ROUNDS = 3
 SMOOTHING = 0.01
 UNDETERMINED = "und"
 START = "▁"
-#: Letters read as one word; a longer run of letters is read as several words.
-WORD_LETTERS = 48
-LONGEST_PIECE = 16
+#: Letters of words that are worked on many at once; longer runs of letters, such as sentences without spaces, are summed alone.
+TOGETHER = 48
+#: Places of a longer run that are worked on at once, and those after which its sums are scaled anew.
+PLACES, RESCALE = 4096, 16
 #: Every letter's probability is multiplied by this in the sums, so that long words stay in the range of doubles.
 LIFT = np.exp(8.0)
-#: Words whose scores a worker keeps; a fuller table only costs time.
-WORD_TABLE = 300_000
+#: Letters of the words whose scores a worker keeps; a fuller table only costs time.
+TABLE_LETTERS = 2_400_000
 BATCH_CHARS = 4_000_000
 
 
@@ -47,7 +49,8 @@ class Pieces:
     def __init__(self, path: str):
         p = sentencepiece.SentencePieceProcessor(model_file=path)
         held = [i for i in range(p.get_piece_size()) if not (p.is_control(i) or p.is_unknown(i) or p.is_byte(i))]
-        self.names = [x for x in map(p.id_to_piece, held) if len(x) <= LONGEST_PIECE]
+        self.names = [*map(p.id_to_piece, held)]
+        self.longest = max(map(len, self.names))
         self.tables = []
         hashes = np.zeros(len(self.names), np.uint64)
         for n in {len(x) for x in self.names}:
@@ -109,10 +112,6 @@ def words_of(texts: list[str | None]) -> pa.LargeListArray:
     return pc.split_pattern(apart, " ")
 
 
-def runs_of(word: str) -> list[str]:
-    return [word[i:i + WORD_LETTERS] for i in range(0, len(word), WORD_LETTERS)]
-
-
 def _lattices(words: list[str], known: Pieces) -> Iterator[tuple[np.ndarray, int, list, np.ndarray]]:
     """Words of one length together: their places, length, spans, and ``[span, word]`` the piece of each span.
 
@@ -121,7 +120,7 @@ def _lattices(words: list[str], known: Pieces) -> Iterator[tuple[np.ndarray, int
     none, unknown = len(known) + 1, len(known)
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
     for n in map(int, np.unique(lengths)):
-        spans = [(i, j) for i in range(n) for j in range(i + 1, min(n, i + LONGEST_PIECE) + 1)]
+        spans = [(i, j) for i in range(n) for j in range(i + 1, min(n, i + known.longest) + 1)]
         places = np.flatnonzero(lengths == n)
         for part in np.array_split(places, -(-len(places) * len(spans) // 200_000)):
             code = codes([START + words[p] for p in part], n)
@@ -147,18 +146,113 @@ def _forward(n: int, spans: list, parts: np.ndarray) -> list[np.ndarray]:
     return alpha
 
 
+class _LongRun:
+    """The sums over one long run of letters, ``PLACES`` starts of pieces at a time.
+
+    Of the places before, only those that a piece can reach back to count: their sums are carried
+    on, divided by a factor per language whose logarithm is kept.
+    """
+
+    def __init__(self, word: str, known: Pieces, chances: np.ndarray):
+        self.code, self.known, self.chances = codes([START + word], len(word) + 1)[0], known, chances
+        self.n, self.reach = len(self.code), known.longest
+        self.lift = (LIFT ** np.arange(1, self.reach + 1))[:, None]
+        #: Of each part: its first place, the sums of the places from there on and their scale.
+        self.starts: list[tuple[int, np.ndarray, np.ndarray]] = []
+        window, scale = np.zeros((self.reach, chances.shape[1])), np.zeros(chances.shape[1])
+        window[0] = 1
+        for start in range(0, self.n, PLACES):
+            self.starts.append((start, window, scale))
+            alpha, scales = self.forward(start, window, scale, self.lifted(self.pieces_from(start)))
+            window, scale = alpha[-self.reach:].copy(), scales[-1].copy()
+        #: Logarithm of the run's probability in each language, its letters lifted.
+        self.total = np.log(window[0]) + scale
+
+    def pieces_from(self, start: int) -> np.ndarray:
+        """``[place, length - 1]`` number of the piece at each place of a part, as in ``_lattices``."""
+        none, unknown = len(self.known) + 1, len(self.known)
+        size = min(PLACES, self.n - start)
+        code = np.zeros(size + self.reach, np.uint64)
+        held = self.code[start:start + len(code)]
+        code[:len(held)] = held
+        ids = np.full((size, self.reach), none, np.int32)
+        h = np.full(size, HASH_START, np.uint64)
+        for k in range(self.reach):
+            h = step(h, code[k:k + size])
+            inside = max(0, min(size, self.n - start - k))
+            ids[:inside, k] = self.known.find(h[:inside], none)
+        ids[ids[:, 0] == none, 0] = unknown
+        return ids
+
+    def lifted(self, ids: np.ndarray) -> np.ndarray:
+        return self.chances[ids] * self.lift
+
+    def forward(self, start: int, window: np.ndarray, scale: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of a part's places and of those its pieces reach, and the scale at each place and after the last."""
+        size = len(parts)
+        alpha = np.zeros((size + self.reach, parts.shape[2]))
+        alpha[:self.reach] = window
+        scales = np.empty((size + 1, parts.shape[2]))
+        for i in range(size):
+            if i % RESCALE == 0:
+                by = alpha[i].copy()
+                alpha[i:i + self.reach] /= by
+                scale = scale + np.log(by)
+            scales[i] = scale
+            alpha[i + 1:i + 1 + self.reach] += alpha[i] * parts[i]
+        scales[size] = scale
+        return alpha, scales
+
+    def used(self, weight: np.ndarray) -> np.ndarray:
+        """``[piece, language]`` how often each piece is used, times ``weight`` per language."""
+        out = np.zeros_like(self.chances)
+        beta, back = np.zeros((self.reach + 1, len(weight))), np.zeros(len(weight))
+        beta[0] = 1  # that of the place after the one at hand
+        for start, window, scale in reversed(self.starts):
+            ids = self.pieces_from(start)
+            parts = self.lifted(ids)
+            alpha, scales = self.forward(start, window, scale, parts)
+            for i in range(len(parts) - 1, -1, -1):
+                parts[i] *= beta[:self.reach]
+                beta[1:] = beta[:-1]
+                beta[0] = parts[i].sum(axis=0)
+                parts[i] *= alpha[i] * weight * np.exp(scales[i] + back - self.total)
+                if i % RESCALE == 0:
+                    back = back + np.log(beta[0])
+                    beta /= beta[0].copy()
+            real = ids < len(self.known) + 1
+            for k in range(len(weight)):
+                out[:, k] += np.bincount(ids[real], parts[:, :, k][real], len(out))
+        return out
+
+
+def _by_length(words: list[str]) -> tuple[list[int], list[int]]:
+    """Places of the words that are worked on together, and of the long runs."""
+    few = [i for i, w in enumerate(words) if len(w) <= TOGETHER]
+    return few, [i for i, w in enumerate(words) if len(w) > TOGETHER]
+
+
 def word_scores(words: list[str], known: Pieces, chances: np.ndarray) -> np.ndarray:
     """``[word, language]`` logarithm of each word's probability over all its segmentations."""
     out = np.zeros((len(words), chances.shape[1]))
-    for part, n, spans, ids in _lattices(words, known):
-        out[part] = np.log(_forward(n, spans, _lifted(spans, ids, chances))[n]) - n * np.log(LIFT)
+    few, long = _by_length(words)
+    at = np.array(few, np.int64)
+    for part, n, spans, ids in _lattices([words[i] for i in few], known):
+        out[at[part]] = np.log(_forward(n, spans, _lifted(spans, ids, chances))[n]) - n * np.log(LIFT)
+    for i in long:
+        run = _LongRun(words[i], known, chances)
+        out[i] = run.total - run.n * np.log(LIFT)
     return out
 
 
 def expected_pieces(words: list[str], counts: np.ndarray, known: Pieces, chances: np.ndarray) -> np.ndarray:
     """``[piece, language]`` how often each piece is used, over all segmentations of counted words."""
     used = np.zeros_like(chances)
-    for part, n, spans, ids in _lattices(words, known):
+    few, long = _by_length(words)
+    for i in long:
+        used += _LongRun(words[i], known, chances).used(counts[i])
+    counts = counts[few]
+    for part, n, spans, ids in _lattices([words[i] for i in few], known):
         parts = _lifted(spans, ids, chances)
         alpha = _forward(n, spans, parts)
         beta = [np.zeros_like(parts[0]) for _ in range(n)] + [np.ones_like(parts[0])]
@@ -200,12 +294,11 @@ class LanguageModel:
         row = _table(self.name)
         distinct = coded.dictionary.to_numpy(zero_copy_only=False)
         by_word = row.rows(distinct, self)
+        by_word[[not w for w in distinct]] = 0
         each = by_word[coded.indices.to_numpy()]
-        real = (pc.binary_length(words.values).to_numpy() > 0).astype(np.int64)
-        each = each * real[:, None]
-        ends = words.offsets.to_numpy()
         total = np.concatenate([np.zeros((1, each.shape[1])), np.cumsum(each, axis=0)])
-        n = np.concatenate([[0], np.cumsum(real)])
+        ends = words.offsets.to_numpy()
+        n = np.concatenate([[0], np.cumsum(pc.binary_length(words.values).to_numpy() > 0)])
         return total[ends[1:]] - total[ends[:-1]], n[ends[1:]] - n[ends[:-1]]
 
 
@@ -213,17 +306,15 @@ class _Table:
     def __init__(self):
         self.place: dict[str, int] = {}
         self.values: np.ndarray | None = None
+        self.letters = 0
 
     def rows(self, words, model: LanguageModel) -> np.ndarray:
-        if len(self.place) > WORD_TABLE:
-            self.place, self.values = {}, None
+        if self.letters > TABLE_LETTERS:
+            self.place, self.values, self.letters = {}, None, 0
         new = [w for w in words if w not in self.place]
         if new:
-            runs = [runs_of(w) or [""] for w in new]
-            flat = [r for one in runs for r in one]
-            scores = word_scores(flat, pieces(model.vocabulary), model.chances)
-            starts = np.cumsum([0, *map(len, runs)])[:-1]
-            scores = np.add.reduceat(scores, starts, axis=0)
+            scores = word_scores(new, pieces(model.vocabulary), model.chances)
+            self.letters += sum(map(len, new))
             first = len(self.place)
             self.place.update((w, first + i) for i, w in enumerate(new))
             self.values = scores if self.values is None else np.concatenate([self.values, scores])
@@ -280,11 +371,9 @@ def train(labelled: DataFrame, vocabulary: str, gloss: str = "gloss", language:
         def expect(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             own, used = pieces(vocabulary), np.zeros_like(now)
             for batch in batches:
-                runs = [runs_of(w) for w in batch.column("word").to_pylist()]
-                counts = np.array(batch.column("n").to_pylist(), float).reshape(len(runs), now.shape[1])
-                used += expected_pieces(
-                    [r for one in runs for r in one], np.repeat(counts, list(map(len, runs)), axis=0), own, now,
-                )
+                found = batch.column("word").to_pylist()
+                counts = np.array(batch.column("n").to_pylist(), float).reshape(len(found), now.shape[1])
+                used += expected_pieces(found, counts, own, now)
             held_ = np.flatnonzero(used.any(axis=1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(held_, pa.int32()), pa.array(list(used[held_]), pa.list_(pa.float64()))], ["piece", "used"],
@@ -310,7 +399,7 @@ def identify(glosses: DataFrame, model: LanguageModel, key: str = "key", gloss:
     ``language`` is the most probable of the model's languages and ``score`` its posterior
     probability, 0 to 1. A gloss that is NULL, empty or without a letter is ``und`` with score 0,
     and so is every gloss under a model without languages. Ties go to the first name. Repeated
-    rows and NULL keys are answered one by one; other columns are ignored, whatever their names.
+    rows and NULL keys are answered one by one; very long glosses and words are read whole; other columns are ignored, whatever their names.
     """
     picked = glosses.select(F.col(key).alias("key"), F.col(gloss).alias("gloss"))
 

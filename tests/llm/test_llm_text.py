@@ -19,6 +19,39 @@ def _segmentations(word):
             yield [word[:i], *rest]
 
 
+def _random_chances(known):
+    chances = np.random.default_rng(2).random((len(known) + 2, 2)) ** 8
+    chances[-1] = 0
+    return chances / chances.sum(axis=0)
+
+
+def test_long_runs_are_summed_over_all_segmentations_as_well():
+    known = language.pieces(VOCABULARY)
+    number = {x: i for i, x in enumerate(known.names)}
+    chances = _random_chances(known)
+    for word in ["unbelievable" * 4 + "x", "日本語の文には空白がない" * 9, "donaudampfschifffahrt" * 400]:
+        text = "▁" + word
+        sums = [np.zeros(2)]  # logarithms
+        for j in range(1, len(text) + 1):
+            spans = [text[i:j] for i in range(max(0, j - known.longest), j)]
+            ids = [number.get(p, len(known) if len(p) == 1 else -1) for p in spans]
+            ways = [sums[j - len(p)] + np.log(chances[i]) for p, i in zip(spans, ids, strict=True) if i >= 0]
+            sums.append(np.logaddexp.reduce(ways))
+        assert language.word_scores(["a", word], known, chances)[1] == pytest.approx(sums[-1], rel=1e-9)
+
+
+def test_long_runs_use_pieces_as_short_ones_do(monkeypatch):
+    known = language.pieces(VOCABULARY)
+    chances = _random_chances(known)
+    words = ["the", "Übersetzung", "q", "日語", "incomprehensibilities" * 2]
+    counts = np.arange(1.0, 11).reshape(5, 2)
+    scores, used = language.word_scores(words, known, chances), language.expected_pieces(words, counts, known, chances)
+    monkeypatch.setattr(language, "TOGETHER", 0)
+    monkeypatch.setattr(language, "PLACES", 16)
+    assert language.word_scores(words, known, chances) == pytest.approx(scores, rel=1e-9)
+    assert language.expected_pieces(words, counts, known, chances) == pytest.approx(used, rel=1e-9, abs=1e-12)
+
+
 def test_word_scores_sum_all_segmentations():
     known = language.pieces(VOCABULARY)
     number = {x: i for i, x in enumerate(known.names)}
