@@ -105,10 +105,10 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def words_of(texts: list[str | None]) -> pa.LargeListArray:
-    """The lower-case runs of letters of each text."""
-    lower = pc.utf8_lower(pa.array((t or "" for t in texts), pa.large_string()))
-    apart = pc.utf8_trim(pc.replace_substring_regex(lower, r"[^\p{L}]+", " "), " ")
+def words_of(texts: pa.Array) -> pa.LargeListArray:
+    """The lower-case runs of letters of each text; every step lets go of the one before."""
+    apart = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    apart = pc.utf8_trim(pc.replace_substring_regex(apart, r"[^\p{L}]+", " "), " ")
     return pc.split_pattern(apart, " ")
 
 
@@ -268,16 +268,15 @@ def expected_pieces(words: list[str], counts: np.ndarray, known: Pieces, chances
     return used
 
 
-def _by_size(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Parts of batches whose column ``gloss`` has a bounded size in all, with those texts."""
+def _by_size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of batches whose column ``gloss`` has a bounded size in all."""
     for batch in batches:
-        texts, at, size = [], 0, 0
-        for i, text in enumerate(batch.column("gloss").to_pylist()):
-            texts.append(text)
-            size += len(text or "")
+        at = size = 0
+        for i, n in enumerate(pc.utf8_length(batch.column("gloss")).to_pylist()):
+            size += n or 0
             if size > BATCH_CHARS or i + 1 == batch.num_rows:
-                yield batch.slice(at, len(texts)), texts
-                texts, at, size = [], i + 1, 0
+                yield batch.slice(at, i + 1 - at)
+                at, size = i + 1, 0
 
 
 class LanguageModel:
@@ -287,7 +286,7 @@ class LanguageModel:
         self.vocabulary, self.languages, self.prior, self.chances = vocabulary, languages, prior, chances
         self.name = uuid.uuid4().hex
 
-    def batch_scores(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def batch_scores(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``[text, language]`` log scores, and the number of words of each text."""
         words = words_of(texts)
         coded = words.values.dictionary_encode()
@@ -295,8 +294,10 @@ class LanguageModel:
         distinct = coded.dictionary.to_numpy(zero_copy_only=False)
         by_word = row.rows(distinct, self)
         by_word[[not w for w in distinct]] = 0
-        each = by_word[coded.indices.to_numpy()]
-        total = np.concatenate([np.zeros((1, each.shape[1])), np.cumsum(each, axis=0)])
+        at = coded.indices.to_numpy()
+        total = np.zeros((len(at) + 1, by_word.shape[1]))  # the one table of a row a word
+        np.take(by_word, at, axis=0, out=total[1:], mode="clip")
+        np.cumsum(total, axis=0, out=total)
         ends = words.offsets.to_numpy()
         n = np.concatenate([[0], np.cumsum(pc.binary_length(words.values).to_numpy() > 0)])
         return total[ends[1:]] - total[ends[:-1]], n[ends[1:]] - n[ends[:-1]]
@@ -345,9 +346,9 @@ def train(labelled: DataFrame, vocabulary: str, gloss: str = "gloss", language:
     at = {x: i for i, x in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in _by_size(batches):
+        for batch in _by_size(batches):
             tongue = np.array([at[x] for x in batch.column("language").to_pylist()], np.int64)
-            words = words_of(texts)
+            words = words_of(batch.column("gloss"))
             coded = words.values.dictionary_encode()
             owner = np.repeat(tongue, np.diff(words.offsets.to_numpy()))
             both = coded.indices.to_numpy() * len(at) + owner
@@ -404,10 +405,10 @@ def identify(glosses: DataFrame, model: LanguageModel, key: str = "key", gloss:
     picked = glosses.select(F.col(key).alias("key"), F.col(gloss).alias("gloss"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in _by_size(batches):
-            names, best = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        for batch in _by_size(batches):
+            names, best = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows)
             if model.languages:
-                scores, n = model.batch_scores(texts)
+                scores, n = model.batch_scores(batch.column("gloss"))
                 scores = scores + model.prior
                 top = scores.argmax(axis=1)
                 chance = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
