@@ -274,9 +274,12 @@ def blocks(markup: str) -> list[Block]:
 
 
 def _densities(found: list[Block], stop_words: Mapping[str, str]) -> list[float] | None:
-    """Each block's density of stop words, in the best of the languages that the page's longer blocks are in; None without any."""
-    words = [WORD.findall(b.text.lower()) for b in found]
-    running = [not b.beside and len(b.text) >= SHORT and b.linked <= MOST_LINKS * len(b.text) for b in found]
+    """Each block's density of stop words, in the best of the languages that the page's longer blocks are in; None without any.
+
+    Blocks that are decided without it, in an article or beside the text, are not counted.
+    """
+    words = [[] if b.beside or b.article else WORD.findall(b.text.lower()) for b in found]
+    running = [len(b.text) >= SHORT and b.linked <= MOST_LINKS * len(b.text) for b in found]
     total = sum(len(ws) for ws, r in zip(words, running, strict=True) if r)
     best = None
     for listed in stop_words.values():
