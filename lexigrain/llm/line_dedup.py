@@ -1,12 +1,18 @@
 """Repeated passages across glosses: pairwise alignment of their lines.
 
-The seeds are passages: a line, or the shortest run of lines from it, with at least
-``min_words`` words. A gloss overlaps with the first gloss (by key) of each of its passages,
-and with that one alone, so a passage in a third of all glosses makes as many pairs as it
-has copies. Each pair is aligned by patience diff on line hashes: lines that occur once in
-both, in the longest common order, are the anchors; what lies between them is aligned in the
-same way. Aligned blocks of at least ``min_words`` words are deleted from the later gloss, and
-so are passages that were moved out of the aligned order.
+The seeds are passages: the shortest runs of lines with at least ``min_words`` words that start
+or end at each line. All glosses with one passage are a class that meets through its
+representative, the first of them by key: a gloss is paired with the representatives of its
+passages, so a passage in a third of all glosses makes as many pairs as it has copies. Nothing
+is lost by that: every line of a block that two glosses share lies in a passage inside the
+block (the last run from the front that still has enough words reaches the line, or the run
+that ends at the line starts in the block), and the passage's representative holds it too.
+
+Each pair is aligned by patience diff on line hashes: lines that occur once in both, in the
+longest common order, are the anchors; what lies between them is aligned in the same way. A
+block that was moved out of that order is aligned on its own, outward from a shared passage.
+Aligned blocks of at least ``min_words`` words are deleted from the later gloss. So a line goes
+if, and only if, it lies in a run of lines with enough words that some earlier gloss has too.
 """
 
 from __future__ import annotations
@@ -24,6 +30,9 @@ from pyspark.sql import functions as F
 from ..session import staged
 
 MIN_WORDS = 8
+#: A key with more than this fraction (one over it) of a join's rows is cut into parts, but not below so many rows.
+HEAVY = 1024
+HEAVY_ROWS = 64
 
 
 def line_hash(line: str) -> int:
@@ -33,17 +42,28 @@ def line_hash(line: str) -> int:
 
 
 def passages(hashes: list[int], words: list[int], least: int) -> list[tuple[int, int, int]]:
-    """``(hash, start, end)`` of the shortest run of lines with enough words from each line; blank lines are left out before."""
-    out, end, held = [], 0, 0
+    """``(hash, start, end)`` of the shortest runs of lines with enough words from and to each line; blank lines are left out before."""
+    spans, end, held = [], 0, 0
     for i, n in enumerate(words):
         while end < len(words) and held < least:
             held += words[end]
             end += 1
         if held < least:
             break
+        spans.append((i, end))
+        held -= n
+    start, held = 0, 0
+    for i, n in enumerate(words):
+        held += n
+        while start < i and held - words[start] >= least:
+            held -= words[start]
+            start += 1
+        if held >= least:
+            spans.append((start, i + 1))
+    out = []
+    for i, end in sorted(set(spans)):
         h = xxhash.xxh3_64_intdigest(np.array(hashes[i:end], np.int64).tobytes())
         out.append((h - (1 << 64) if h >> 63 else h, i, end))
-        held -= n
     return out
 
 
@@ -112,23 +132,50 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 def common_lines(a: list[int], b: list[int], a_words: list[int], words: list[int], least: int) -> list[int]:
     """Places in ``b`` of aligned blocks, consecutive in both, with enough words.
 
-    A passage of both that lies out of the aligned order, because it was moved, is added.
+    What the order of the whole leaves out, because it was moved or repeated, is aligned on its
+    own: a passage of both is the anchor, and the block grows from there while lines agree.
     """
-    out: set[int] = set()
+    gone = [False] * len(b)
     block: list[int] = []
     last = None
     for i, j in [*patience(a, b), (None, None)]:
         if last is None or i is None or (i, j) != (last[0] + 1, last[1] + 1):
             if sum(words[x] for x in block) >= least:
-                out.update(block)
+                for x in block:
+                    gone[x] = True
             block = []
         block.append(j)
         last = (i, j)
-    moved = {h for h, _, _ in passages(a, a_words, least)}
-    for h, start, end in passages(b, words, least):
-        if h in moved:
-            out.update(range(start, end))
-    return sorted(out)
+    if not all(gone):
+        place = {h: (start, end) for h, start, end in reversed(passages(a, a_words, least))}
+        for h, start, end in passages(b, words, least):
+            if h not in place or all(gone[start:end]):
+                continue
+            (i, i_end), j, j_end = place[h], start, end
+            while i and j and not gone[j - 1] and a[i - 1] == b[j - 1]:
+                i, j = i - 1, j - 1
+            while i_end < len(a) and j_end < len(b) and not gone[j_end] and a[i_end] == b[j_end]:
+                i_end, j_end = i_end + 1, j_end + 1
+            gone[j:j_end] = [True] * (j_end - j)
+    return [j for j, x in enumerate(gone) if x]
+
+
+def heavy_join(large: DataFrame, small: DataFrame, on: str, counts: DataFrame, total: int, spread: str) -> DataFrame:
+    """``large`` joined with ``small`` on a key that may hold a large share of the rows of ``large``.
+
+    ``counts``  ``on, n``: rows of ``large`` by key
+    ``total``   rows of ``large``
+    ``spread``  column of ``large`` that deals a heavy key's rows to its parts
+
+    A key with more than a ``HEAVY``-th of all rows is cut into parts of that size, so there are at
+    most ``HEAVY`` such keys, the bound of what is broadcast, and at most twice as many parts.
+    """
+    size = max(total / HEAVY, HEAVY_ROWS)
+    parts = F.broadcast(counts.where(F.col("n") > size).select(on, F.ceil(F.col("n") / size).alias("_parts")))
+    dealt = large.join(parts, on, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(spread), "_parts"), F.lit(0)))
+    each = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)
+    copied = small.join(parts, on, "left").withColumn("_part", F.explode(each))
+    return dealt.drop("_parts").join(copied.drop("_parts"), [on, "_part"]).drop("_part")
 
 
 def repeated_lines(glosses: DataFrame, key: str = "key", gloss: str = "gloss", min_words: int = MIN_WORDS) -> DataFrame:
@@ -156,8 +203,13 @@ def repeated_lines(glosses: DataFrame, key: str = "key", gloss: str = "gloss", m
     picked = glosses.select(F.col(key).cast("bigint").alias("key"), F.col(gloss).alias("gloss")).where("key IS NOT NULL AND gloss IS NOT NULL")
     held = staged(picked.mapInArrow(describe, "key bigint, lines binary, words array<int>, seeds array<bigint>"), "lines")
     occurs = held.select("key", F.explode("seeds").alias("seed"))
-    first = occurs.groupBy("seed").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").drop("last")
-    pairs = staged(occurs.join(first, "seed").where("key > first").select("first", "key").distinct(), "overlaps")
+    classes = occurs.groupBy("seed").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.count("*").alias("n"))
+    classes = staged(classes.where("first < last").drop("last"), "passage-classes")
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    met = heavy_join(occurs, classes.select("seed", "first"), "seed", classes.select("seed", "n"), total, "key")
+    pairs = staged(met.where("key > first").select("first", "key").distinct(), "overlaps")
+    members = staged(pairs.groupBy("first").agg(F.count("*").alias("n")), "members")
+    total = members.agg(F.sum("n")).first()[0] or 0
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,8 +221,11 @@ def repeated_lines(glosses: DataFrame, key: str = "key", gloss: str = "gloss", m
                 found.append(b[half:][places].tolist())
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.list_(pa.int64()))], ["key", "found"])
 
-    earlier = held.select(F.col("key").alias("first"), F.col("lines").alias("x"), F.col("words").alias("u"))
-    both = pairs.join(earlier, "first").join(held.select("key", "lines", "words"), "key").select("key", "x", "u", "lines", "words")
+    # A later gloss's lines go to its representatives, so those of a representative travel once a part and not once a copy.
+    earlier = held.join(members.select(F.col("first").alias("key")), "key", "left_semi")
+    earlier = earlier.select(F.col("key").alias("first"), F.col("lines").alias("x"), F.col("words").alias("u"))
+    later = pairs.join(held.select("key", "lines", "words"), "key")
+    both = heavy_join(later, earlier, "first", members, total, "key").select("key", "x", "u", "lines", "words")
     aligned = both.mapInArrow(align, "key bigint, found array<bigint>")
     each = aligned.select("key", F.explode("found").alias("line")).distinct()
     return each.groupBy("key").agg(F.sort_array(F.collect_list("line")).alias("lines"))

@@ -198,19 +198,54 @@ def test_repeated_passages_go_from_later_glosses(spark, prose):
     assert line_dedup.remove_repeated_lines(df.where("false")).collect() == []
 
 
-def test_every_passage_of_an_earlier_gloss_goes(spark):
-    rng = random.Random(3)
-    lines = [" ".join(rng.choices("abcdefgh", k=rng.randint(1, 12))) for _ in range(25)]
-    texts = ["\n".join(rng.choices(lines, k=rng.randint(1, 9))) for _ in range(60)]
-    df = spark.createDataFrame(list(enumerate(texts)), "key long, gloss string")
+def _shared_by_hand(a, b, least):
+    """Lines of ``b`` in runs of lines that ``a`` has too, with enough words."""
+    out = set()
+    for i in range(len(a)):
+        for j in range(len(b)):
+            n = 0
+            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                n += 1
+            if sum(len(x.split()) for x in b[j:j + n]) >= least:
+                out |= set(range(j, j + n))
+    return out
+
+
+def _random_glosses(seed, n):
+    rng = random.Random(seed)
+    lines = [" ".join(rng.choices("abcdefgh", k=rng.choice([1, 2, 2, 3, 4, 5, 9, 12]))) for _ in range(18)]
+    texts = [rng.choices(lines, k=rng.randint(1, 9)) for _ in range(n)]
+    # Pieces of earlier glosses, moved and repeated.
+    for i in range(10, n, 2):
+        a, b = texts[rng.randrange(i)], texts[rng.randrange(i)]
+        texts[i] = b[len(b) // 2:] + [rng.choice(lines)] + a[:4] + b[:len(b) // 2 + 1]
+    return texts
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_lines_shared_with_any_earlier_gloss_go_and_no_others(spark, monkeypatch, seed):
+    monkeypatch.setattr(line_dedup, "HEAVY", 8)
+    monkeypatch.setattr(line_dedup, "HEAVY_ROWS", 3)
+    texts = _random_glosses(seed, 90)
+    df = spark.createDataFrame([(i, "\n".join(x)) for i, x in enumerate(texts)], "key long, gloss string").repartition(3)
     gone = {r["key"]: set(r["lines"]) for r in line_dedup.repeated_lines(df).collect()}
-    seen = set()
     for key, text in enumerate(texts):
-        split = text.split("\n")
-        runs = line_dedup.passages([line_dedup.line_hash(x) for x in split], [len(x.split()) for x in split], 8)
-        must = {i for h, start, end in runs if h in seen for i in range(start, end)}
-        assert must <= gone.get(key, set()) and bool(must) == (key in gone)
-        seen |= {h for h, _, _ in runs}
+        must = set().union(*(_shared_by_hand(x, text, 8) for x in texts[:key]))
+        assert gone.get(key, set()) == must
+
+
+def test_blocks_out_of_order_are_aligned_on_their_own():
+    rng = random.Random(9)
+    for _ in range(400):
+        a, b = ([rng.randint(0, 6) for _ in range(rng.randint(0, 12))] for _ in range(2))
+        size = [1, 2, 2, 3, 5, 8, 9]
+        text = lambda x: [" ".join([str(v)] * size[v]) for v in x]
+        found = line_dedup.common_lines(a, b, [size[v] for v in a], [size[v] for v in b], 8)
+        must = _shared_by_hand(text(a), text(b), 8)
+        assert set(found) <= must
+        assert {i for h, start, end in line_dedup.passages(b, [size[v] for v in b], 8) for i in range(start, end)
+                if h in {p[0] for p in line_dedup.passages(a, [size[v] for v in a], 8)}} <= set(found)
+        assert set(found) == must
 
 
 def _component_by_hand(sets, least):
