@@ -5,15 +5,13 @@ projected by a Gaussian matrix of ``DIMENSIONS`` columns. For two vectors at dis
 the squared projected distance over ``d**2`` follows a chi-square distribution with
 ``DIMENSIONS`` degrees of freedom. Each shard keeps its projections in a kd-tree. A query
 takes the tree's leaves in the order of their projected distance, verifies their vectors
-by the true cosine, and stops when a vector at least as near as the ``k``-th found would
-have shown up already with probability ``confidence``. No number of candidates is set.
+by the true cosine, and stops when a vector at least as near as the ``k``-th found, in this
+or an earlier shard, would have shown up already with probability ``confidence``. No number of candidates is set.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,7 +118,7 @@ def nearest(
             out.append((n, np.array(columns["key"])[rows][order], x[order], ends, low, high))
         return out
 
-    def answer(index: list, asked: dict[str, list]) -> Iterator[tuple]:
+    def answer(index: list, asked: dict[str, list], found_so_far: list) -> None:
         import numpy as np
 
         for n, keys, x, ends, low, high in index:
@@ -132,7 +130,7 @@ def nearest(
             for i, one, p in zip(rows, q, projected, strict=True):
                 outside = np.maximum(np.maximum(low - p, p - high), 0)
                 bounds = (outside * outside).sum(axis=1)
-                own, at, best, best_key = asked["key"][i], 0, np.empty(0), np.empty(0, np.int64)
+                own, at, (best, best_key) = asked["key"][i], 0, found_so_far[i]
                 order = np.argsort(bounds)
                 while at < len(order):
                     if len(best) == k and bounds[order[at]] > limit * 2 * max(0.0, 1 - best[-1]) + ROUNDING:
@@ -146,8 +144,7 @@ def nearest(
                     score, found = np.concatenate([best, score[mine]]), np.concatenate([best_key, found[mine]])
                     top = np.lexsort((found, -score))[:k]
                     best, best_key = score[top], found[top]
-                for key_, score in zip(best_key.tolist(), best.tolist(), strict=True):
-                    yield asked["uid"][i], own, key_, score
+                found_so_far[i] = best, best_key
 
     def picked(df: DataFrame) -> DataFrame:
         held = df.select(F.col(key).cast("bigint").alias("key"), F.col(vector).cast("array<double>").alias("vector"))

@@ -1,9 +1,11 @@
 """Search in blocks: every row of a table meets every block of a stated query set, nothing larger.
 
 The table is cut where it is read into shards of bounded size, one binary row each, so neither
-a key nor a partition decides how large a shard becomes. Query blocks are bounded too. A pair
-of a shard and a block is one unit of work for one task; its answers, ``k`` per query, are
-merged by a limited window. Work is queries times rows, as a stated query set asks for.
+a key nor a partition decides how large a shard becomes. A lane holds up to about ``LANE_SHARDS``
+shards and reads the query blocks, bounded too, one after the other. So every row is shuffled
+once and the query set once a lane. What a query has found in one shard of a lane is the floor
+it starts the next one from; the lanes' answers, ``k`` per query, are merged by a limited window.
+Work is queries times rows, as a stated query set asks for.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +22,8 @@ from ..session import staged
 
 BLOCK_QUERIES = 2048
 SHARD_ROWS = 4096
+#: Shards of a lane. Fewer lanes shuffle less; a lane's shards are held while its query blocks pass.
+LANE_SHARDS = 16
 
 
 def cut(df: DataFrame, rows: int, build: Callable[[dict[str, list]], object]) -> DataFrame:
@@ -49,47 +54,48 @@ def _slices(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
 
 
 def search(
-    rows: DataFrame, queries: DataFrame, build: Callable, answer: Callable[[object, dict[str, list]], Iterator[tuple]],
+    rows: DataFrame, queries: DataFrame, build: Callable, answer: Callable[[object, dict[str, list], list], None],
     k: int, score_type: str, shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES,
 ) -> DataFrame:
     """``query, rank, key, score``: the ``k`` best rows of each query, ties to the smaller key.
 
     ``rows`` and ``queries`` have the same columns, the first a bigint ``key``. ``build`` makes a
-    shard's index of its columns. ``answer`` takes an index and the columns of a query block
-    (with ``uid``, which tells repeated queries apart) and yields ``(uid, query, key, score)``,
-    at most ``k`` for each query.
+    shard's index of its columns. ``answer`` takes an index, the columns of a query block (with
+    ``uid``, which tells repeated queries apart) and, for each of its queries, the scores and keys
+    of the at most ``k`` best rows found so far, best first, which it betters in place.
     """
     queries = staged(queries.withColumn("uid", F.monotonically_increasing_id()), "queries")
-    blocks = max(1, -(-queries.count() // block_queries))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("uid"), F.lit(blocks)))
-    names = [c for c in queries.columns if c != "block"]
-
-    def pack(pdf):
-        import pandas as pd
-
-        data = {c: pdf[c].tolist() for c in names}
-        return pd.DataFrame({"block": [pdf["block"].iloc[0]], "asked": [pickle.dumps(data, protocol=5)]})
-
-    lanes = max(1, -(-rows.count() // shard_rows))
-    lane = F.pmod(F.monotonically_increasing_id(), F.lit(lanes))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
-    asked = queries.groupBy("block").applyInPandas(pack, "block bigint, asked binary").withColumn("lane", every(lanes))
-    index = cut(rows, shard_rows, build).withColumn("lane", lane).withColumn("block", every(blocks))
+    blocks = -(-queries.count() // block_queries)
+    shards = -(-rows.count() // shard_rows)
+    # A small table still gives every core a lane.
+    lanes = max(1, -(-shards // LANE_SHARDS), min(shards, 2 * rows.sparkSession.sparkContext.defaultParallelism))
+    lane = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(lanes))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(lanes - 1).cast("bigint")))
+    index = cut(rows, shard_rows, build).select(lane.alias("lane"), F.lit(0).alias("turn"), "blob")
+    asked = cut(queries.coalesce(max(1, blocks)), block_queries, dict).select(every.alias("lane"), F.lit(1).alias("turn"), "blob")
+    dealt = index.unionByName(asked).repartition(lanes, "lane").sortWithinPartitions("lane", "turn")
+    kind = np.float64 if score_type == "double" else np.int64
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
         for batch in batches:
-            for blob, block in zip(batch.column("blob"), batch.column("asked"), strict=True):
-                found = list(answer(pickle.loads(blob.as_py()), pickle.loads(block.as_py())))
-                columns = list(zip(*found, strict=True)) or [[]] * 4
-                kind = pa.float64() if score_type == "double" else pa.int64()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 3 + [kind], strict=True)],
-                    ["uid", "query", "key", "score"],
-                )
-
-    best = index.join(asked, ["block", "lane"]).select("blob", "asked").mapInArrow(
-        work, f"uid bigint, query bigint, key bigint, score {score_type}",
-    )
+            for here, turn, blob in zip(batch.column("lane").to_pylist(), batch.column("turn").to_pylist(), batch.column("blob"), strict=True):
+                if here != at:
+                    at, held = here, []
+                if turn == 0:
+                    held.append(pickle.loads(blob.as_buffer()))
+                    continue
+                block = pickle.loads(blob.as_buffer())
+                best = [(np.empty(0, kind), np.empty(0, np.int64)) for _ in block["uid"]]
+                for one in held:
+                    answer(one, block, best)
+                times = [len(keys) for _, keys in best]
+                if sum(times):
+                    columns = [np.repeat(np.array(block[c], np.int64), times) for c in ("uid", "key")]
+                    columns += [np.concatenate([keys for _, keys in best]), np.concatenate([score for score, _ in best])]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["uid", "query", "key", "score"])
+
+    best = dealt.mapInArrow(work, f"uid bigint, query bigint, key bigint, score {score_type}")
     order = Window.partitionBy("uid").orderBy(F.desc("score"), "key")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query", "rank", "key", "score")

@@ -7,14 +7,12 @@ gains bounds every score. Postings are cut into runs of records with the largest
 each list. Within a run the query's gaining terms are ordered by their bound; those whose
 bounds together stay below the ``k``-th score so far are not essential: a record met by none
 of the essential lists cannot enter. Essential lists are traversed; the records they meet are
-probed in the other lists, largest bound first, as long as they can still compete. Shards are
-searched on their own and merged.
+probed in the other lists, largest bound first, as long as they can still compete. The
+``k``-th score goes on from shard to shard of a lane, and the lanes are merged.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,13 +68,12 @@ def top_scores(
             runs.append((min(RUN, n - start), lists))
         return {"key": np.array(columns["key"], np.int64)[order], "runs": runs}
 
-    def answer(index: dict, asked: dict[str, list]) -> Iterator[tuple]:
-        for uid, own, names, weights in zip(*(asked[c] for c in ("uid", "key", "terms", "scores")), strict=True):
+    def answer(index: dict, asked: dict[str, list], found: list) -> None:
+        for i, (own, names, weights) in enumerate(zip(*(asked[c] for c in ("key", "terms", "scores")), strict=True)):
             wanted: dict[int, int] = {}
             for t, w in zip(names, weights, strict=True):
                 wanted[t] = wanted.get(t, 0) + w
-            for key_, score in _one(index, own, wanted, k):
-                yield uid, own, key_, score
+            found[i] = _one(index, own, wanted, k, *found[i])
 
     def picked(df: DataFrame) -> DataFrame:
         held = df.select(
@@ -93,15 +90,16 @@ def top_scores(
     return search(picked(records), picked(queries), build, answer, k, "bigint")
 
 
-def _one(index: dict, own: int, wanted: dict[int, int], k: int) -> list[tuple[int, int]]:
-    """The ``k`` best ``(key, score)`` of a shard. Runs are in key order, so a later equal score never wins."""
+def _one(index: dict, own: int, wanted: dict[int, int], k: int, best, best_key) -> tuple:
+    """The ``k`` best scores and keys of a shard and of what other shards gave. Within a run a later equal score never wins."""
     import numpy as np
 
-    best, best_key, start = np.empty(0, np.int64), np.empty(0, np.int64), 0
+    start = 0
     for n, lists in index["runs"]:
         keys = index["key"][start:start + n]
         start += n
-        floor = int(best[-1]) if len(best) == k else None
+        # A score equal to the k-th one enters with a smaller key, as another shard may have given a larger one.
+        floor = int(best[-1]) - int(best_key[-1] > keys[0]) if len(best) == k else None
         gains, losses = [], []
         for t, w in wanted.items():
             if w and (found := lists.get((t, w < 0))):
@@ -136,7 +134,7 @@ def _one(index: dict, own: int, wanted: dict[int, int], k: int) -> list[tuple[in
             score, key = np.concatenate([best, total[alive]]), np.concatenate([best_key, keys[alive]])
             top = np.lexsort((key, -score))[:k]
             best, best_key = score[top], key[top]
-    return list(zip(best_key.tolist(), best.tolist(), strict=True))
+    return best, best_key
 
 
 def _probe(total, met, weight: int, rows, values) -> None:

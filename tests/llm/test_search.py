@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lexigrain.llm import neighbours, shards, topk
 
@@ -102,3 +103,28 @@ def test_shards_are_bounded(spark):
     df = spark.range(1000).repartition(1)
     sizes = [int.from_bytes(r["blob"][-3:-1], "little") for r in shards.cut(df, 300, lambda c: len(c["id"])).collect()]
     assert len(sizes) == 4
+
+
+@pytest.mark.parametrize("lane_shards", [1, 40])
+def test_floors_carried_between_shards_lose_nothing(spark, monkeypatch, lane_shards):
+    monkeypatch.setattr(shards, "LANE_SHARDS", lane_shards)
+    rng = np.random.default_rng(lane_shards)
+    # Few values and many copies, so most of the k-th scores are ties between shards.
+    x = rng.integers(-2, 3, (500, 3))
+    x[::7] = x[0]
+    keys = rng.permutation(500)
+    df = spark.createDataFrame([(int(k), v.tolist()) for k, v in zip(keys, x, strict=True)], "key long, scores array<long>")
+    df = df.select("key", F.expr("array(0, 1, 2)").alias("terms"), "scores")
+    by_key = x[np.argsort(keys)]
+    for read in (df.repartition(5), df.coalesce(1)):
+        rows = read.select("key", F.col("terms").cast("array<bigint>").alias("terms"), "scores")
+        build, answer = [], []
+        monkeypatch.setattr(topk, "search", lambda r, q, b, a, *rest: (build.append(b), answer.append(a)))
+        topk.top_scores(rows, rows, 6)
+        found = shards.search(rows, rows.where("key % 9 = 0"), build[0], answer[0], 6, "bigint", shard_rows=30, block_queries=20).collect()
+        mine = sorted((r["query"], r["rank"], r["key"], r["score"]) for r in found)
+        wanted = []
+        for q in range(0, 500, 9):
+            best = sorted((-int(by_key[i] @ by_key[q]), i) for i in range(500) if i != q)[:6]
+            wanted += [(q, n + 1, i, -v) for n, (v, i) in enumerate(best)]
+        assert mine == wanted
