@@ -73,7 +73,7 @@ def search(
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(lanes - 1).cast("bigint")))
     index = cut(rows, shard_rows, build).select(lane.alias("lane"), F.lit(0).alias("turn"), "blob")
     asked = cut(queries.coalesce(max(1, blocks)), block_queries, dict).select(every.alias("lane"), F.lit(1).alias("turn"), "blob")
-    dealt = index.unionByName(asked).repartition(lanes, "lane").sortWithinPartitions("lane", "turn")
+    dealt = index.unionByName(asked).repartitionById(lanes, F.col("lane").cast("int")).sortWithinPartitions("lane", "turn")
     kind = np.float64 if score_type == "double" else np.int64
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
