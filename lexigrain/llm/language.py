@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .memory import forget, kept, lean
 
 ROUNDS = 3
 SMOOTHING = 0.01
@@ -322,10 +323,9 @@ class _Table:
         return self.values[[self.place[w] for w in words]] if len(words) else np.zeros((0, len(model.languages)))
 
 
-@functools.lru_cache(maxsize=1)
 def _table(name: str) -> _Table:
     """Word scores of a model, kept by a worker from task to task."""
-    return _Table()
+    return kept(("word scores", name), _Table)
 
 
 def train(labelled: DataFrame, vocabulary: str, gloss: str = "gloss", language: str = "language", rounds: int = ROUNDS) -> LanguageModel:
@@ -346,6 +346,7 @@ def train(labelled: DataFrame, vocabulary: str, gloss: str = "gloss", language:
     at = {x: i for i, x in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # scores of an earlier model
         for batch in _by_size(batches):
             tongue = np.array([at[x] for x in batch.column("language").to_pylist()], np.int64)
             words = words_of(batch.column("gloss"))
@@ -359,7 +360,7 @@ def train(labelled: DataFrame, vocabulary: str, gloss: str = "gloss", language:
             )
 
     sums = [F.sum(F.when(F.col("at") == i, F.col("n")).otherwise(0)).cast("double") for i in range(len(languages))]
-    counted = held.mapInArrow(count, "word string, at int, n bigint").where("word <> ''")
+    counted = held.mapInArrow(lean(count), "word string, at int, n bigint").where("word <> ''")
     words = staged(counted.groupBy("word").agg(F.array(*sums).alias("n")), "language-words")
     known = pieces(vocabulary)
     size = len(known) + 2
@@ -380,7 +381,7 @@ def train(labelled: DataFrame, vocabulary: str, gloss: str = "gloss", language:
                 [pa.array(held_, pa.int32()), pa.array(list(used[held_]), pa.list_(pa.float64()))], ["piece", "used"],
             )
 
-        used = words.mapInArrow(expect, "piece int, used array<double>").groupBy("piece").agg(
+        used = words.mapInArrow(lean(expect), "piece int, used array<double>").groupBy("piece").agg(
             F.array(*[F.sum(F.col("used")[i]) for i in range(len(languages))]).alias("used"),
         )
         chances = np.full_like(now, SMOOTHING)
@@ -419,4 +420,4 @@ def identify(glosses: DataFrame, model: LanguageModel, key: str = "key", gloss:
             yield pa.RecordBatch.from_arrays([*found, *kept], ["key", "language", "score", "gloss"][:len(found + kept)])
 
     kind = picked.schema["key"].dataType.simpleString()
-    return picked.mapInArrow(score, f"key {kind}, language string, score double" + (", gloss string" if keep_gloss else ""))
+    return picked.mapInArrow(lean(score), f"key {kind}, language string, score double" + (", gloss string" if keep_gloss else ""))

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 from .components import components
+from .memory import lean
 
 WORDS = 5
 PERCENT = 80
@@ -111,7 +112,7 @@ def _common_tokens(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
         often = n >= COMMON_HERE
         return pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(n[often])], ["token", "n"])
 
-    counted = texts.mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(lean(count), "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
     most = counted.orderBy(F.desc("n"), "token").limit(COMMON).toArrow()
     tokens = most.column("token").to_numpy().view(np.uint64)
     place = np.arange(len(tokens), 0, -1, np.int64)
@@ -182,7 +183,7 @@ def near_copies(
             )
 
     sets = staged(texts.mapInArrow(
-        describe, "key bigint, n bigint, digest binary, first_digest binary, first array<bigint>, run binary,"
+        lean(describe), "key bigint, n bigint, digest binary, first_digest binary, first array<bigint>, run binary,"
         " last_weight bigint, last_token bigint, bucket bigint",
     ), "shingle-sets")
     linkable = sets.where("n > 0 AND key IS NOT NULL")
@@ -281,7 +282,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, per
 
     sides = sets.select("key", F.struct("n", "run", "last_weight", "last_token").alias("s"))
     seen = pairs.join(sides.toDF("a", "x"), "a").join(sides.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    likely = staged(seen.mapInArrow(may, "a bigint, b bigint").distinct(), "likely-pairs")
+    likely = staged(seen.mapInArrow(lean(may), "a bigint, b bigint").distinct(), "likely-pairs")
     keys = likely.select(F.col("a").alias("key")).union(likely.select("b")).distinct()
 
     def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,7 +290,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, per
             whole = [s.tobytes() for s in shingle_sets(some, words)]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(whole, pa.binary())], ["key", "s"])
 
-    whole = staged(texts.join(keys, "key", "left_semi").mapInArrow(tokens_of, "key bigint, s binary"), "whole-sets")
+    whole = staged(texts.join(keys, "key", "left_semi").mapInArrow(lean(tokens_of), "key bigint, s binary"), "whole-sets")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,4 +304,4 @@ def _linked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, per
             )
 
     checked = likely.join(whole.toDF("a", "x"), "a").join(whole.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    return checked.mapInArrow(verify, "a bigint, b bigint").distinct()
+    return checked.mapInArrow(lean(verify), "a bigint, b bigint").distinct()

@@ -9,7 +9,6 @@ one bucket, which a training job reads in batches of a single length.
 from __future__ import annotations
 
 import array
-import functools
 import re
 from collections.abc import Iterator
 
@@ -20,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .memory import kept, lean
+
 LONGEST = 4096
 #: Entries of each of the two generations of a worker's word table; a fuller table only costs time.
 WORD_TABLE = 600_000
@@ -79,10 +80,9 @@ class _WordTable(dict):
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
 
-@functools.lru_cache(maxsize=1)
 def _word_table(path: str) -> _WordTable:
     """Kept by its worker from task to task."""
-    return _WordTable(path)
+    return kept(("word ids", path), lambda: _WordTable(path))
 
 
 def _folded(text: str) -> str:
@@ -157,7 +157,7 @@ def pack_glosses(
 
     picked = glosses.select(F.col(key).alias("key"), F.col(gloss).alias("gloss"))
     kind = picked.schema["key"].dataType.simpleString()
-    cut = picked.mapInArrow(pieces, f"key {kind}, start bigint, length bigint, ids binary, n_tokens bigint")
+    cut = picked.mapInArrow(lean(pieces), f"key {kind}, start bigint, length bigint, ids binary, n_tokens bigint")
     return cut.select(
         "*", F.log2("length").cast("int").alias("bucket"),
         F.monotonically_increasing_id().alias("sequence"), F.lit(0).cast("bigint").alias("offset"),
