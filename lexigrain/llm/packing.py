@@ -26,7 +26,7 @@ LONGEST = 4096
 WORD_TABLE = 600_000
 LONGEST_WORD = 64
 #: Characters looked up together.
-BATCH_CHARS = 8_000_000
+BATCH_CHARS = 2_000_000
 #: A lower-case word and the marks behind it, which the vocabulary's splitting rule always parts.
 LETTERS = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff]+")
 #: Byte-level vocabularies write the bytes without a printable character as those from U+0100 on, in order.
@@ -132,8 +132,8 @@ def pack_glosses(
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, at, size = [], 0, 0
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                texts.append(text or "")
+            for i, text in enumerate(batch.column(1)):
+                texts.append(text.as_py() or "")
                 size += len(texts[-1])
                 if i + 1 == batch.num_rows or size > BATCH_CHARS:
                     yield as_batch(batch.column(0).slice(at, len(texts)), texts)
